@@ -46,12 +46,13 @@ def bool_to_int(c: str | Column, null_as: int | None = 0) -> Column:
 
 
 def round_half_up(c: str | Column, digits: int = 2) -> Column:
-    """Half-up rounding of a DOUBLE to ``digits`` places, computed as
-    ``sign(x) * floor(|x| * 10^d + 0.5) / 10^d``.
+    """Half-up rounding of a DOUBLE's binary value to ``digits`` places,
+    computed as ``sign(x) * floor(|x| * 10^d + 0.5) / 10^d``.
 
-    Engines disagree on ``round(double, 2)`` at binary ties (1.005); this
-    form gives the same bits in Spark and in SQL engines that follow IEEE
-    arithmetic, so rankings built on it are reproducible.
+    Spark's ``round`` rounds the shortest decimal text of the double (1.005
+    -> 1.01) while IEEE-based SQL engines round the binary value (1.005 is
+    stored as 1.00499... -> 1.00).  This form gives the same bits in both,
+    so rankings built on it are reproducible across engines.
     """
     x = col(c)
     scale = 10 ** digits

@@ -11,22 +11,26 @@ from propensa import rules
 
 
 def prepare_features(df: DataFrame, feature_cols=rules.FEATURE_COLS, bool_cols=rules.BOOL_FEATURE_COLS,
-                     keep: tuple[str, ...] = ("clinician_id",), label: str | None = rules.TARGET_COL) -> DataFrame:
-    """Numeric feature columns: booleans -> int, NULL -> 0; decimals become
-    DOUBLE (the vector holds doubles anyway)."""
+                     keep: tuple[str, ...] = ("clinician_id",), label: str | None = rules.TARGET_COL,
+                     prefix: str = "") -> DataFrame:
+    """Numeric feature columns (named ``prefix + name``): booleans -> int,
+    NULL -> 0; decimals become DOUBLE (the vector holds doubles anyway)."""
     cols = []
+    dtypes = dict(df.dtypes)
     for c in feature_cols:
         if c in bool_cols:
-            cols.append(F.coalesce(F.col(c).cast("int"), F.lit(0)).alias(c))
+            cols.append(F.coalesce(F.col(c).cast("int"), F.lit(0)).alias(prefix + c))
         else:
-            dtype = dict(df.dtypes)[c]
-            x = F.col(c).cast("double") if dtype.startswith("decimal") else F.col(c)
-            cols.append(F.coalesce(x, F.lit(0)).alias(c))
+            x = F.col(c).cast("double") if dtypes[c].startswith("decimal") else F.col(c)
+            cols.append(F.coalesce(x, F.lit(0)).alias(prefix + c))
     extra = [F.col(k) for k in keep]
     if label:
         extra.append(F.coalesce(F.col(label).cast("int"), F.lit(0)).alias("label"))
     return df.select(*extra, *cols)
 
 
-def assembler(feature_cols=rules.FEATURE_COLS, output: str = "features") -> VectorAssembler:
-    return VectorAssembler(inputCols=list(feature_cols), outputCol=output, handleInvalid="keep")
+MODEL_PREFIX = "f_"
+
+
+def assembler(feature_cols=rules.FEATURE_COLS, output: str = "features", prefix: str = MODEL_PREFIX) -> VectorAssembler:
+    return VectorAssembler(inputCols=[prefix + c for c in feature_cols], outputCol=output, handleInvalid="keep")

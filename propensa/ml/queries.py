@@ -1,3 +1,113 @@
-"""Model-training queries (registered separately: no SQL oracle)."""
+"""Model queries (M3-M5, M9-M11, O6, S8-S11).  They train a model, so they
+have no SQL oracle; the driver checks their row counts.  Training runs once
+per session and data set; the mart it reads is materialised once, bucketed
+by ``clinician_id`` (it has three consumers: training, evaluation and
+scoring)."""
 
-ML_REGISTRY = {}
+from __future__ import annotations
+
+import hashlib
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from propensa.ml import train as T
+from propensa.ml.prepare import MODEL_PREFIX, prepare_features
+from propensa.plans.pipeline import graph
+from propensa.session import table_path
+from propensa.sources import catalog, csv_io
+from propensa.sources.seeds import AS_OF
+
+ML_REGISTRY: dict = {}
+_marts: dict[tuple, str] = {}
+
+
+def register(name: str):
+    def deco(fn):
+        ML_REGISTRY[name] = fn
+        return fn
+    return deco
+
+
+def _tag(sf_dir: str) -> str:
+    return hashlib.md5(sf_dir.rstrip("/").encode()).hexdigest()[:10]
+
+
+def materialized_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = (spark.sparkContext.applicationId, _tag(sf_dir))
+    name = _marts.get(key)
+    if name is None or not spark.catalog.tableExists(f"marts.{name}"):
+        name = f"mart_conversion_features_{_tag(sf_dir)}"
+        catalog.as_table(graph(spark, sf_dir, AS_OF)["mart_conversion_features"], "marts", name)
+        _marts[key] = name
+    return catalog.ref(spark, "marts", name)
+
+
+def model_for(spark: SparkSession, sf_dir: str) -> T.Trained:
+    return T.trained(spark, materialized_mart(spark, sf_dir), _tag(sf_dir))
+
+
+@register("m3_gbt_feature_importances")
+def m3(spark, sf_dir):
+    return model_for(spark, sf_dir).importances
+
+
+@register("o6_top10_feature_importances")
+def o6(spark, sf_dir):
+    return T.top_importances(model_for(spark, sf_dir).importances, 10)
+
+
+@register("m4_calibrated_test_scores")
+def m4(spark, sf_dir):
+    """Raw GBT probability and its isotonic calibration on the test part."""
+    tr = model_for(spark, sf_dir)
+    test = T.split_frame(materialized_mart(spark, sf_dir)).filter(F.col("split") == "test")
+    out = tr.model.transform(test)
+    return out.select("clinician_id", "label",
+                      F.element_at(vector_to_array("gbt_probability"), 2).alias("gbt_probability"),
+                      F.col(T.PROB))
+
+
+@register("m5_eligible_pool_scores")
+def m5(spark, sf_dir):
+    from propensa.plans import models
+    mart = materialized_mart(spark, sf_dir)
+    pool = models.eligible(mart)
+    feats = prepare_features(pool, keep=("clinician_id",), label=None, prefix=MODEL_PREFIX)
+    return T.score(model_for(spark, sf_dir).model, feats).select("clinician_id", T.PROB)
+
+
+@register("m10_model_metrics")
+def m10(spark, sf_dir):
+    return model_for(spark, sf_dir).metrics
+
+
+@register("m11_ml_call_list")
+def m11(spark, sf_dir):
+    return T.ml_call_list(model_for(spark, sf_dir).model, materialized_mart(spark, sf_dir), as_of=AS_OF)
+
+
+@register("s9_feature_importance_csv_sink")
+def s9(spark, sf_dir):
+    path = table_path(spark, "artifacts", f"feature_importance_{_tag(sf_dir)}")
+    csv_io.write_csv(model_for(spark, sf_dir).importances, path, single_file=True)
+    return csv_io.read_csv(spark, path, {"feature": "varchar", "importance": "double"})
+
+
+@register("s10_metrics_json_sink")
+def s10(spark, sf_dir):
+    path = table_path(spark, "artifacts", f"model_metrics_{_tag(sf_dir)}")
+    metrics = model_for(spark, sf_dir).metrics
+    csv_io.write_json_record(metrics, path)
+    return spark.read.schema(metrics.schema).json(path)
+
+
+@register("s11_model_artifact_roundtrip")
+def s11(spark, sf_dir):
+    """Reload the saved pipeline and score the test part with it."""
+    tr = model_for(spark, sf_dir)
+    reloaded = PipelineModel.load(tr.path)
+    test = T.split_frame(materialized_mart(spark, sf_dir)).filter(F.col("split") == "test")
+    return T.score(reloaded, test).select("clinician_id", T.PROB)

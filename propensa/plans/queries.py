@@ -395,3 +395,31 @@ def m7(spark, sf_dir):
 @register("m8_precision_at_80_baseline")
 def m8(spark, sf_dir):
     return M.precision_at_k(_scored(spark, sf_dir), "baseline_propensity_score", "label", rules.TOP_K_METRIC)
+
+
+# --- materialisations and sinks --------------------------------------------------------
+
+CALL_LIST_TYPES = {
+    "call_rank": "integer", "clinician_id": "bigint", "specialty": "varchar", "state": "varchar",
+    "ehr_system": "varchar", "practice_size": "varchar", "org_type": "varchar",
+    "annual_patient_volume": "bigint", "revenue_band": "varchar", "logins_per_week": "bigint",
+    "days_since_last_login": "bigint", "team_members_invited": "bigint", "api_calls_per_week": "bigint",
+    "features_used_count": "bigint", "is_power_user": "boolean", "engagement_tier": "varchar",
+    "baseline_propensity_score": "double", "sales_angle": "varchar", "call_list_date": "date",
+}
+
+
+@register("s5_materialized_layers_call_list")
+def s5(spark, sf_dir):
+    """Full materialised run (layer namespaces, staging views, bucketed
+    intermediate and mart tables); returns the call-list table read back."""
+    from propensa.plans.pipeline import run
+    return neutral(run(spark, sf_dir, AS_OF)["mart_weekly_call_list"])
+
+
+@register("s8_call_list_csv_sink")
+def s8(spark, sf_dir):
+    """Dated CSV sink of the call list, read back with declared types."""
+    base = table_path(spark, "outputs", hashlib.md5(sf_dir.encode()).hexdigest()[:10])
+    path = csv_io.write_call_list(neutral(G(spark, sf_dir)["mart_weekly_call_list"]), base, AS_OF)
+    return csv_io.read_csv(spark, path, CALL_LIST_TYPES)
