@@ -82,23 +82,30 @@ def evaluate(model: PipelineModel, mart: DataFrame) -> DataFrame:
     scored = score(model, data).select("clinician_id", "label", "split", PROB).checkpoint(eager=True)
     train = scored.filter(F.col("split").isin("train", "validation"))
     test = scored.filter(F.col("split") == "test")
-    parts = {
-        "train_auc_roc": M.roc_auc(train, PROB, "label").select(F.col("roc_auc").alias("v")),
-        "test_auc_roc": M.roc_auc(test, PROB, "label").select(F.col("roc_auc").alias("v")),
-        "n_test": M.roc_auc(test, PROB, "label").select(F.col("n").alias("v")),
-        "test_avg_precision": M.average_precision(test, PROB, "label").select(F.col("average_precision").alias("v")),
-        "precision_at_top_80": M.precision_at_k(test, PROB, "label", rules.TOP_K_METRIC)
-        .select(F.col("precision_at_k").alias("v")),
-        "n_train": data.agg(F.count_if(F.col("split").isin("train", "validation")).alias("v")),
-        "conversion_rate": data.agg(F.avg(F.col("label").cast("double")).alias("v")),
-    }
-    # one-row parts stacked as (metric, value) and folded into one row
+    test_auc = M.roc_auc(test, PROB, "label")
+    # one-row parts, each with one or more named metrics
+    parts = [
+        M.roc_auc(train, PROB, "label").select(F.col("roc_auc").alias("train_auc_roc")),
+        test_auc.select(F.col("roc_auc").alias("test_auc_roc"), F.col("n").alias("n_test")),
+        M.average_precision(test, PROB, "label").select(F.col("average_precision").alias("test_avg_precision")),
+        M.precision_at_k(test, PROB, "label", rules.TOP_K_METRIC).select(
+            F.col("precision_at_k").alias("precision_at_top_80")),
+        scored.agg(F.count_if(F.col("split").isin("train", "validation")).alias("n_train"),
+                 F.avg(F.col("label").cast("double")).alias("conversion_rate")),
+    ]
+    # stacked as (metric, value) rows and folded into one row: no join needed
     long = None
-    for name, part in parts.items():
-        row = part.select(F.lit(name).alias("metric"), F.col("v").cast("double").alias("v"))
+    names: list[str] = []
+    for part in parts:
+        names += part.columns
+        row = part.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("v")) for c in part.columns
+        ])).alias("m")).select("m.metric", "m.v")
         long = row if long is None else long.unionByName(row)
-    pick = {n: F.max(F.when(F.col("metric") == n, F.col("v"))) for n in parts}
-    return long.agg(*[(pick[n].cast("bigint") if n.startswith("n_") else pick[n]).alias(n) for n in parts]).withColumn(
+    order = ["train_auc_roc", "test_auc_roc", "test_avg_precision", "precision_at_top_80",
+             "n_train", "n_test", "conversion_rate"]
+    pick = {n: F.max(F.when(F.col("metric") == n, F.col("v"))) for n in names}
+    return long.agg(*[(pick[n].cast("bigint") if n.startswith("n_") else pick[n]).alias(n) for n in order]).withColumn(
         "features", F.array(*[F.lit(c) for c in rules.FEATURE_COLS]))
 
 

@@ -13,14 +13,26 @@ from propensa.sources import catalog
 from propensa.sources.seeds import AS_OF, raw_inputs
 
 
+_graphs: dict[tuple, dict[str, DataFrame]] = {}
+
+
 def graph(spark: SparkSession, sf_dir: str, as_of: dt.date | None = AS_OF) -> dict[str, DataFrame]:
-    """Every layer as a lazy frame over the bucketed raw seed table."""
+    """Every layer as a lazy frame over the bucketed raw seed table.
+
+    DataFrames are immutable plans, so the graph is built (and analysed)
+    once per session and data set and shared by every query on it.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), as_of)
+    cached = _graphs.get(key)
+    if cached is not None:
+        return dict(cached)
     raw = raw_inputs(spark, sf_dir, AS_OF if as_of is None else as_of)
     stg = staging(raw)
     out: dict[str, DataFrame] = {f"raw_{k}": v for k, v in raw.items()}
     out.update(stg)
     out.update(models.build(stg, as_of))
-    return out
+    _graphs[key] = out
+    return dict(out)
 
 
 def mart(spark: SparkSession, sf_dir: str, as_of: dt.date | None = AS_OF) -> DataFrame:
