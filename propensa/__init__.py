@@ -1,0 +1 @@
+"""Lead scoring and ranking on Spark."""

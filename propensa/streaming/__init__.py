@@ -1,0 +1,3 @@
+"""No streaming operators: the reference pipeline has no stream source,
+watermark, event-time window or state.  Inputs are full-replace snapshots,
+processed as batch jobs (see ``propensa.plans``)."""
