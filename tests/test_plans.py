@@ -38,3 +38,29 @@ def test_seed_scan_is_pruned(spark):
     # orders is read with only the five columns the aggregation needs
     assert "o_orderkey" not in plan
     assert "HashAggregate" in plan
+
+
+def test_orders_aggregation_is_partial_before_shuffle(spark):
+    """A hot customer collapses map-side: partial aggregates feed both
+    exchanges, and the distinct count is planned without Expand."""
+    from propensa.sources.seeds import orders_by_customer
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(orders_by_customer(spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
+    assert "partial_min" in plan and "Expand" not in plan
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_metrics_avoid_single_partition_window(spark):
+    from pyspark.sql import functions as F
+
+    from propensa.operators import metrics as M
+    df = spark.range(2000).select((F.col("id") % 97).cast("double").alias("s"),
+                                  (F.col("id") % 3 == 0).cast("int").alias("y"))
+    plan = _plan(M.roc_auc(df, "s", "y"))
+    # the only un-partitioned window runs on the per-range totals, after an aggregate
+    assert "Window" in plan
+    assert "BroadcastExchange" in plan
