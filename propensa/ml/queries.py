@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from propensa.ml import train as T
 from propensa.ml.prepare import MODEL_PREFIX, prepare_features
 from propensa.plans.pipeline import graph
-from propensa.session import table_path
+from propensa.session import session_key, table_path
 from propensa.sources import catalog, csv_io
 from propensa.sources.seeds import AS_OF
 
@@ -36,7 +36,7 @@ def _tag(sf_dir: str) -> str:
 
 
 def materialized_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, _tag(sf_dir))
+    key = (session_key(spark), _tag(sf_dir))
     name = _marts.get(key)
     if name is None or not spark.catalog.tableExists(f"marts.{name}"):
         name = f"mart_conversion_features_{_tag(sf_dir)}"

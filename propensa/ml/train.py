@@ -34,7 +34,7 @@ from propensa.ml.split import assign_split
 from propensa.operators import metrics as M
 from propensa.operators.rank import score_order, top_k
 from propensa.plans import models
-from propensa.session import shared_dir, table_path
+from propensa.session import session_key, shared_dir, table_path
 
 PROB = "ml_conversion_probability"
 
@@ -156,7 +156,7 @@ _models: dict[tuple, Trained] = {}
 def trained(spark: SparkSession, mart: DataFrame, tag: str, params: dict | None = None) -> Trained:
     """Fit once per session and data tag; the artifact is saved in the
     shared folder and reloaded from there (S11)."""
-    key = (spark.sparkContext.applicationId, tag, repr(sorted((params or {}).items())))
+    key = (session_key(spark), tag, repr(sorted((params or {}).items())))
     if key not in _models:
         model, imps = fit(mart, params)
         path = table_path(spark, "artifacts", f"gbm_{hashlib.md5(repr(key).encode()).hexdigest()[:10]}")

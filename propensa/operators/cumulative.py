@@ -7,6 +7,8 @@ all ranges before it from a small per-range aggregate (one row per range,
 so its size is bounded by the range count and it is broadcast), and the
 running sum inside a range is an ordinary window partitioned by the range.
 The bounds only steer balance; the result is exact whatever they are.
+The input is usually already grouped by the key (one row per distinct
+score), so the checkpoint it is written to is small.
 """
 
 from __future__ import annotations
@@ -34,6 +36,9 @@ def running_totals(df: DataFrame, key: str, measures: Sequence[str], descending:
     """Adds ``cum_<m>`` = sum of ``m`` over all rows at or before this row's
     ``key`` in the chosen direction.  ``key`` must be unique per row (run it
     on a table already grouped by the key) and numeric."""
+    # the range bounds need one pass over the input and the totals another:
+    # checkpoint it (shared folder) so the upstream plan runs only once
+    df = df.checkpoint(eager=True)
     bounds = _range_bounds(df, key, ranges)
     keyed = df.withColumn("_k", F.col(key).cast("double"))
     bucketed = Bucketizer(splits=bounds, inputCol="_k", outputCol=_RANGE, handleInvalid="keep").transform(keyed)

@@ -8,6 +8,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from propensa.operators.staging import staging
+from propensa.session import session_key
 from propensa.plans import models
 from propensa.sources import catalog
 from propensa.sources.seeds import AS_OF, raw_inputs
@@ -22,7 +23,7 @@ def graph(spark: SparkSession, sf_dir: str, as_of: dt.date | None = AS_OF) -> di
     DataFrames are immutable plans, so the graph is built (and analysed)
     once per session and data set and shared by every query on it.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), as_of)
+    key = (session_key(spark), sf_dir.rstrip("/"), as_of)
     cached = _graphs.get(key)
     if cached is not None:
         return dict(cached)

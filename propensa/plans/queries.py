@@ -25,7 +25,7 @@ from propensa.operators.staging import stg_clinicians, stg_usage_metrics
 from propensa.plans import models
 from propensa.plans.pipeline import graph
 from propensa.plans.validation import run_all
-from propensa.session import table_path
+from propensa.session import session_key, table_path
 from propensa.sources import csv_io
 from propensa.sources.seeds import AS_OF, raw_inputs
 
@@ -57,7 +57,7 @@ def seed_csv(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Export a raw seed to CSV once per session (the reference's seeds are
     CSV files); returns the folder."""
     tag = hashlib.md5(f"{sf_dir.rstrip('/')}|{name}".encode()).hexdigest()[:10]
-    key = (spark.sparkContext.applicationId, tag)
+    key = (session_key(spark), tag)
     if key not in _csv_written:
         path = table_path(spark, "seeds_csv", f"{name}_{tag}")
         csv_io.write_csv(raw_inputs(spark, sf_dir, AS_OF)[name], path)
@@ -423,3 +423,43 @@ def s8(spark, sf_dir):
     base = table_path(spark, "outputs", hashlib.md5(sf_dir.encode()).hexdigest()[:10])
     path = csv_io.write_call_list(neutral(G(spark, sf_dir)["mart_weekly_call_list"]), base, AS_OF)
     return csv_io.read_csv(spark, path, CALL_LIST_TYPES)
+
+
+# --- compositions: split + metrics, more checks ------------------------------------------
+
+def _scored_test(spark, sf_dir):
+    """Baseline score on the test part of the stratified split."""
+    mart = G(spark, sf_dir)["mart_conversion_features"]
+    parts = assign_split(prepare_features(mart, feature_cols=[], bool_cols=[])).filter(F.col("split") == "test")
+    return mart.select("clinician_id", "baseline_propensity_score").join(parts, "clinician_id")
+
+
+@register("m6_roc_auc_baseline_test_split")
+def m6t(spark, sf_dir):
+    return M.roc_auc(_scored_test(spark, sf_dir), "baseline_propensity_score", "label")
+
+
+@register("m7_average_precision_baseline_test_split")
+def m7t(spark, sf_dir):
+    return M.average_precision(_scored_test(spark, sf_dir), "baseline_propensity_score", "label")
+
+
+@register("m8_precision_at_80_baseline_test_split")
+def m8t(spark, sf_dir):
+    return M.precision_at_k(_scored_test(spark, sf_dir), "baseline_propensity_score", "label", rules.TOP_K_METRIC)
+
+
+@register("q3_accepted_values_practice_size")
+def q3b(spark, sf_dir):
+    return Q.accepted_values(G(spark, sf_dir)["stg_clinicians"], "practice_size", rules.PRACTICE_SIZES)
+
+
+@register("q2_not_null_signup_date")
+def q2b(spark, sf_dir):
+    return Q.not_null(G(spark, sf_dir)["stg_clinicians"], "signup_date")
+
+
+@register("q4_relationships_firmographics_to_clinicians")
+def q4b(spark, sf_dir):
+    g = G(spark, sf_dir)
+    return Q.relationships(g["stg_firmographic_enrichment"], g["stg_clinicians"])

@@ -31,6 +31,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identity of the running application (memo key for per-session work)."""
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
+def _conf(spark: SparkSession, key: str) -> str | None:
+    try:
+        return spark.conf.get(key, None)
+    except Exception:  # noqa: BLE001 - static confs may be hidden from SQL conf
+        return None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for checkpoints and materialised layers.
 
@@ -38,7 +50,15 @@ def shared_dir(spark: SparkSession) -> str:
     (local runs and tests) a fresh folder under the temp dir is made and
     registered as the checkpoint dir.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext on a Connect client
+        sc = None
+    if sc is None:
+        configured = _conf(spark, "spark.checkpoint.dir")
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return configured.rstrip("/")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
@@ -61,3 +81,26 @@ def default_buckets(spark: SparkSession) -> int:
 
 def env_sf_dir(default: str = "/root/testdata/sf0.1") -> str:
     return os.environ.get("BENCH_SF_DIR", default)
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run sized from the input volume.
+
+    Scan splits and shuffle partitions target ``partition_bytes`` each (so a
+    task's working set fits executor memory with room to spill), with at
+    least two waves of tasks over all cores; AQE coalesces small shuffle
+    partitions and splits skewed ones at run time.
+    """
+    slots = max(1, executors * cores_per_executor)
+    shuffle = max(2 * slots, input_bytes // partition_bytes)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(int(shuffle)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }

@@ -18,7 +18,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensa.session import default_buckets, table_path
+from propensa.session import default_buckets, session_key, table_path
 from propensa.sources.catalog import ensure_layers
 from propensa.sources.tables import read_table
 
@@ -172,7 +172,7 @@ def materialize_entities(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_O
     buckets = buckets or default_buckets(spark)
     tag = _tag(sf_dir, as_of, buckets)
     name = f"raw.seed_entities_{tag}"
-    key = (spark.sparkContext.applicationId, tag)
+    key = (session_key(spark), tag)
     if _written.get(key) == name and spark.catalog.tableExists(name):
         return name
     ensure_layers(spark)
