@@ -7,6 +7,7 @@ scoring)."""
 from __future__ import annotations
 
 import hashlib
+import threading
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -22,6 +23,7 @@ from propensa.sources.seeds import AS_OF
 
 ML_REGISTRY: dict = {}
 _marts: dict[tuple, str] = {}
+_lock = threading.Lock()
 
 
 def register(name: str):
@@ -37,11 +39,12 @@ def _tag(sf_dir: str) -> str:
 
 def materialized_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (session_key(spark), _tag(sf_dir))
-    name = _marts.get(key)
-    if name is None or not spark.catalog.tableExists(f"marts.{name}"):
-        name = f"mart_conversion_features_{_tag(sf_dir)}"
-        catalog.as_table(graph(spark, sf_dir, AS_OF)["mart_conversion_features"], "marts", name)
-        _marts[key] = name
+    with _lock:
+        name = _marts.get(key)
+        if name is None or not spark.catalog.tableExists(f"marts.{name}"):
+            name = f"mart_conversion_features_{_tag(sf_dir)}"
+            catalog.as_table(graph(spark, sf_dir, AS_OF)["mart_conversion_features"], "marts", name)
+            _marts[key] = name
     return catalog.ref(spark, "marts", name)
 
 

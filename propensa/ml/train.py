@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import threading
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -151,12 +152,18 @@ def _ml_list(scored: DataFrame, k: int, as_of: dt.date | None) -> DataFrame:
 
 
 _models: dict[tuple, Trained] = {}
+_lock = threading.Lock()
 
 
 def trained(spark: SparkSession, mart: DataFrame, tag: str, params: dict | None = None) -> Trained:
     """Fit once per session and data tag; the artifact is saved in the
     shared folder and reloaded from there (S11)."""
     key = (session_key(spark), tag, repr(sorted((params or {}).items())))
+    with _lock:
+        return _trained(spark, mart, key, params)
+
+
+def _trained(spark: SparkSession, mart: DataFrame, key: tuple, params: dict | None) -> Trained:
     if key not in _models:
         model, imps = fit(mart, params)
         path = table_path(spark, "artifacts", f"gbm_{hashlib.md5(repr(key).encode()).hexdigest()[:10]}")

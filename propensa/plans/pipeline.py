@@ -4,6 +4,7 @@ materialised run that mirrors the reference's ``seed; run; test`` flow."""
 from __future__ import annotations
 
 import datetime as dt
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +16,7 @@ from propensa.sources.seeds import AS_OF, raw_inputs
 
 
 _graphs: dict[tuple, dict[str, DataFrame]] = {}
+_run_lock = threading.Lock()
 
 
 def graph(spark: SparkSession, sf_dir: str, as_of: dt.date | None = AS_OF) -> dict[str, DataFrame]:
@@ -40,18 +42,23 @@ def mart(spark: SparkSession, sf_dir: str, as_of: dt.date | None = AS_OF) -> Dat
     return graph(spark, sf_dir, as_of)["mart_conversion_features"]
 
 
-def run(spark: SparkSession, sf_dir: str, as_of: dt.date | None = AS_OF) -> dict[str, DataFrame]:
+def run(spark: SparkSession, sf_dir: str, as_of: dt.date | None = AS_OF, suffix: str = "") -> dict[str, DataFrame]:
     """Materialised run: staging as views, intermediate and marts as
     tables bucketed by ``clinician_id`` (the mart has three consumers:
-    call list, training and scoring)."""
-    g = graph(spark, sf_dir, as_of)
+    call list, training and scoring).  ``suffix`` keeps the tables of
+    different data sets apart in one catalog."""
+    with _run_lock:
+        return _run(spark, graph(spark, sf_dir, as_of), as_of, suffix)
+
+
+def _run(spark: SparkSession, g: dict[str, DataFrame], as_of: dt.date | None, suffix: str) -> dict[str, DataFrame]:
     out = {}
     for name in ("stg_clinicians", "stg_usage_metrics", "stg_firmographic_enrichment"):
-        out[name] = catalog.as_view(g[name], "staging", name)
+        out[name] = catalog.as_view(g[name], "staging", name + suffix)
     for name in ("int_clinician_engagement", "int_clinician_firmographic_score", "int_clinician_features"):
-        out[name] = catalog.as_table(g[name], "intermediate", name)
-    mart_t = catalog.as_table(g["mart_conversion_features"], "marts", "mart_conversion_features")
+        out[name] = catalog.as_table(g[name], "intermediate", name + suffix)
+    mart_t = catalog.as_table(g["mart_conversion_features"], "marts", "mart_conversion_features" + suffix)
     out["mart_conversion_features"] = mart_t
     out["mart_weekly_call_list"] = catalog.as_table(
-        models.call_list(mart_t, as_of=as_of), "marts", "mart_weekly_call_list", bucket_key=None)
+        models.call_list(mart_t, as_of=as_of), "marts", "mart_weekly_call_list" + suffix, bucket_key=None)
     return out

@@ -414,7 +414,8 @@ def s5(spark, sf_dir):
     """Full materialised run (layer namespaces, staging views, bucketed
     intermediate and mart tables); returns the call-list table read back."""
     from propensa.plans.pipeline import run
-    return neutral(run(spark, sf_dir, AS_OF)["mart_weekly_call_list"])
+    suffix = "_" + hashlib.md5(sf_dir.rstrip("/").encode()).hexdigest()[:10]
+    return neutral(run(spark, sf_dir, AS_OF, suffix)["mart_weekly_call_list"])
 
 
 @register("s8_call_list_csv_sink")

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +66,7 @@ CONVERSION_LAG_DAYS = 30
 LOCATION_SPREAD = 6
 
 _written: dict[tuple, str] = {}
+_lock = threading.Lock()
 
 
 def _lookup(col: Column, mapping: dict, default: str) -> Column:
@@ -173,8 +175,15 @@ def materialize_entities(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_O
     tag = _tag(sf_dir, as_of, buckets)
     name = f"raw.seed_entities_{tag}"
     key = (session_key(spark), tag)
-    if _written.get(key) == name and spark.catalog.tableExists(name):
-        return name
+    with _lock:
+        if _written.get(key) == name and spark.catalog.tableExists(name):
+            return name
+        _write_entities(spark, sf_dir, as_of, buckets, tag, name)
+        _written[key] = name
+    return name
+
+
+def _write_entities(spark: SparkSession, sf_dir: str, as_of: dt.date, buckets: int, tag: str, name: str) -> None:
     ensure_layers(spark)
     entities = customer_entities(spark, sf_dir, as_of)
     (entities.repartition(buckets, "clinician_id")  # one file per bucket
@@ -182,8 +191,6 @@ def materialize_entities(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_O
      .bucketBy(buckets, "clinician_id").sortBy("clinician_id")
      .option("path", table_path(spark, "raw", f"seed_entities_{tag}"))
      .saveAsTable(name))
-    _written[key] = name
-    return name
 
 
 def raw_inputs(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF) -> dict[str, DataFrame]:
