@@ -69,8 +69,10 @@ def seed_csv(spark: SparkSession, sf_dir: str, name: str) -> str:
 
 @register("s1_csv_scan_inferred_usage")
 def s1(spark, sf_dir):
-    """Usage seed from CSV with inferred types, then the staging casts."""
-    return stg_usage_metrics(csv_io.read_csv(spark, seed_csv(spark, sf_dir, "usage_metrics")))
+    """Usage seed from CSV with inferred types (the key declared), then the
+    staging casts."""
+    return stg_usage_metrics(csv_io.read_csv(spark, seed_csv(spark, sf_dir, "usage_metrics"),
+                                             declared={"clinician_id": "bigint"}))
 
 
 @register("s2_csv_scan_declared_clinicians")

@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _TYPES = {
@@ -29,15 +30,20 @@ def schema_from_types(columns: dict[str, str], default: str = "varchar") -> T.St
                          for name, kind in columns.items()])
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | dict[str, str] | None = None) -> DataFrame:
-    """Header CSV scan.  With ``schema`` the types are declared; without it
-    they are inferred (costs a second pass, avoid on large inputs)."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | dict[str, str] | None = None,
+             declared: dict[str, str] | None = None) -> DataFrame:
+    """Header CSV scan.  With ``schema`` every type is declared; without it
+    the types are inferred (costs a second pass, avoid on large inputs),
+    and ``declared`` then fixes the types of some columns (partial
+    declaration, the remainder inferred)."""
     reader = spark.read.option("header", "true").options(**_KEEP_SPACES)
     if schema is None:
-        reader = reader.option("inferSchema", "true")
-    else:
-        reader = reader.schema(schema_from_types(schema) if isinstance(schema, dict) else schema)
-    return reader.csv(path)
+        df = reader.option("inferSchema", "true").csv(path)
+        if declared:
+            df = df.select(*[F.col(c).cast(_TYPES[declared[c].lower()]).alias(c) if c in declared else F.col(c)
+                             for c in df.columns])
+        return df
+    return reader.schema(schema_from_types(schema) if isinstance(schema, dict) else schema).csv(path)
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
