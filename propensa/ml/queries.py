@@ -7,7 +7,6 @@ scoring)."""
 from __future__ import annotations
 
 import hashlib
-import threading
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -16,14 +15,11 @@ from pyspark.sql import functions as F
 
 from propensa.ml import train as T
 from propensa.ml.prepare import MODEL_PREFIX, prepare_features
-from propensa.plans.pipeline import graph
-from propensa.session import session_key, table_path
-from propensa.sources import catalog, csv_io
+from propensa.session import table_path
+from propensa.sources import csv_io
 from propensa.sources.seeds import AS_OF
 
 ML_REGISTRY: dict = {}
-_marts: dict[tuple, str] = {}
-_lock = threading.Lock()
 
 
 def register(name: str):
@@ -38,14 +34,10 @@ def _tag(sf_dir: str) -> str:
 
 
 def materialized_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = (session_key(spark), _tag(sf_dir))
-    with _lock:
-        name = _marts.get(key)
-        if name is None or not spark.catalog.tableExists(f"marts.{name}"):
-            name = f"mart_conversion_features_{_tag(sf_dir)}"
-            catalog.as_table(graph(spark, sf_dir, AS_OF)["mart_conversion_features"], "marts", name)
-            _marts[key] = name
-    return catalog.ref(spark, "marts", name)
+    """The mart table of the materialised run (shared with the call list
+    and the test suite)."""
+    from propensa.plans.queries import materialized
+    return materialized(spark, sf_dir)["mart_conversion_features"]
 
 
 def model_for(spark: SparkSession, sf_dir: str) -> T.Trained:
@@ -66,8 +58,7 @@ def o6(spark, sf_dir):
 def m4(spark, sf_dir):
     """Raw GBT probability and its isotonic calibration on the test part."""
     tr = model_for(spark, sf_dir)
-    test = T.split_frame(materialized_mart(spark, sf_dir)).filter(F.col("split") == "test")
-    out = tr.model.transform(test)
+    out = tr.model.transform(tr.split.filter(F.col("split") == "test"))
     return out.select("clinician_id", "label",
                       F.element_at(vector_to_array("gbt_probability"), 2).alias("gbt_probability"),
                       F.col(T.PROB))
@@ -112,5 +103,4 @@ def s11(spark, sf_dir):
     """Reload the saved pipeline and score the test part with it."""
     tr = model_for(spark, sf_dir)
     reloaded = PipelineModel.load(tr.path)
-    test = T.split_frame(materialized_mart(spark, sf_dir)).filter(F.col("split") == "test")
-    return T.score(reloaded, test).select("clinician_id", T.PROB)
+    return T.score(reloaded, tr.split.filter(F.col("split") == "test")).select("clinician_id", T.PROB)

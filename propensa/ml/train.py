@@ -35,6 +35,7 @@ from propensa.ml.split import assign_split
 from propensa.operators import metrics as M
 from propensa.operators.rank import score_order, top_k
 from propensa.plans import models
+from propensa.sources import catalog
 from propensa.session import session_key, shared_dir, table_path
 
 PROB = "ml_conversion_probability"
@@ -46,6 +47,7 @@ class Trained:
     path: str
     metrics: DataFrame
     importances: DataFrame
+    split: DataFrame
 
 
 def split_frame(mart: DataFrame) -> DataFrame:
@@ -53,11 +55,17 @@ def split_frame(mart: DataFrame) -> DataFrame:
     return assign_split(prepare_features(mart, prefix=MODEL_PREFIX))
 
 
+def _split(df: DataFrame) -> DataFrame:
+    """Accepts the mart or an already split frame."""
+    return df if "split" in df.columns else split_frame(df)
+
+
 def fit(mart: DataFrame, params: dict | None = None) -> tuple[PipelineModel, list[float]]:
+    """Fit GBT + calibration on the mart (or on its materialised split)."""
     spark = mart.sparkSession
-    shared_dir(spark)  # tree node-id checkpoints go to the shared folder
+    shared_dir(spark)  # boosting checkpoints go to the shared folder
     params = {**rules.GBT_PARAMS, **(params or {})}
-    data = split_frame(mart)
+    data = _split(mart)
     vec = assembler()
     fit_part = vec.transform(data.filter(F.col("split").isin("train", "validation"))
                              .withColumn("is_validation", F.col("split") == "validation"))
@@ -81,7 +89,7 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 def evaluate(model: PipelineModel, mart: DataFrame) -> DataFrame:
     """One-row metrics record."""
-    data = split_frame(mart)
+    data = _split(mart)
     # scored once, written to the shared checkpoint folder, read by all metrics
     scored = score(model, data).select("clinician_id", "label", "split", PROB).checkpoint(eager=True)
     train = scored.filter(F.col("split").isin("train", "validation"))
@@ -165,9 +173,13 @@ def trained(spark: SparkSession, mart: DataFrame, tag: str, params: dict | None
 
 def _trained(spark: SparkSession, mart: DataFrame, key: tuple, params: dict | None) -> Trained:
     if key not in _models:
-        model, imps = fit(mart, params)
-        path = table_path(spark, "artifacts", f"gbm_{hashlib.md5(repr(key).encode()).hexdigest()[:10]}")
+        digest = hashlib.md5(repr(key).encode()).hexdigest()[:10]
+        # the split is written once (bucketed by id): fit, calibration and
+        # evaluation read the same exact assignment without recomputing it
+        split = catalog.as_table(split_frame(mart), "marts", f"training_split_{digest}")
+        model, imps = fit(split, params)
+        path = table_path(spark, "artifacts", f"gbm_{digest}")
         model.write().overwrite().save(path)
         loaded = PipelineModel.load(path)
-        _models[key] = Trained(loaded, path, evaluate(loaded, mart), importances_frame(spark, imps))
+        _models[key] = Trained(loaded, path, evaluate(loaded, split), importances_frame(spark, imps), split)
     return _models[key]

@@ -20,7 +20,7 @@ from propensa.ml.prepare import prepare_features
 from propensa.ml.split import assign_split
 from propensa.operators import metrics as M
 from propensa.operators import quality as Q
-from propensa.operators.rank import sorted_by_score, top_k, score_order
+from propensa.operators.rank import sorted_by_score
 from propensa.operators.staging import stg_clinicians, stg_usage_metrics
 from propensa.plans import models
 from propensa.plans.pipeline import graph
@@ -366,9 +366,17 @@ def q8(spark, sf_dir):
     return Q.unique(G(spark, sf_dir)["mart_conversion_features"], "clinician_id")
 
 
+def materialized(spark, sf_dir):
+    """The layers written as tables (once per session and data set)."""
+    from propensa.plans.pipeline import run
+    suffix = "_" + hashlib.md5(sf_dir.rstrip("/").encode()).hexdigest()[:10]
+    return run(spark, sf_dir, AS_OF, suffix)
+
+
 @register("q9_test_suite")
 def q9(spark, sf_dir):
-    return run_all(G(spark, sf_dir))
+    """All checks over the materialised layers (tests run after the run)."""
+    return run_all(materialized(spark, sf_dir))
 
 
 # --- ML preparation and metrics on the baseline score ---------------------------------
@@ -415,9 +423,7 @@ CALL_LIST_TYPES = {
 def s5(spark, sf_dir):
     """Full materialised run (layer namespaces, staging views, bucketed
     intermediate and mart tables); returns the call-list table read back."""
-    from propensa.plans.pipeline import run
-    suffix = "_" + hashlib.md5(sf_dir.rstrip("/").encode()).hexdigest()[:10]
-    return neutral(run(spark, sf_dir, AS_OF, suffix)["mart_weekly_call_list"])
+    return neutral(materialized(spark, sf_dir)["mart_weekly_call_list"])
 
 
 @register("s8_call_list_csv_sink")
