@@ -60,14 +60,28 @@ def _split(df: DataFrame) -> DataFrame:
     return df if "split" in df.columns else split_frame(df)
 
 
+ROWS_PER_TASK = 200_000
+
+
+def _sized(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Boosting runs several jobs per tree; give each task about
+    ``rows_per_task`` rows (a few tens of MB of feature vectors): small
+    inputs are coalesced, large ones keep their partitioning."""
+    n = df.count()
+    target = max(1, -(-n // rows_per_task))
+    return df.coalesce(target) if target < df.rdd.getNumPartitions() else df
+
+
 def fit(mart: DataFrame, params: dict | None = None) -> tuple[PipelineModel, list[float]]:
-    """Fit GBT + calibration on the mart (or on its materialised split)."""
+    """Fit GBT + calibration on the mart (or on its materialised split).
+    Bagging in Spark's GBT samples per partition, so the model is
+    reproducible for a given input layout (the written split table)."""
     spark = mart.sparkSession
     shared_dir(spark)  # boosting checkpoints go to the shared folder
     params = {**rules.GBT_PARAMS, **(params or {})}
     data = _split(mart)
     vec = assembler()
-    fit_part = vec.transform(data.filter(F.col("split").isin("train", "validation"))
+    fit_part = vec.transform(_sized(data.filter(F.col("split").isin("train", "validation")))
                              .withColumn("is_validation", F.col("split") == "validation"))
     gbt = (GBTClassifier(featuresCol="features", labelCol="label", predictionCol="gbt_prediction",
                          validationIndicatorCol="is_validation", cacheNodeIds=False, checkpointInterval=10,
