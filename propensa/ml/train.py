@@ -68,8 +68,8 @@ def _sized(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     ``rows_per_task`` rows (a few tens of MB of feature vectors): small
     inputs are coalesced, large ones keep their partitioning."""
     n = df.count()
-    target = max(1, -(-n // rows_per_task))
-    return df.coalesce(target) if target < df.rdd.getNumPartitions() else df
+    # coalesce never adds partitions: large inputs pass through unchanged
+    return df.coalesce(max(1, -(-n // rows_per_task)))
 
 
 def fit(mart: DataFrame, params: dict | None = None) -> tuple[PipelineModel, list[float]]:
