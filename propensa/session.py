@@ -73,10 +73,35 @@ def table_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_dir(spark), "propensa", *parts])
 
 
+ROWS_PER_BUCKET = 1_000_000
+_bucket_hints: dict[str, int] = {}
+
+
+def cores(spark: SparkSession) -> int:
+    """Task slots of the application (executor cores in total)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - no SparkContext on a Connect client
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def buckets_for_rows(rows: int, slots: int = 1, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    """At most about ``rows_per_bucket`` entity rows (some 50-200 MB) per
+    bucket, and at least one bucket per task slot so that bucketed scans
+    use the whole cluster."""
+    return max(1, slots, -(-int(rows) // rows_per_bucket))
+
+
+def set_bucket_hint(spark: SparkSession, buckets: int) -> None:
+    _bucket_hints[session_key(spark)] = int(buckets)
+
+
 def default_buckets(spark: SparkSession) -> int:
-    """Bucket count for entity tables: the session's shuffle partitions,
-    so bucketed scans line up with the shuffles of later stages."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    """Bucket count for entity tables: the count sized for the seed table
+    of this session when there is one (tables of the same entities then
+    share their bucketing), else the session's shuffle partitions."""
+    hint = _bucket_hints.get(session_key(spark))
+    return hint if hint else int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 def env_sf_dir(default: str = "/root/testdata/sf0.1") -> str:

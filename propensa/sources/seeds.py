@@ -19,7 +19,7 @@ import threading
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensa.session import default_buckets, session_key, table_path
+from propensa.session import buckets_for_rows, cores, session_key, set_bucket_hint, table_path
 from propensa.sources.catalog import ensure_layers
 from propensa.sources.tables import read_table
 
@@ -170,8 +170,13 @@ def _tag(sf_dir: str, as_of: dt.date, buckets: int) -> str:
 def materialize_entities(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF,
                          buckets: int | None = None) -> str:
     """Write the entity table once per session into the shared folder,
-    bucketed by ``clinician_id``; returns the catalog name."""
-    buckets = buckets or default_buckets(spark)
+    bucketed by ``clinician_id``; returns the catalog name.  The bucket
+    count follows the entity count (a parquet metadata count of
+    ``customer``): at most about a million entities per bucket, at least
+    one bucket per task slot."""
+    if not buckets:
+        buckets = buckets_for_rows(read_table(spark, sf_dir, "customer", ["c_custkey"]).count(), cores(spark))
+    set_bucket_hint(spark, buckets)
     tag = _tag(sf_dir, as_of, buckets)
     name = f"raw.seed_entities_{tag}"
     key = (session_key(spark), tag)
