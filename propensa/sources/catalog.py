@@ -14,9 +14,9 @@ from propensa import rules
 from propensa.session import default_buckets, table_path
 
 
-def layer_name(layer: str, custom: str | None = None, default: str = "default") -> str:
+def layer_name(custom: str | None, default: str = "default") -> str:
     """Namespace of a model: its configured layer name, trimmed, or the
-    session's default database when none is configured."""
+    default database when none is configured."""
     if custom is None or not str(custom).strip():
         return default
     return str(custom).strip()
@@ -32,8 +32,9 @@ def ensure_layers(spark: SparkSession, layers: list[str] | None = None) -> list[
 
 def as_view(df: DataFrame, layer: str, name: str) -> DataFrame:
     """View materialisation: nothing is computed; consumers inline the plan."""
-    df.createOrReplaceTempView(f"{layer}__{name}")
-    return df.sparkSession.table(f"{layer}__{name}")
+    view = f"{layer_name(layer)}__{name}"
+    df.createOrReplaceTempView(view)
+    return df.sparkSession.table(view)
 
 
 def as_table(df: DataFrame, layer: str, name: str, bucket_key: str | None = "clinician_id",
@@ -41,6 +42,7 @@ def as_table(df: DataFrame, layer: str, name: str, bucket_key: str | None = "cli
     """Table materialisation, full replace.  With ``bucket_key`` the rows
     are hash-partitioned on the key once and written one file per bucket."""
     spark = df.sparkSession
+    layer = layer_name(layer)
     ensure_layers(spark, [layer])
     writer_df = df
     writer = None

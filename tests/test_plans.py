@@ -64,3 +64,12 @@ def test_metrics_avoid_single_partition_window(spark):
     # the only un-partitioned window runs on the per-range totals, after an aggregate
     assert "Window" in plan
     assert "BroadcastExchange" in plan
+
+
+def test_eligibility_filter_reaches_the_scan(spark):
+    g = graph(spark, SF_SMALL)
+    df = g["mart_weekly_call_list"]
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = df._jdf.queryExecution().explainString(mode)
+    assert "LessThanOrEqual(days_since_last_login,60)" in plan
+    assert "GreaterThanOrEqual(days_on_platform,14)" in plan
