@@ -63,19 +63,19 @@ def _split(df: DataFrame) -> DataFrame:
 ROWS_PER_TASK = 200_000
 
 
-def _sized(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def _sized(df: DataFrame, rows_per_task: int = ROWS_PER_TASK, key: str = "clinician_id") -> DataFrame:
     """Boosting runs several jobs per tree; give each task about
     ``rows_per_task`` rows (a few tens of MB of feature vectors): small
-    inputs are coalesced, large ones keep their partitioning."""
+    inputs are coalesced, large ones keep their partitioning.  Rows are
+    then ordered by key inside each partition: GBT subsamples rows in
+    partition order, so this makes the model independent of file layout."""
     n = df.count()
     # coalesce never adds partitions: large inputs pass through unchanged
-    return df.coalesce(max(1, -(-n // rows_per_task)))
+    return df.coalesce(max(1, -(-n // rows_per_task))).sortWithinPartitions(key)
 
 
 def fit(mart: DataFrame, params: dict | None = None) -> tuple[PipelineModel, list[float]]:
-    """Fit GBT + calibration on the mart (or on its materialised split).
-    Bagging in Spark's GBT samples per partition, so the model is
-    reproducible for a given input layout (the written split table)."""
+    """Fit GBT + calibration on the mart (or on its materialised split)."""
     spark = mart.sparkSession
     shared_dir(spark)  # boosting checkpoints go to the shared folder
     params = {**rules.GBT_PARAMS, **(params or {})}

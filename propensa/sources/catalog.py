@@ -40,7 +40,9 @@ def as_view(df: DataFrame, layer: str, name: str) -> DataFrame:
 def as_table(df: DataFrame, layer: str, name: str, bucket_key: str | None = "clinician_id",
              buckets: int | None = None) -> DataFrame:
     """Table materialisation, full replace.  With ``bucket_key`` the rows
-    are hash-partitioned on the key once and written one file per bucket."""
+    are hash-partitioned on the key once and written one file per bucket.
+    Buckets are not sorted on write: sort-merge joins sort bucket files at
+    read time anyway (bucket sort order is not used by the planner)."""
     spark = df.sparkSession
     layer = layer_name(layer)
     ensure_layers(spark, [layer])
@@ -49,7 +51,7 @@ def as_table(df: DataFrame, layer: str, name: str, bucket_key: str | None = "cli
     if bucket_key:
         n = buckets or default_buckets(spark)
         writer_df = df.repartition(n, bucket_key)
-        writer = writer_df.write.bucketBy(n, bucket_key).sortBy(bucket_key)
+        writer = writer_df.write.bucketBy(n, bucket_key)
     else:
         writer = writer_df.write
     full = f"{layer}.{name}"

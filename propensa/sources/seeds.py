@@ -193,7 +193,7 @@ def _write_entities(spark: SparkSession, sf_dir: str, as_of: dt.date, buckets: i
     entities = customer_entities(spark, sf_dir, as_of)
     (entities.repartition(buckets, "clinician_id")  # one file per bucket
      .write.mode("overwrite").format("parquet")
-     .bucketBy(buckets, "clinician_id").sortBy("clinician_id")
+     .bucketBy(buckets, "clinician_id")
      .option("path", table_path(spark, "raw", f"seed_entities_{tag}"))
      .saveAsTable(name))
 

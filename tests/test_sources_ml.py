@@ -50,3 +50,14 @@ def test_model_fit_calibrate_save_load(spark):
     assert again == first
     cl = T.ml_call_list(model, mart).collect()
     assert len(cl) == 80 and sorted(r.call_rank for r in cl) == list(range(1, 81))
+
+
+def test_model_does_not_depend_on_table_layout(spark):
+    from propensa.ml import train as T
+    from propensa.plans.pipeline import graph
+
+    split = T.split_frame(graph(spark, SF_SMALL)["mart_conversion_features"])
+    params = {"maxIter": 8, "minInstancesPerNode": 5}
+    _, a = T.fit(split.repartition(7), params)
+    _, b = T.fit(split.repartition(2, "label"), params)
+    assert [round(x, 12) for x in a] == [round(x, 12) for x in b]
