@@ -59,13 +59,24 @@ def run(spark: SparkSession, sf_dir: str, as_of: dt.date | None = AS_OF, suffix:
 
 
 def _run(spark: SparkSession, g: dict[str, DataFrame], as_of: dt.date | None, suffix: str) -> dict[str, DataFrame]:
+    """Each model reads its upstream tables (as ``ref`` does): tables of
+    the same entities share the seed's bucket count, so the features join
+    of the two intermediate tables needs no exchange either."""
     out = {}
     for name in ("stg_clinicians", "stg_usage_metrics", "stg_firmographic_enrichment"):
         out[name] = catalog.as_view(g[name], "staging", name + suffix)
-    for name in ("int_clinician_engagement", "int_clinician_firmographic_score", "int_clinician_features"):
-        out[name] = catalog.as_table(g[name], "intermediate", name + suffix)
-    mart_t = catalog.as_table(g["mart_conversion_features"], "marts", "mart_conversion_features" + suffix)
-    out["mart_conversion_features"] = mart_t
-    out["mart_weekly_call_list"] = catalog.as_table(
-        models.call_list(mart_t, as_of=as_of), "marts", "mart_weekly_call_list" + suffix, bucket_key=None)
+    eng = catalog.as_table(models.engagement(out["stg_usage_metrics"]), "intermediate",
+                           "int_clinician_engagement" + suffix)
+    firmo = catalog.as_table(models.firmographic(out["stg_clinicians"], out["stg_firmographic_enrichment"]),
+                             "intermediate", "int_clinician_firmographic_score" + suffix)
+    feats = catalog.as_table(models.features(firmo, eng), "intermediate", "int_clinician_features" + suffix)
+    mart_t = catalog.as_table(models.conversion_mart(feats, as_of), "marts", "mart_conversion_features" + suffix)
+    out.update({
+        "int_clinician_engagement": eng,
+        "int_clinician_firmographic_score": firmo,
+        "int_clinician_features": feats,
+        "mart_conversion_features": mart_t,
+        "mart_weekly_call_list": catalog.as_table(
+            models.call_list(mart_t, as_of=as_of), "marts", "mart_weekly_call_list" + suffix, bucket_key=None),
+    })
     return out
