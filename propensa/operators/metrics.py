@@ -35,8 +35,8 @@ def roc_auc(df: DataFrame, score: str, label: str, digits: int = 12) -> DataFram
     rank_sum2 = F.col("pos").cast(d) * (2 * (F.col("cum_cnt") - F.col("cnt")) + F.col("cnt") + 1).cast(d)
     tot = asc.agg(F.sum(rank_sum2).alias("rs2"), F.sum("pos").alias("p"), F.sum("cnt").alias("n"))
     p, n = F.col("p").cast(d), F.col("n").cast(d)
-    auc = ((F.col("rs2") - p * (p + 1)).cast("double")
-           / (2 * p * (n - p)).cast("double"))
+    # undefined (NULL) when a class is missing
+    auc = F.try_divide((F.col("rs2") - p * (p + 1)).cast("double"), (2 * p * (n - p)).cast("double"))
     return tot.select(_round(auc, digits).alias("roc_auc"), F.col("n").cast("bigint").alias("n"),
                       F.col("p").cast("bigint").alias("positives"))
 
@@ -46,16 +46,17 @@ def average_precision(df: DataFrame, score: str, label: str, digits: int = 12) -
     low, of (pos_s / P) * (TP_s / N_s) with TP_s, N_s the running counts."""
     counts = score_counts(df, score, label)
     desc = running_totals(counts, "score", ["pos", "cnt"], descending=True)
-    term = F.col("pos").cast("double") * (F.col("cum_pos").cast("double") / F.col("cum_cnt").cast("double"))
+    term = F.col("pos").cast("double") * F.try_divide(F.col("cum_pos").cast("double"), F.col("cum_cnt").cast("double"))
     tot = desc.agg(F.sum(term).alias("s"), F.sum("pos").alias("p"))
-    return tot.select(_round(F.col("s") / F.col("p").cast("double"), digits).alias("average_precision"))
+    return tot.select(_round(F.try_divide(F.col("s"), F.col("p").cast("double")), digits).alias("average_precision"))
 
 
 def precision_at_k(df: DataFrame, score: str, label: str, k: int = 80, key: str = "clinician_id") -> DataFrame:
     """Label mean over the top-k rows (score desc, key asc)."""
     head = df.filter(F.col(score).isNotNull()).orderBy(*score_order(score, key)).limit(k)
     return head.agg(
-        (F.sum(F.col(label).cast("int")).cast("double") / F.count(F.lit(1)).cast("double")).alias("precision_at_k"),
+        F.try_divide(F.sum(F.col(label).cast("int")).cast("double"), F.count(F.lit(1)).cast("double"))
+        .alias("precision_at_k"),
         F.count(F.lit(1)).cast("bigint").alias("k"))
 
 

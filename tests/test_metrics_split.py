@@ -86,3 +86,10 @@ def test_split_is_deterministic_and_stratified(spark):
         ids = [i for i in range(1000) if (i % 7 == 0) == (label == 1)]
         test = sum(1 for i in ids if a[i] == "test")
         assert test == math.ceil(n * 0.2)
+
+
+def test_single_class_metrics_are_null_not_errors(spark):
+    df = spark.createDataFrame([(1, 0.5, 0), (2, 0.7, 0)], "clinician_id int, score double, label int")
+    assert M.roc_auc(df, "score", "label").collect()[0].roc_auc is None
+    assert M.average_precision(df, "score", "label").collect()[0][0] is None
+    assert M.precision_at_k(df.filter("score > 1"), "score", "label").collect()[0].precision_at_k is None
