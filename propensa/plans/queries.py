@@ -21,7 +21,7 @@ from propensa.ml.split import assign_split
 from propensa.operators import metrics as M
 from propensa.operators import quality as Q
 from propensa.operators.rank import sorted_by_score
-from propensa.operators.staging import stg_clinicians, stg_usage_metrics
+from propensa.operators.staging import stg_usage_metrics
 from propensa.plans import models
 from propensa.plans.pipeline import graph
 from propensa.plans.validation import run_all
@@ -54,8 +54,8 @@ _csv_written: dict[tuple, str] = {}
 
 
 def seed_csv(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """Export a raw seed to CSV once per session (the reference's seeds are
-    CSV files); returns the folder."""
+    """Export a raw seed to CSV once per session (seeds arrive as CSV
+    files in the original flow); returns the folder."""
     tag = hashlib.md5(f"{sf_dir.rstrip('/')}|{name}".encode()).hexdigest()[:10]
     key = (session_key(spark), tag)
     if key not in _csv_written:

@@ -100,3 +100,20 @@ def test_top_k_ties_are_broken_by_key(spark):
     got = top_k(df, 80, score_order("s"), "rank").orderBy("rank").collect()
     assert [r.clinician_id for r in got] == list(range(80))
     assert [r.rank for r in got] == list(range(1, 81))
+
+
+def test_round_half_up_parity_on_many_ties(spark):
+    """Random values with a third decimal of 5 (decimal ties): the Spark
+    helper and the SQL engine's round agree on every one."""
+    import random
+
+    import duckdb
+    rnd = random.Random(11)
+    xs = [round(rnd.uniform(-130, 130), 2) + (0.005 if rnd.random() < 0.5 else -0.005) for _ in range(2000)]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, x double")
+    got = {r.i: r.y for r in df.select("i", round_half_up("x", 2).alias("y")).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (i INTEGER, x DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(xs)))
+    want = dict(con.execute("SELECT i, round(x, 2) FROM t").fetchall())
+    assert got == want
