@@ -25,6 +25,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # checkpoints of dropped DataFrames are removed from the shared folder
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -128,4 +130,5 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
