@@ -80,3 +80,13 @@ def _run(spark: SparkSession, g: dict[str, DataFrame], as_of: dt.date | None, su
             models.call_list(mart_t, as_of=as_of), "marts", "mart_weekly_call_list" + suffix, bucket_key=None),
     })
     return out
+
+
+def register_views(spark: SparkSession, sf_dir: str, as_of: dt.date | None = AS_OF) -> list[str]:
+    """Every layer of the lazy graph as a temp view named after the model,
+    so the pipeline can be queried with ``spark.sql``."""
+    names = []
+    for name, df in graph(spark, sf_dir, as_of).items():
+        df.createOrReplaceTempView(name)
+        names.append(name)
+    return names

@@ -29,3 +29,16 @@ def test_layers_view_table_ref(spark):
     catalog.as_table(df.limit(10), "intermediate", name, buckets=4)
     assert catalog.ref(spark, "intermediate", name).count() == 10
     assert table.columns == ["clinician_id", "v"]
+
+
+def test_layers_queryable_with_sql(spark):
+    from propensa.plans.pipeline import register_views
+    from tests.conftest import SF_SMALL
+
+    names = register_views(spark, SF_SMALL)
+    assert "mart_weekly_call_list" in names and "stg_clinicians" in names
+    n = spark.sql("SELECT count(*) AS n FROM mart_weekly_call_list WHERE call_rank <= 10").collect()[0].n
+    assert n == 10
+    tiers = {r.engagement_tier for r in spark.sql(
+        "SELECT DISTINCT engagement_tier FROM int_clinician_engagement").collect()}
+    assert tiers <= {"Champion", "Power User", "Active", "Casual", "Dormant"}
