@@ -12,7 +12,7 @@ from propensa.operators.staging import staging
 from propensa.session import session_key
 from propensa.plans import models
 from propensa.sources import catalog
-from propensa.sources.seeds import AS_OF, raw_inputs
+from propensa.sources.seeds import AS_OF, raw_inputs, seed_buckets
 
 
 _graphs: dict[tuple, dict[str, DataFrame]] = {}
@@ -53,12 +53,14 @@ def run(spark: SparkSession, sf_dir: str, as_of: dt.date | None = AS_OF, suffix:
         done = _runs.get(key)
         if done is None or not all(spark.catalog.tableExists(f"{layer}.{name}{suffix}") for layer, name in (
                 ("intermediate", "int_clinician_features"), ("marts", "mart_weekly_call_list"))):
-            done = _run(spark, graph(spark, sf_dir, as_of), as_of, suffix)
+            g = graph(spark, sf_dir, as_of)
+            done = _run(spark, g, as_of, suffix, seed_buckets(spark, sf_dir))
             _runs[key] = done
         return dict(done)
 
 
-def _run(spark: SparkSession, g: dict[str, DataFrame], as_of: dt.date | None, suffix: str) -> dict[str, DataFrame]:
+def _run(spark: SparkSession, g: dict[str, DataFrame], as_of: dt.date | None, suffix: str,
+         buckets: int | None) -> dict[str, DataFrame]:
     """Each model reads its upstream tables (as ``ref`` does): tables of
     the same entities share the seed's bucket count, so the features join
     of the two intermediate tables needs no exchange either."""
@@ -66,11 +68,13 @@ def _run(spark: SparkSession, g: dict[str, DataFrame], as_of: dt.date | None, su
     for name in ("stg_clinicians", "stg_usage_metrics", "stg_firmographic_enrichment"):
         out[name] = catalog.as_view(g[name], "staging", name + suffix)
     eng = catalog.as_table(models.engagement(out["stg_usage_metrics"]), "intermediate",
-                           "int_clinician_engagement" + suffix)
+                           "int_clinician_engagement" + suffix, buckets=buckets)
     firmo = catalog.as_table(models.firmographic(out["stg_clinicians"], out["stg_firmographic_enrichment"]),
-                             "intermediate", "int_clinician_firmographic_score" + suffix)
-    feats = catalog.as_table(models.features(firmo, eng), "intermediate", "int_clinician_features" + suffix)
-    mart_t = catalog.as_table(models.conversion_mart(feats, as_of), "marts", "mart_conversion_features" + suffix)
+                             "intermediate", "int_clinician_firmographic_score" + suffix, buckets=buckets)
+    feats = catalog.as_table(models.features(firmo, eng), "intermediate", "int_clinician_features" + suffix,
+                             buckets=buckets)
+    mart_t = catalog.as_table(models.conversion_mart(feats, as_of), "marts", "mart_conversion_features" + suffix,
+                              buckets=buckets)
     out.update({
         "int_clinician_engagement": eng,
         "int_clinician_firmographic_score": firmo,

@@ -66,6 +66,7 @@ CONVERSION_LAG_DAYS = 30
 LOCATION_SPREAD = 6
 
 _written: dict[tuple, str] = {}
+_buckets: dict[tuple, int] = {}
 _lock = threading.Lock()
 
 
@@ -175,7 +176,9 @@ def materialize_entities(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_O
     ``customer``): at most about a million entities per bucket, at least
     one bucket per task slot."""
     if not buckets:
-        buckets = buckets_for_rows(read_table(spark, sf_dir, "customer", ["c_custkey"]).count(), cores(spark))
+        buckets = _buckets.get((session_key(spark), sf_dir.rstrip("/"))) or buckets_for_rows(
+            read_table(spark, sf_dir, "customer", ["c_custkey"]).count(), cores(spark))
+    _buckets[(session_key(spark), sf_dir.rstrip("/"))] = buckets
     set_bucket_hint(spark, buckets)
     tag = _tag(sf_dir, as_of, buckets)
     name = f"raw.seed_entities_{tag}"
@@ -198,6 +201,12 @@ def _write_entities(spark: SparkSession, sf_dir: str, as_of: dt.date, buckets: i
      .saveAsTable(name))
 
 
+def seed_buckets(spark: SparkSession, sf_dir: str) -> int | None:
+    """Bucket count of this data set's entity table (tables derived from it
+    use the same count, so joins between them stay co-located)."""
+    return _buckets.get((session_key(spark), sf_dir.rstrip("/")))
+
+
 def raw_inputs(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF) -> dict[str, DataFrame]:
     """The three raw seeds, as projections of the bucketed entity table."""
     ent = spark.table(materialize_entities(spark, sf_dir, as_of))
