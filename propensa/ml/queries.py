@@ -104,3 +104,11 @@ def s11(spark, sf_dir):
     tr = model_for(spark, sf_dir)
     reloaded = PipelineModel.load(tr.path)
     return T.score(reloaded, tr.split.filter(F.col("split") == "test")).select("clinician_id", T.PROB)
+
+
+@register("o5_ml_top10_report")
+def o5_ml(spark, sf_dir):
+    """The first ten calls of the model-ranked list."""
+    calls = T.ml_call_list(model_for(spark, sf_dir).model, materialized_mart(spark, sf_dir), as_of=AS_OF)
+    return (calls.orderBy("call_rank").limit(10)
+            .select("call_rank", "clinician_id", "specialty", "practice_size", T.PROB, "sales_angle"))
