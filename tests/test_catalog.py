@@ -42,3 +42,14 @@ def test_layers_queryable_with_sql(spark):
     tiers = {r.engagement_tier for r in spark.sql(
         "SELECT DISTINCT engagement_tier FROM int_clinician_engagement").collect()}
     assert tiers <= {"Champion", "Power User", "Active", "Casual", "Dormant"}
+
+
+def test_cluster_sizing():
+    from propensa.session import buckets_for_rows, cluster_conf
+    conf = cluster_conf(100 << 40, executors=1000, cores_per_executor=4)
+    assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    small = cluster_conf(1 << 30, executors=10, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80
+    assert buckets_for_rows(1500, slots=8) == 8
+    assert buckets_for_rows(15_000_000_000, slots=4000) == 15_000
