@@ -102,35 +102,34 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def evaluate(model: PipelineModel, mart: DataFrame) -> DataFrame:
-    """One-row metrics record."""
+    """One-row metrics record.  Train and test AUC come out of one
+    grouped pass; AP and precision@80 are computed on the test part."""
     data = _split(mart)
     # scored once, written to the shared checkpoint folder, read by all metrics
     scored = score(model, data).select("clinician_id", "label", "split", PROB).checkpoint(eager=True)
-    train = scored.filter(F.col("split").isin("train", "validation"))
+    parts = (scored.filter(F.col("split") != "calibration")
+             .withColumn("part", F.when(F.col("split") == "test", "test").otherwise("train")))
     test = scored.filter(F.col("split") == "test")
-    test_auc = M.roc_auc(test, PROB, "label")
-    # one-row parts, each with one or more named metrics
-    parts = [
-        M.roc_auc(train, PROB, "label").select(F.col("roc_auc").alias("train_auc_roc")),
-        test_auc.select(F.col("roc_auc").alias("test_auc_roc"), F.col("n").alias("n_test")),
-        M.average_precision(test, PROB, "label").select(F.col("average_precision").alias("test_avg_precision")),
-        M.precision_at_k(test, PROB, "label", rules.TOP_K_METRIC).select(
-            F.col("precision_at_k").alias("precision_at_top_80")),
-        scored.agg(F.count_if(F.col("split").isin("train", "validation")).alias("n_train"),
-                 F.avg(F.col("label").cast("double")).alias("conversion_rate")),
-    ]
-    # stacked as (metric, value) rows and folded into one row: no join needed
-    long = None
-    names: list[str] = []
-    for part in parts:
-        names += part.columns
-        row = part.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("v")) for c in part.columns
+
+    def stacked(df: DataFrame, *metrics) -> DataFrame:
+        """(name column, value column) pairs -> (metric, v) rows."""
+        return df.select(F.explode(F.array(*[
+            F.struct(name.alias("metric"), value.cast("double").alias("v")) for name, value in metrics
         ])).alias("m")).select("m.metric", "m.v")
-        long = row if long is None else long.unionByName(row)
+
+    auc = M.roc_auc(parts, PROB, "label", groups=["part"])
+    long = (stacked(auc, (F.concat(F.col("part"), F.lit("_auc_roc")), F.col("roc_auc")),
+                    (F.concat(F.lit("n_"), F.col("part")), F.col("n")))
+            .unionByName(stacked(M.average_precision(test, PROB, "label"),
+                                 (F.lit("test_avg_precision"), F.col("average_precision"))))
+            .unionByName(stacked(M.precision_at_k(test, PROB, "label", rules.TOP_K_METRIC),
+                                 (F.lit("precision_at_top_80"), F.col("precision_at_k"))))
+            .unionByName(stacked(scored.agg(F.avg(F.col("label").cast("double")).alias("r")),
+                                 (F.lit("conversion_rate"), F.col("r")))))
+    # (metric, value) rows folded into one row: no join needed
     order = ["train_auc_roc", "test_auc_roc", "test_avg_precision", "precision_at_top_80",
              "n_train", "n_test", "conversion_rate"]
-    pick = {n: F.max(F.when(F.col("metric") == n, F.col("v"))) for n in names}
+    pick = {n: F.max(F.when(F.col("metric") == n, F.col("v"))) for n in order}
     return long.agg(*[(pick[n].cast("bigint") if n.startswith("n_") else pick[n]).alias(n) for n in order]).withColumn(
         "features", F.array(*[F.lit(c) for c in rules.FEATURE_COLS]))
 

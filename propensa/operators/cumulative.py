@@ -32,10 +32,13 @@ def _range_bounds(df: DataFrame, key: str, ranges: int, rel_err: float = 1e-3) -
 
 
 def running_totals(df: DataFrame, key: str, measures: Sequence[str], descending: bool = False,
-                   ranges: int = 64, prefix: str = "cum_") -> DataFrame:
+                   ranges: int = 64, prefix: str = "cum_", groups: Sequence[str] = ()) -> DataFrame:
     """Adds ``cum_<m>`` = sum of ``m`` over all rows at or before this row's
-    ``key`` in the chosen direction.  ``key`` must be unique per row (run it
-    on a table already grouped by the key) and numeric."""
+    ``key`` in the chosen direction (within each of ``groups``).  ``key``
+    must be unique per row and group (run it on a table already grouped by
+    the key) and numeric.  ``groups`` are low-cardinality segment columns
+    (e.g. a split): the offset table holds groups x ranges rows."""
+    groups = list(groups)
     # the range bounds need one pass over the input and the totals another:
     # checkpoint it (shared folder) so the upstream plan runs only once
     df = df.checkpoint(eager=True)
@@ -46,15 +49,16 @@ def running_totals(df: DataFrame, key: str, measures: Sequence[str], descending:
     if descending:
         bucketed = bucketed.withColumn(_RANGE, F.lit(len(bounds)) - F.col(_RANGE))
 
-    per_range = bucketed.groupBy(_RANGE).agg(*[F.sum(m).alias(f"_t_{m}") for m in measures])
-    # at most len(bounds) rows: the window below runs on that small table
-    before = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_range.select(_RANGE, *[
+    per_range = bucketed.groupBy(*groups, _RANGE).agg(*[F.sum(m).alias(f"_t_{m}") for m in measures])
+    # at most groups x len(bounds) rows: the window below runs on that small table
+    before = Window.partitionBy(*groups).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_range.select(*groups, _RANGE, *[
         F.coalesce(F.sum(f"_t_{m}").over(before), F.lit(0)).alias(f"_o_{m}") for m in measures])
 
     order = F.col(key).desc() if descending else F.col(key).asc()
-    within = Window.partitionBy(_RANGE).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    joined = bucketed.join(F.broadcast(offsets), _RANGE, "left")
+    within = (Window.partitionBy(*groups, _RANGE).orderBy(order)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    joined = bucketed.join(F.broadcast(offsets), [*groups, _RANGE], "left")
     return joined.select(
         *df.columns,
         *[(F.col(f"_o_{m}") + F.sum(m).over(within)).alias(f"{prefix}{m}") for m in measures],

@@ -217,18 +217,7 @@ def raw_inputs(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF) -> dict
     }
 
 
-def raw_inputs_lazy(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF) -> dict[str, DataFrame]:
-    """Same seeds without the materialisation step (one lazy plan; used
-    where a plan must stay free of side effects, e.g. ``explain``)."""
-    ent = customer_entities(spark, sf_dir, as_of)
-    return {
-        "clinicians": ent.select(*CLINICIAN_COLS),
-        "usage_metrics": ent.filter("has_usage").select(*USAGE_COLS),
-        "firmographic_enrichment": ent.filter("has_firmographics").select(*FIRMOGRAPHIC_COLS),
-    }
-
-
 __all__ = [
     "AS_OF", "CLINICIAN_COLS", "USAGE_COLS", "FIRMOGRAPHIC_COLS", "orders_by_customer",
-    "customer_entities", "materialize_entities", "raw_inputs", "raw_inputs_lazy",
+    "customer_entities", "materialize_entities", "raw_inputs", "seed_buckets",
 ]

@@ -93,3 +93,17 @@ def test_single_class_metrics_are_null_not_errors(spark):
     assert M.roc_auc(df, "score", "label").collect()[0].roc_auc is None
     assert M.average_precision(df, "score", "label").collect()[0][0] is None
     assert M.precision_at_k(df.filter("score > 1"), "score", "label").collect()[0].precision_at_k is None
+
+
+def test_grouped_metrics_match_per_group(spark):
+    rows, df = _data(spark, n=600, levels=23, seed=5)
+    df = df.withColumn("g", (F.col("clinician_id") % 3).cast("string"))
+    auc = {r.g: r.roc_auc for r in M.roc_auc(df, "score", "label", groups=["g"]).collect()}
+    ap = {r.g: r.average_precision for r in M.average_precision(df, "score", "label", groups=["g"]).collect()}
+    pk = {r.g: r.precision_at_k for r in M.precision_at_k(df, "score", "label", k=40, groups=["g"]).collect()}
+    for g in ("0", "1", "2"):
+        part = [(s, y) for i, s, y in rows if str(i % 3) == g]
+        assert math.isclose(auc[g], _brute_auc(part), abs_tol=1e-11)
+        assert math.isclose(ap[g], _brute_ap(part), abs_tol=1e-11)
+        top = sorted([(-s, i, y) for i, s, y in rows if str(i % 3) == g])[:40]
+        assert pk[g] == sum(y for *_, y in top) / 40
