@@ -1,4 +1,4 @@
-"""Model queries (M3-M5, M9-M11, O6, S8-S11).  They train a model, so they
+"""Model queries (M3-M5, M9-M11, O5 model list, O6, S9-S11).  They train a model, so they
 have no SQL oracle; the driver checks their row counts.  Training runs once
 per session and data set; the mart it reads is materialised once, bucketed
 by ``clinician_id`` (it has three consumers: training, evaluation and
