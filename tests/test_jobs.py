@@ -23,3 +23,11 @@ def test_pipeline_train_score(spark):
     assert path.endswith("weekly_call_list_2001-08-02")
     calls = csv_io.read_csv(spark, path).collect()
     assert len(calls) == 80 and sorted(r.call_rank for r in calls) == list(range(1, 81))
+
+
+def test_cli_all(spark, capsys):
+    out = table_path(spark, "tests", "cli_" + uuid.uuid4().hex)
+    jobs.main(["all", "--sf-dir", SF_SMALL, "--out", out])
+    printed = capsys.readouterr().out
+    assert "weekly_call_list_2001-08-02" in printed
+    assert "total_clinicians" in printed and "test_auc_roc" in printed
