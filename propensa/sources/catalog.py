@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from propensa import rules
-from propensa.session import default_buckets, table_path
+from propensa.session import default_buckets, session_key, table_path
 
 
 def layer_name(custom: str | None, default: str = "default") -> str:
@@ -22,10 +22,17 @@ def layer_name(custom: str | None, default: str = "default") -> str:
     return str(custom).strip()
 
 
+_made: set[tuple[str, str]] = set()
+
+
 def ensure_layers(spark: SparkSession, layers: list[str] | None = None) -> list[str]:
+    """Create the layer databases (once per session) in the shared folder."""
     made = []
     for layer in layers or rules.LAYERS:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{table_path(spark, layer + '.db')}'")
+        key = (session_key(spark), layer)
+        if key not in _made or not spark.catalog.databaseExists(layer):
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{table_path(spark, layer + '.db')}'")
+            _made.add(key)
         made.append(layer)
     return made
 
