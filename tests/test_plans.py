@@ -73,3 +73,20 @@ def test_eligibility_filter_reaches_the_scan(spark):
     plan = df._jdf.queryExecution().explainString(mode)
     assert "LessThanOrEqual(days_since_last_login,60)" in plan
     assert "GreaterThanOrEqual(days_on_platform,14)" in plan
+
+
+def test_features_join_of_written_tables_is_shuffle_free(spark):
+    from propensa.plans import models
+    from propensa.plans.pipeline import run
+    m = run(spark, SF_SMALL, suffix="_plantest")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    prev_aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        feats = models.features(m["int_clinician_firmographic_score"], m["int_clinician_engagement"])
+        plan = _plan(feats)
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        spark.conf.set("spark.sql.adaptive.enabled", prev_aqe)
