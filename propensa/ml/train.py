@@ -162,11 +162,16 @@ def ml_call_list(model: PipelineModel, mart: DataFrame, k: int = rules.CALL_LIST
     return _ml_list(score(model, feats), k, as_of)
 
 
-def _ml_list(scored: DataFrame, k: int, as_of: dt.date | None) -> DataFrame:
-    ranked = top_k(scored, k, score_order(PROB), rank_col="call_rank")
+def _ml_list(scored: DataFrame, k: int, as_of: dt.date | None, score_col: str = PROB) -> DataFrame:
+    """Top-k of a scored pool in the model list's layout: positional rank,
+    talk track in the model list's wording, list date as text."""
+    ranked = top_k(scored, k, score_order(score_col), rank_col="call_rank")
     list_date = F.lit(as_of.isoformat()) if as_of else F.date_format(F.current_date(), "yyyy-MM-dd")
+    cols = [c for c in ML_CALL_LIST_COLS if c not in ("sales_angle", "call_list_date")]
+    if score_col != PROB:
+        cols = [c for c in cols if c != PROB]
     return ranked.select(
-        *[c for c in ML_CALL_LIST_COLS if c not in ("sales_angle", "call_list_date")],
+        *cols,
         sales_angle(rules.ML_SALES_ANGLES).alias("sales_angle"),
         list_date.alias("call_list_date"),
     )

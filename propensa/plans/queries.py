@@ -472,3 +472,13 @@ def q2b(spark, sf_dir):
 def q4b(spark, sf_dir):
     g = G(spark, sf_dir)
     return Q.relationships(g["stg_firmographic_enrichment"], g["stg_clinicians"])
+
+
+@register("w2_ranked_list_layout_on_baseline")
+def w2(spark, sf_dir):
+    """The model list's ranking and layout (positional rank, its talk-track
+    wording, text date) fed with a fixed score, the baseline, so the
+    non-model part of M11 is checked exactly."""
+    from propensa.ml.train import _ml_list
+    pool = models.eligible(G(spark, sf_dir)["mart_conversion_features"])
+    return neutral(_ml_list(pool, rules.CALL_LIST_SIZE, AS_OF, score_col="baseline_propensity_score"))
