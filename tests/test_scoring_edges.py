@@ -117,3 +117,16 @@ def test_round_half_up_parity_on_many_ties(spark):
     con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(xs)))
     want = dict(con.execute("SELECT i, round(x, 2) FROM t").fetchall())
     assert got == want
+
+
+def test_wall_clock_stamps(spark):
+    import datetime as dt
+    rows = [(1, False, 5, 30, 50.0)]
+    df = spark.createDataFrame(rows, "clinician_id int, converted_to_enterprise boolean, "
+                                     "days_since_last_login int, days_on_platform int, s double")
+    stamped = df.select("*", models._stamp(None).alias("scored_at"), models._date(None).alias("d"))
+    r = stamped.collect()[0]
+    assert dict(stamped.dtypes)["scored_at"] == "timestamp_ntz" and r.scored_at is not None
+    assert abs((r.d - dt.date.today()).days) <= 1
+    fixed = df.select(models._stamp(dt.date(2001, 8, 2)).alias("t")).collect()[0].t
+    assert fixed == dt.datetime(2001, 8, 2)
