@@ -27,6 +27,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # checkpoints of dropped DataFrames are removed from the shared folder
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        # one JVM: every task is local, so never wait for a better locality
+        .config("spark.locality.wait", "0s")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
