@@ -107,3 +107,22 @@ def test_grouped_metrics_match_per_group(spark):
         assert math.isclose(ap[g], _brute_ap(part), abs_tol=1e-11)
         top = sorted([(-s, i, y) for i, s, y in rows if str(i % 3) == g])[:40]
         assert pk[g] == sum(y for *_, y in top) / 40
+
+
+def test_split_counts_for_many_class_sizes(spark):
+    sizes = [1, 2, 3, 5, 9, 10, 11, 49, 50, 51, 333]
+    rows, cid = [], 0
+    for label, n in enumerate(sizes):
+        for _ in range(n):
+            rows.append((cid, label))
+            cid += 1
+    df = spark.createDataFrame(rows, "clinician_id long, label int")
+    got = assign_split(df).groupBy("label", "split").count().collect()
+    counts = {(r.label, r.split): r["count"] for r in got}
+    for label, n in enumerate(sizes):
+        t = math.ceil(n * 0.2)
+        c = math.ceil((n - t) * 0.2)
+        v = math.ceil((n - t - c) * 0.1)
+        want = {"test": t, "calibration": c, "validation": v, "train": n - t - c - v}
+        for part, k in want.items():
+            assert counts.get((label, part), 0) == k, (label, part)
