@@ -110,7 +110,7 @@ def test_grouped_metrics_match_per_group(spark):
 
 
 def test_split_counts_for_many_class_sizes(spark):
-    sizes = [1, 2, 3, 5, 9, 10, 11, 49, 50, 51, 333]
+    sizes = [1, 2, 3, 5, 9, 10, 11, 15, 49, 50, 51, 333]
     rows, cid = [], 0
     for label, n in enumerate(sizes):
         for _ in range(n):
@@ -119,10 +119,14 @@ def test_split_counts_for_many_class_sizes(spark):
     df = spark.createDataFrame(rows, "clinician_id long, label int")
     got = assign_split(df).groupBy("label", "split").count().collect()
     counts = {(r.label, r.split): r["count"] for r in got}
+    from decimal import ROUND_CEILING, Decimal
+
+    def ceil(x):
+        return int(x.to_integral_value(rounding=ROUND_CEILING))
     for label, n in enumerate(sizes):
-        t = math.ceil(n * 0.2)
-        c = math.ceil((n - t) * 0.2)
-        v = math.ceil((n - t - c) * 0.1)
+        t = ceil(n * Decimal("0.2"))
+        c = ceil((n - t) * Decimal("0.2"))
+        v = ceil((n - t - c) * Decimal("0.1"))
         want = {"test": t, "calibration": c, "validation": v, "train": n - t - c - v}
         for part, k in want.items():
             assert counts.get((label, part), 0) == k, (label, part)
