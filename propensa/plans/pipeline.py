@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,10 +68,16 @@ def _run(spark: SparkSession, g: dict[str, DataFrame], as_of: dt.date | None, su
     out = {}
     for name in ("stg_clinicians", "stg_usage_metrics", "stg_firmographic_enrichment"):
         out[name] = catalog.as_view(g[name], "staging", name + suffix)
-    eng = catalog.as_table(models.engagement(out["stg_usage_metrics"]), "intermediate",
-                           "int_clinician_engagement" + suffix, buckets=buckets)
-    firmo = catalog.as_table(models.firmographic(out["stg_clinicians"], out["stg_firmographic_enrichment"]),
-                             "intermediate", "int_clinician_firmographic_score" + suffix, buckets=buckets)
+    # the two intermediate models are independent: their writes run as two
+    # concurrent Spark jobs (one submitting thread each)
+    catalog.ensure_layers(spark, ["intermediate", "marts"])
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        eng_f = pool.submit(catalog.as_table, models.engagement(out["stg_usage_metrics"]), "intermediate",
+                            "int_clinician_engagement" + suffix, buckets=buckets)
+        firmo_f = pool.submit(catalog.as_table,
+                              models.firmographic(out["stg_clinicians"], out["stg_firmographic_enrichment"]),
+                              "intermediate", "int_clinician_firmographic_score" + suffix, buckets=buckets)
+        eng, firmo = eng_f.result(), firmo_f.result()
     feats = catalog.as_table(models.features(firmo, eng), "intermediate", "int_clinician_features" + suffix,
                              buckets=buckets)
     mart_t = catalog.as_table(models.conversion_mart(feats, as_of), "marts", "mart_conversion_features" + suffix,
