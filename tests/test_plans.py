@@ -23,10 +23,13 @@ def test_joins_are_shuffle_free_on_bucketed_seed(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        mart = graph(spark, SF_SMALL)["mart_conversion_features"]
-        plan = _plan(mart)
+        g = graph(spark, SF_SMALL)
+        plan = _plan(g["mart_conversion_features"])
         assert plan.count("SortMergeJoin") == 2
         assert "Exchange" not in plan
+        from propensa.operators.quality import relationships
+        fk = _plan(relationships(g["stg_usage_metrics"], g["stg_clinicians"]))
+        assert "SortMergeJoin" in fk and "LeftAnti" in fk and "Exchange" not in fk
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
         spark.conf.set("spark.sql.adaptive.enabled", prev_aqe)
