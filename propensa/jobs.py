@@ -1,11 +1,12 @@
 """Job entry points: the three steps a user of the pipeline runs.
 
     python -m propensa pipeline --sf-dir DIR   # seed, run all layers, test suite, summary
-    python -m propensa train    --sf-dir DIR   # split, fit, calibrate, evaluate, save artifacts
-    python -m propensa score    --sf-dir DIR   # score eligible accounts, publish the dated call list
+    python -m propensa train    --sf-dir DIR --out SHARED   # fit, calibrate, evaluate, save the model
+    python -m propensa score    --sf-dir DIR --out SHARED   # load the model, publish the dated call list
 
 Outputs go under ``<spark.checkpoint.dir>/propensa`` unless ``--out`` names
-another shared folder.  Only bounded results (the summary row, the top-5
+another shared folder; ``train`` and ``score`` hand the model over through
+``<out>/gbm_model``, so they can run as separate applications.  Only bounded results (the summary row, the top-5
 report, the failing-check counts, the metrics row) are shown on the driver.
 """
 
@@ -14,6 +15,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -39,19 +41,37 @@ def pipeline(spark: SparkSession, sf_dir: str, as_of: dt.date | None = AS_OF) ->
     return {"layers": layers, "suite": suite, "failures": failures, "summary": summary, "top5": top5}
 
 
+MODEL_DIR = "gbm_model"
+
+
 def train(spark: SparkSession, sf_dir: str, out: str | None = None, as_of: dt.date | None = AS_OF) -> T.Trained:
+    """Fit, calibrate, evaluate; write the model, importances and metrics
+    under ``out`` (a shared folder the scoring step can read)."""
     layers = run(spark, sf_dir, as_of)
     tr = T.trained(spark, layers["mart_conversion_features"], tag=sf_dir.rstrip("/"))
     base = out or table_path(spark, "artifacts")
+    tr.model.write().overwrite().save(f"{base}/{MODEL_DIR}")
     csv_io.write_csv(tr.importances, f"{base}/feature_importance", single_file=True)
     csv_io.write_json_record(tr.metrics, f"{base}/model_metrics")
     return tr
 
 
+def _saved_model(base: str) -> PipelineModel | None:
+    try:
+        return PipelineModel.load(f"{base}/{MODEL_DIR}")
+    except Exception:  # noqa: BLE001 - no artifact yet
+        return None
+
+
 def score(spark: SparkSession, sf_dir: str, out: str | None = None, as_of: dt.date | None = AS_OF) -> str:
+    """Score the eligible pool with the saved model (trained here only when
+    no artifact exists under ``out``) and publish the dated call list."""
     layers = run(spark, sf_dir, as_of)
-    tr = T.trained(spark, layers["mart_conversion_features"], tag=sf_dir.rstrip("/"))
-    calls = T.ml_call_list(tr.model, layers["mart_conversion_features"], rules.CALL_LIST_SIZE, as_of)
+    base = out or table_path(spark, "artifacts")
+    model = _saved_model(base)
+    if model is None:
+        model = train(spark, sf_dir, out, as_of).model
+    calls = T.ml_call_list(model, layers["mart_conversion_features"], rules.CALL_LIST_SIZE, as_of)
     return csv_io.write_call_list(calls, out or table_path(spark, "outputs"), as_of or dt.date.today())
 
 

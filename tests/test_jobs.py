@@ -31,3 +31,15 @@ def test_cli_all(spark, capsys):
     printed = capsys.readouterr().out
     assert "weekly_call_list_2001-08-02" in printed
     assert "total_clinicians" in printed and "test_auc_roc" in printed
+
+
+def test_score_loads_the_saved_model(spark):
+    from pyspark.ml import PipelineModel
+    out = table_path(spark, "tests", "handover_" + uuid.uuid4().hex)
+    jobs.train(spark, SF_SMALL, out)
+    saved = PipelineModel.load(f"{out}/{jobs.MODEL_DIR}")
+    assert len(saved.stages) == 3
+    assert jobs._saved_model(out) is not None
+    assert jobs._saved_model(out + "_missing") is None
+    path = jobs.score(spark, SF_SMALL, out)
+    assert csv_io.read_csv(spark, path).count() == 80
