@@ -11,7 +11,7 @@ There is no shuffle: tokenisation and cutting happen in one scan, and
 ``sequence_id`` is unique because it holds the partition number in its high
 bits.  Token ids come from the ``tokenizers`` library.  The pre-tokeniser drops
 white space and never joins characters across it, so a text's ids are the
-concatenated ids of its space-separated words; ids of words already seen are
+concatenated ids of its words between spaces and line feeds; ids of words already seen are
 kept in a table bounded by ``CACHE_CHARS`` per Python worker.
 
 Edge cases: a null or empty text is the single end id (one piece of length 1);
@@ -22,6 +22,7 @@ carried through.  Texts of any length are processed whole.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,23 +47,20 @@ class WordIds:
 
         self.tok = Tokenizer.from_str(spec)
         self.tok.encode_special_tokens = True
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
         self.chars = 0
 
     def texts(self, texts: list[str]) -> list[np.ndarray]:
-        words = [t.split(" ") for t in texts]
-        new = {w for ws in words for w in ws if w not in self.known}
+        words = [t.replace("\n", " ").split(" ") for t in texts]
         if self.chars > CACHE_CHARS:
             self.known, self.chars = {}, 0
-            new = {w for ws in words for w in ws}
-        todo = list(new)
+        todo = list({w for ws in words for w in set(ws).difference(self.known)})
         for i in range(0, len(todo), 20_000):
             part = todo[i:i + 20_000]
             for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[w] = np.asarray(e.ids, dtype="<u4")
+                self.known[w] = array("I", e.ids).tobytes()
         self.chars += sum(map(len, todo))
-        none = np.empty(0, dtype="<u4")
-        return [np.concatenate([none, *map(self.known.__getitem__, ws)]) for ws in words]
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, ws)), dtype="<u4") for ws in words]
 
 
 def word_ids(key: str, spec: str) -> WordIds:
