@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 END_ID = 2
 MAX_LEN = 4096
 #: Characters of distinct words whose ids a Python worker keeps.
-CACHE_CHARS = 24_000_000
+CACHE_CHARS = 8_000_000
 
 _cache: dict = {}
 

@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 from .packing import text_groups
 from .pieces import SPACE, PieceModel
 
-CACHE_CHARS = 12_000_000
+CACHE_CHARS = 6_000_000
 #: Characters of distinct chunks that are indexed at a time.
 INDEX_CHARS = 500_000
 
@@ -149,7 +149,7 @@ class Encoder:
         key = a * self.model.size + b
         got = self.beside.get(key)
         if got is None:
-            if len(self.beside) > 2_000_000:
+            if len(self.beside) > 1_000_000:
                 self.beside.clear()
             got = self.beside[key] = self._can_follow(a, b)
         return got

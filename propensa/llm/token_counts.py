@@ -32,7 +32,7 @@ from .packing import text_groups
 from .pieces import PieceModel
 from .sp_encode import _model_bytes, _other
 
-MAX_NODES = 1_500_000
+MAX_NODES = 800_000
 
 _cache: dict = {}
 
