@@ -42,6 +42,10 @@ class PieceModel:
         if len(self.byte_id) != 256:
             raise ValueError("only models with all byte pieces are supported")
         self.control = {i for i in range(self.size) if sp.is_control(i) or sp.is_unknown(i)}
+        # text of a piece by itself; None for the bytes of characters beyond ASCII
+        self.plain = ["" if i in self.control else self.piece[i].replace(SPACE, " ") for i in range(self.size)]
+        for i, b in self.byte_of.items():
+            self.plain[i] = chr(b) if b < 128 else None
         self.unknown_score = float(min(self.score[i] for i in ordinary)) - 10.0
         self.longest = max(map(len, self.id_of))
         whole = any(SPACE in p.lstrip(SPACE) or (SPACE in p and "\n" in p) for p in self.id_of) or any("\n" in p and p != "\n" for p in self.id_of)
@@ -61,18 +65,19 @@ class PieceModel:
     def decode(self, ids) -> str:
         """Text of a list of ids: bytes are joined and read as UTF-8 (wrong ones
         become U+FFFD), control pieces are left out, the space in front is dropped."""
-        out, held = [], bytearray()
-        for i in ids:
-            b = self.byte_of.get(i)
-            if b is not None:
-                held.append(b)
-                continue
+        plain = list(map(self.plain.__getitem__, ids))
+        if None in plain:
+            out, held = [], bytearray()
+            for i, p in zip(ids, plain):
+                if p is None:
+                    held.append(self.byte_of[i])
+                else:
+                    if held:
+                        out.append(held.decode("utf-8", "replace"))
+                        held = bytearray()
+                    out.append(p)
             if held:
                 out.append(held.decode("utf-8", "replace"))
-                held = bytearray()
-            if i not in self.control:
-                out.append(self.piece[i])
-        if held:
-            out.append(held.decode("utf-8", "replace"))
-        text = "".join(out).replace(SPACE, " ")
+            plain = out
+        text = "".join(plain)
         return text[1:] if text.startswith(" ") else text

@@ -30,7 +30,7 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and whether decoding them gives the text back."""
     model = tokenizer_path("piece_bpe_32k.model")
     docs = docs_of(spark, sf_dir)
-    coded = sp_encode.decode(sp_encode.encode(docs, model), model)
+    coded = sp_encode.encode(docs, model, decoded=True)
     plain = F.replace("text", F.lit("▁"), F.lit(" "))
     return coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
                         (F.col("decoded") == plain).alias("round_trip"))

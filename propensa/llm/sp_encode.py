@@ -40,9 +40,13 @@ from pyspark.sql import types as T
 from .packing import text_groups
 from .pieces import SPACE, PieceModel
 
-CACHE_CHARS = 6_000_000
+CACHE_CHARS = 4_000_000
+#: Rows whose texts are encoded at a time.
+ROWS = 400
 #: Characters of distinct chunks that are indexed at a time.
-INDEX_CHARS = 500_000
+INDEX_CHARS = 200_000
+#: Chunks of at most so many characters are relaxed together, longer ones one by one.
+TOGETHER = 64
 
 _cache: dict = {}
 
@@ -103,6 +107,7 @@ class Encoder:
         for row, i in enumerate(usable):
             self.table[row, :len(m.piece[i])] = [ord(c) for c in m.piece[i]]
         self.beside: dict[int, bool] = {}
+        self.seen, self.answer = np.full(1 << 19, -1, dtype=np.int64), np.zeros(1 << 19, dtype=bool)
         self.characters = {p for p in m.id_of if len(p) == 1}
 
     # -- BPE ----------------------------------------------------------------
@@ -149,7 +154,7 @@ class Encoder:
         key = a * self.model.size + b
         got = self.beside.get(key)
         if got is None:
-            if len(self.beside) > 1_000_000:
+            if len(self.beside) > 400_000:
                 self.beside.clear()
             got = self.beside[key] = self._can_follow(a, b)
         return got
@@ -243,35 +248,109 @@ class Encoder:
 
     # -- both ---------------------------------------------------------------
 
-    def edges(self, chunks: list[str]) -> Iterator[Iterator[tuple[int, int, int]]]:
-        """Per chunk, (start, end, id) of every occurrence of a piece, by end position, longest first."""
+    def edges(self, chunks: list[str]) -> tuple[np.ndarray, ...]:
+        """Start, end and id of every occurrence of a piece, as places in the
+        joined chunks, and where each chunk starts there."""
         text = "\n".join(chunks)
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int32)
         starts = np.cumsum([0, *(len(c) + 1 for c in chunks)])
-        codes = codes.copy()
         codes[starts[1:-1] - 1] = -2  # separators match nothing
         order = suffix_array(codes, self.model.longest)
         lo, hi = ranges(codes, order, self.table, self.lengths)
         hit = np.flatnonzero(lo < hi)
         counts = hi[hit] - lo[hit]
-        within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        at = order[np.repeat(lo[hit], counts) + within]
-        which = np.repeat(hit, counts)
-        end = at + self.lengths[which]
-        by = np.argsort(end * (self.model.longest + 1) - self.lengths[which], kind="stable")
-        at, end, ids = at[by], end[by], self.ids[which][by]
-        chunk = np.searchsorted(starts, at, side="right") - 1
-        cuts = np.searchsorted(chunk, np.arange(len(chunks) + 1)).tolist()
-        at, end, ids = (at - starts[chunk]).tolist(), (end - starts[chunk]).tolist(), ids.tolist()
-        return (zip(at[a:b], end[a:b], ids[a:b]) for a, b in zip(cuts[:-1], cuts[1:]))
+        within = np.arange(counts.sum(), dtype=np.int64) - np.repeat(np.cumsum(counts) - counts, counts)
+        at = order[np.repeat(lo[hit], counts) + within].astype(np.int32)
+        which = np.repeat(hit.astype(np.int32), counts)
+        return at, at + self.lengths[which].astype(np.int32), self.ids[which].astype(np.int32), starts
+
+    def _merged(self, chunk: str) -> list[int]:
+        return [j for p in self.merge(chunk) for j in ([self.model.id_of[p]] if p in self.model.id_of else self.model.bytes_of(p))]
 
     def learn(self, chunks: list[str]) -> None:
+        """Encode chunks and keep their ids."""
+        if self.model.kind == "bpe":
+            # several spaces in a row are pieces of equal score: merged one by one
+            for c in [c for c in chunks if SPACE * 2 in c]:
+                self.known[c] = array("i", self._merged(c)).tobytes()
+            chunks = [c for c in chunks if SPACE * 2 not in c]
+            together = [c for c in chunks if len(c) <= TOGETHER and self.characters.issuperset(c)]
+            if together:
+                self._relax_together(together)
+            chunks = [c for c in chunks if c not in self.known]
+        if not chunks:
+            return
         relax = self._relax_bpe if self.model.kind == "bpe" else self._relax_unigram
-        for chunk, edges in zip(chunks, self.edges(chunks)):
-            got = None if self.model.kind == "bpe" and SPACE * 2 in chunk else relax(chunk, edges)
-            if got is None:  # pieces of equal score (runs of spaces): merge one by one
-                got = [j for p in self.merge(chunk) for j in ([self.model.id_of[p]] if p in self.model.id_of else self.model.bytes_of(p))]
-            self.known[chunk] = array("i", got).tobytes()
+        at, end, ids, starts = self.edges(chunks)
+        by = np.argsort(end.astype(np.int64) * (self.model.longest + 1) + at - end, kind="stable")
+        chunk = np.searchsorted(starts, at[by], side="right") - 1
+        cuts = np.searchsorted(chunk, np.arange(len(chunks) + 1)).tolist()
+        at, end, ids = (at[by] - starts[chunk]).tolist(), (end[by] - starts[chunk]).tolist(), ids[by].tolist()
+        for c, a, b in zip(chunks, cuts[:-1], cuts[1:]):
+            got = relax(c, zip(at[a:b], end[a:b], ids[a:b]))
+            self.known[c] = array("i", self._merged(c) if got is None else got).tobytes()
+
+    def _fits(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """:meth:`can_follow` of many pairs, by a table of recent answers."""
+        key = a.astype(np.int64) * self.model.size + b
+        place = (key * 0x9E3779B1 >> 7) & (len(self.seen) - 1)
+        miss = np.flatnonzero(self.seen[place] != key)
+        out = self.answer[place]
+        if len(miss):
+            new, back = np.unique(key[miss], return_inverse=True)
+            fits = np.array([self.can_follow(*divmod(k, self.model.size)) for k in new.tolist()])
+            out[miss] = fits[back]
+            self.seen[place[miss]], self.answer[place[miss]] = key[miss], fits[back]
+            both = self.seen[place[miss]] != key[miss]  # pairs that share a place: the last one stays
+            self.answer[place[miss][~both]] = fits[back][~both]
+        return out
+
+    def _relax_together(self, chunks: list[str]) -> None:
+        """The BPE relaxation of many chunks at once: all edges that end at a
+        chunk's first place, then at its second, and so on, longest first."""
+        at, end, ids, starts = self.edges(chunks)
+        first = starts[np.searchsorted(starts, at, side="right") - 1]
+        length = end - at
+        by = np.argsort((end - first) * (self.model.longest + 1) - length, kind="stable")
+        at, end, ids, length, step = at[by], end[by], ids[by], length[by], (end - first)[by]
+        last = np.full(starts[-1] + 1, -1, dtype=np.int32)
+        start_of = np.full(starts[-1] + 1, -1, dtype=np.int32)
+        reached = np.zeros(starts[-1] + 1, dtype=bool)
+        reached[starts[:-1]] = True
+        group = step.astype(np.int64) * (self.model.longest + 1) - length
+        cuts = np.concatenate([np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])), [len(group)]])
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            s, e, i = at[a:b], end[a:b], ids[a:b]
+            ok = reached[s] & ~reached[e]
+            s, e, i = s[ok], e[ok], i[ok]
+            before = last[s]
+            inner = before >= 0
+            ok = np.ones(len(s), dtype=bool)
+            ok[inner] = self._fits(before[inner], i[inner])
+            s, e, i = s[ok], e[ok], i[ok]
+            reached[e], last[e], start_of[e] = True, i, s
+        # back from the ends of all chunks
+        begin, node = starts[:-1], starts[1:] - 1
+        ok = reached[node]
+        which, ids_back, rank, turn = [], [], [], 0
+        live = np.flatnonzero(ok)
+        node = node.copy()
+        while len(live):
+            which.append(live)
+            ids_back.append(last[node[live]])
+            rank.append(np.full(len(live), -turn))
+            node[live] = start_of[node[live]]
+            live = live[node[live] > begin[live]]
+            turn += 1
+        if not which:
+            return
+        which, ids_back, rank = map(np.concatenate, (which, ids_back, rank))
+        by = np.lexsort((rank, which))
+        data = ids_back[by].astype("<i4").tobytes()
+        cuts = (4 * np.searchsorted(which[by], np.arange(len(chunks) + 1))).tolist()
+        for c, a, b, done in zip(chunks, cuts[:-1], cuts[1:], ok.tolist()):
+            if done:
+                self.known[c] = data[a:b]
 
     def texts(self, texts: list[str]) -> list[bytes]:
         """Ids of texts, as the bytes of 32-bit numbers."""
@@ -304,24 +383,41 @@ def _other(df: DataFrame, *names: str) -> list[str]:
     return [c for c in df.columns if c.lower() not in names]
 
 
-def encode(df: DataFrame, model: str, column: str = "text") -> DataFrame:
-    """``df`` with ``ids`` (array<int>) of the text in ``column``; ``model`` is the path of a model file."""
-    data, rest = _model_bytes(df, model), _other(df, "ids")
+def _lists(ids: list[bytes], texts: list) -> pa.Array:
+    """Bytes of ids as an Arrow list array, null where the text is."""
+    ends = np.cumsum([0, *map(len, ids)]) // 4
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), dtype=np.int32)), mask=pa.array([t is None for t in texts], pa.bool_()))
+
+
+def _decoder(path: str, data) -> PieceModel:
+    if ("decode", path) not in _cache:
+        _cache["decode", path] = PieceModel(data.value)
+    return _cache["decode", path]
+
+
+def encode(df: DataFrame, model: str, column: str = "text", decoded: bool = False) -> DataFrame:
+    """``df`` with ``ids`` (array<int>) of the text in ``column``; ``model`` is the
+    path of a model file.  With ``decoded``, also the text that these ids decode
+    to, made in the same pass."""
+    names = ("ids", "decoded") if decoded else ("ids",)
+    data, rest = _model_bytes(df, model), _other(df, *names)
     df = df.select(*rest)
     at = df.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(model, data.value)
         for batch in batches:
-            texts = batch.column(at).to_pylist()
-            for a, b in text_groups(texts, 4_000_000):
-                ids = enc.texts([t or "" for t in texts[a:b]])
-                ends = np.cumsum([0, *map(len, ids)]) // 4
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), dtype=np.int32)),
-                                                 mask=pa.array([t is None for t in texts[a:b]]))
-                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, lists], [*rest, "ids"])
+            for a in range(0, len(batch), ROWS):
+                part = batch.slice(a, ROWS)
+                texts = part.column(at).to_pylist()
+                ids = enc.texts([t or "" for t in texts])
+                new = [_lists(ids, texts)]
+                if decoded:
+                    new.append(pa.array([None if t is None else enc.model.decode(np.frombuffer(i, dtype=np.int32).tolist()) for t, i in zip(texts, ids)], pa.string()))
+                yield pa.RecordBatch.from_arrays([*part.columns, *new], [*rest, *names])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    kinds = {"ids": T.ArrayType(T.IntegerType()), "decoded": T.StringType()}
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, *(T.StructField(n, kinds[n]) for n in names)]))
 
 
 def decode(df: DataFrame, model: str, column: str = "ids") -> DataFrame:
@@ -331,10 +427,10 @@ def decode(df: DataFrame, model: str, column: str = "ids") -> DataFrame:
     at = df.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = encoder(model, data.value).model
+        m = _decoder(model, data)
         for batch in batches:
-            for a in range(0, len(batch), 1_000):
-                part = batch.slice(a, 1_000)
+            for a in range(0, len(batch), ROWS):
+                part = batch.slice(a, ROWS)
                 got = [None if ids is None else m.decode(ids) for ids in part.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(got, pa.string())], [*rest, "decoded"])
 
