@@ -164,7 +164,10 @@ def with_next(docs: DataFrame, buckets: int) -> DataFrame:
     cuts = docs.select(F.col("doc_id").cast("double").alias("d")).approxQuantile("d", [i / buckets for i in range(1, buckets)], 0.2 / buckets) if buckets > 1 else []
     splits = [float("-inf"), *sorted(set(cuts or [])), float("inf")]
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("doc_id").cast("double").alias("_d"))
-    keyed = Bucketizer(splits=splits, inputCol="_d", outputCol="_b", handleInvalid="keep").transform(keyed)
+    if len(splits) > 2:
+        keyed = Bucketizer(splits=splits, inputCol="_d", outputCol="_b", handleInvalid="keep").transform(keyed)
+    else:
+        keyed = keyed.withColumn("_b", F.lit(0.0))
     keyed = keyed.select("doc_id", "text", F.when(F.col("_d").isNull(), F.lit(len(splits))).otherwise(F.lit(len(splits) - 1) - F.col("_b")).cast("int").alias("place"),
                          F.xxhash64("text").alias("tie"))
     firsts = keyed.groupBy("place").agg(F.max(F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("d"), "tie")).alias("top"))
