@@ -14,7 +14,9 @@ def prepare_features(df: DataFrame, feature_cols=rules.FEATURE_COLS, bool_cols=r
                      keep: tuple[str, ...] = ("clinician_id",), label: str | None = rules.TARGET_COL,
                      prefix: str = "") -> DataFrame:
     """Numeric feature columns (named ``prefix + name``): booleans -> int,
-    NULL -> 0; decimals become DOUBLE (the vector holds doubles anyway)."""
+    NULL -> 0; decimals become DOUBLE (the vector holds doubles anyway).  With
+    ``label``, rows without a label are left out: they are neither trained on
+    nor evaluated."""
     cols = []
     dtypes = dict(df.dtypes)
     for c in feature_cols:
@@ -25,7 +27,8 @@ def prepare_features(df: DataFrame, feature_cols=rules.FEATURE_COLS, bool_cols=r
             cols.append(F.coalesce(x, F.lit(0)).alias(prefix + c))
     extra = [F.col(k) for k in keep]
     if label:
-        extra.append(F.coalesce(F.col(label).cast("int"), F.lit(0)).alias("label"))
+        df = df.filter(F.col(label).isNotNull())
+        extra.append(F.col(label).cast("int").alias("label"))
     return df.select(*extra, *cols)
 
 

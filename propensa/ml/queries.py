@@ -86,7 +86,7 @@ def m11(spark, sf_dir):
 @register("s9_feature_importance_csv_sink")
 def s9(spark, sf_dir):
     path = table_path(spark, "artifacts", f"feature_importance_{_tag(sf_dir)}")
-    csv_io.write_csv(model_for(spark, sf_dir).importances, path, single_file=True)
+    csv_io.write_csv(T.sorted_importances(model_for(spark, sf_dir).importances), path)
     return csv_io.read_csv(spark, path, {"feature": "varchar", "importance": "double"})
 
 

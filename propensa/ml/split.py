@@ -50,7 +50,7 @@ def assign_split(df: DataFrame, label: str = "label", key: str = "clinician_id",
     offsets = offsets.select(label, "_r", "_off", t_test.alias("_a"), (t_test + t_cal).alias("_b"),
                              (t_test + t_cal + t_val).alias("_c"))
     in_range = Window.partitionBy(label, "_r").orderBy("_h", key)
-    ranked = (h.join(F.broadcast(offsets), [label, "_r"], "left")
+    ranked = (h.join(offsets, [label, "_r"], "left")
               .withColumn("_pos", F.col("_off") + F.row_number().over(in_range)))
     split = (F.when(F.col("_pos") <= F.col("_a"), "test")
              .when(F.col("_pos") <= F.col("_b"), "calibration")

@@ -60,28 +60,26 @@ def _split(df: DataFrame) -> DataFrame:
     return df if "split" in df.columns else split_frame(df)
 
 
-ROWS_PER_TASK = 200_000
+#: Partitions of the rows a model is fitted on.  Boosting subsamples rows per
+#: partition, so this number is part of the model: it is a parameter, and never
+#: follows the number of rows or cores.  Raise it with the size of the data.
+FIT_PARTITIONS = 8
 
 
-def _sized(df: DataFrame, rows_per_task: int = ROWS_PER_TASK, key: str = "clinician_id") -> DataFrame:
-    """Boosting runs several jobs per tree; give each task about
-    ``rows_per_task`` rows (a few tens of MB of feature vectors): small
-    inputs are coalesced, large ones keep their partitioning.  Rows are
-    then ordered by key inside each partition: GBT subsamples rows in
-    partition order, so this makes the model independent of file layout."""
-    n = df.count()
-    # coalesce never adds partitions: large inputs pass through unchanged
-    return df.coalesce(max(1, -(-n // rows_per_task))).sortWithinPartitions(key)
+def _dealt(df: DataFrame, partitions: int, key: str = "clinician_id") -> DataFrame:
+    """Rows dealt by the hash of their key, in key order within partitions: the
+    same for any file layout and any cluster."""
+    return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
-def fit(mart: DataFrame, params: dict | None = None) -> tuple[PipelineModel, list[float]]:
+def fit(mart: DataFrame, params: dict | None = None, partitions: int = FIT_PARTITIONS) -> tuple[PipelineModel, list[float]]:
     """Fit GBT + calibration on the mart (or on its materialised split)."""
     spark = mart.sparkSession
     shared_dir(spark)  # boosting checkpoints go to the shared folder
     params = {**rules.GBT_PARAMS, **(params or {})}
     data = _split(mart)
     vec = assembler()
-    fit_part = vec.transform(_sized(data.filter(F.col("split").isin("train", "validation")))
+    fit_part = vec.transform(_dealt(data.filter(F.col("split").isin("train", "validation")), partitions)
                              .withColumn("is_validation", F.col("split") == "validation"))
     gbt = (GBTClassifier(featuresCol="features", labelCol="label", predictionCol="gbt_prediction",
                          validationIndicatorCol="is_validation", cacheNodeIds=False, checkpointInterval=10,
@@ -140,6 +138,11 @@ def importances_frame(spark: SparkSession, values: list[float]) -> DataFrame:
                                  "feature string, importance double")
 
 
+def sorted_importances(importances: DataFrame) -> DataFrame:
+    """One partition, most important first: the order of the written artifact."""
+    return importances.coalesce(1).sortWithinPartitions(F.desc("importance"), F.asc("feature"))
+
+
 def top_importances(importances: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` most important features."""
     return importances.orderBy(F.desc("importance"), F.asc("feature")).limit(n)

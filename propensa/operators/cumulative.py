@@ -58,7 +58,8 @@ def running_totals(df: DataFrame, key: str, measures: Sequence[str], descending:
     order = F.col(key).desc() if descending else F.col(key).asc()
     within = (Window.partitionBy(*groups, _RANGE).orderBy(order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    joined = bucketed.join(F.broadcast(offsets), [*groups, _RANGE], "left")
+    # without groups at most ``ranges`` + 1 rows; groups are the caller's, so then Spark's size check decides
+    joined = bucketed.join(offsets if groups else F.broadcast(offsets), [*groups, _RANGE], "left")
     return joined.select(
         *df.columns,
         *[(F.col(f"_o_{m}") + F.sum(m).over(within)).alias(f"{prefix}{m}") for m in measures],

@@ -4,15 +4,17 @@ materialised run that mirrors the reference's ``seed; run; test`` flow."""
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import threading
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 from propensa.operators.staging import staging
-from propensa.session import session_key
+from propensa.session import session_key, table_path
 from propensa.plans import models
 from propensa.sources import catalog
+from propensa.sources.seed_files import file_buckets, raw_from_files
 from propensa.sources.seeds import AS_OF, raw_inputs, seed_buckets
 
 
@@ -21,17 +23,18 @@ _run_lock = threading.Lock()
 _runs: dict[tuple, dict[str, DataFrame]] = {}
 
 
-def graph(spark: SparkSession, sf_dir: str, as_of: dt.date | None = AS_OF) -> dict[str, DataFrame]:
-    """Every layer as a lazy frame over the bucketed raw seed table.
+def graph(spark: SparkSession, sf_dir: str, as_of: dt.date | None = AS_OF, files: bool = False) -> dict[str, DataFrame]:
+    """Every layer as a lazy frame over the bucketed raw seed table, or, with
+    ``files``, over the three CSV files in ``sf_dir``.
 
     DataFrames are immutable plans, so the graph is built (and analysed)
     once per session and data set and shared by every query on it.
     """
-    key = (session_key(spark), sf_dir.rstrip("/"), as_of)
+    key = (session_key(spark), sf_dir.rstrip("/"), as_of, files)
     cached = _graphs.get(key)
     if cached is not None:
         return dict(cached)
-    raw = raw_inputs(spark, sf_dir, AS_OF if as_of is None else as_of)
+    raw = raw_from_files(spark, sf_dir) if files else raw_inputs(spark, sf_dir, AS_OF if as_of is None else as_of)
     stg = staging(raw)
     out: dict[str, DataFrame] = {f"raw_{k}": v for k, v in raw.items()}
     out.update(stg)
@@ -40,22 +43,34 @@ def graph(spark: SparkSession, sf_dir: str, as_of: dt.date | None = AS_OF) -> di
     return dict(out)
 
 
-def mart(spark: SparkSession, sf_dir: str, as_of: dt.date | None = AS_OF) -> DataFrame:
-    return graph(spark, sf_dir, as_of)["mart_conversion_features"]
+def identity(sf_dir: str, as_of: dt.date | None, files: bool) -> str:
+    """Suffix of the tables of one data set and date."""
+    return "_" + hashlib.md5(f"{sf_dir.rstrip('/')}|{as_of}|{files}".encode()).hexdigest()[:10]
 
 
-def run(spark: SparkSession, sf_dir: str, as_of: dt.date | None = AS_OF, suffix: str = "") -> dict[str, DataFrame]:
+def stored_mart(spark: SparkSession, sf_dir: str, as_of: dt.date | None = AS_OF, files: bool = False) -> DataFrame:
+    """The mart an earlier run wrote, by this application or another one with
+    the same layer folder.  Fails when there is none."""
+    name = "mart_conversion_features" + identity(sf_dir, as_of, files)
+    if spark.catalog.tableExists(f"marts.{name}"):
+        return spark.table(f"marts.{name}")
+    return spark.read.parquet(table_path(spark, "marts", name))
+
+
+def run(spark: SparkSession, sf_dir: str, as_of: dt.date | None = AS_OF, suffix: str | None = None,
+        files: bool = False) -> dict[str, DataFrame]:
     """Materialised run: staging as views, intermediate and marts as
     tables bucketed by ``clinician_id`` (the mart has three consumers:
     call list, training and scoring).  ``suffix`` keeps the tables of
-    different data sets apart in one catalog."""
-    key = (session_key(spark), sf_dir.rstrip("/"), as_of, suffix)
+    different data sets and dates apart; by default it names both."""
+    suffix = identity(sf_dir, as_of, files) if suffix is None else suffix
+    key = (session_key(spark), sf_dir.rstrip("/"), as_of, suffix, files)
     with _run_lock:
         done = _runs.get(key)
         if done is None or not all(spark.catalog.tableExists(f"{layer}.{name}{suffix}") for layer, name in (
                 ("intermediate", "int_clinician_features"), ("marts", "mart_weekly_call_list"))):
-            g = graph(spark, sf_dir, as_of)
-            done = _run(spark, g, as_of, suffix, seed_buckets(spark, sf_dir))
+            g = graph(spark, sf_dir, as_of, files)
+            done = _run(spark, g, as_of, suffix, file_buckets(spark, sf_dir) if files else seed_buckets(spark, sf_dir))
             _runs[key] = done
         return dict(done)
 

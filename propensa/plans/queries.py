@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from propensa import rules
+from propensa.functions import scoring
 from propensa.functions.scalar import round_half_up
 from propensa.ml.prepare import prepare_features
 from propensa.ml.split import assign_split
@@ -27,7 +28,9 @@ from propensa.plans.pipeline import graph
 from propensa.plans.validation import run_all
 from propensa.session import session_key, table_path
 from propensa.sources import csv_io
+from propensa.sources.seed_files import seed_file
 from propensa.sources.seeds import AS_OF, raw_inputs
+from propensa.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -78,7 +81,30 @@ def s1(spark, sf_dir):
 @register("s2_csv_scan_declared_clinicians")
 def s2(spark, sf_dir):
     """Clinicians seed from CSV with declared column types."""
-    return csv_io.read_csv(spark, seed_csv(spark, sf_dir, "clinicians"), csv_io.CLINICIAN_TYPES)
+    return csv_io.read_csv(spark, seed_csv(spark, sf_dir, "clinicians"), {**csv_io.CLINICIAN_TYPES, "clinician_id": "bigint"})
+
+
+def seed_files(spark, sf_dir) -> str:
+    """The three raw inputs as the CSV files a user would bring; returns their folder."""
+    key = (session_key(spark), "files", sf_dir.rstrip("/"))
+    if key not in _csv_written:
+        base = table_path(spark, "seed_files", hashlib.md5(sf_dir.rstrip("/").encode()).hexdigest()[:10])
+        for name, df in raw_inputs(spark, sf_dir, AS_OF).items():
+            csv_io.write_csv(df, seed_file(base, name))
+        _csv_written[key] = base
+    return _csv_written[key]
+
+
+@register("s2_mart_from_csv_files")
+def s2_mart(spark, sf_dir):
+    """The mart, from the three CSV files with text keys."""
+    return neutral(graph(spark, seed_files(spark, sf_dir), AS_OF, files=True)["mart_conversion_features"])
+
+
+@register("s2_call_list_from_csv_files")
+def s2_calls(spark, sf_dir):
+    """The call list, from the three CSV files with text keys."""
+    return neutral(graph(spark, seed_files(spark, sf_dir), AS_OF, files=True)["mart_weekly_call_list"])
 
 
 @register("s6_seed_firmographics")
@@ -369,8 +395,7 @@ def q8(spark, sf_dir):
 def materialized(spark, sf_dir):
     """The layers written as tables (once per session and data set)."""
     from propensa.plans.pipeline import run
-    suffix = "_" + hashlib.md5(sf_dir.rstrip("/").encode()).hexdigest()[:10]
-    return run(spark, sf_dir, AS_OF, suffix)
+    return run(spark, sf_dir, AS_OF)
 
 
 @register("q9_test_suite")
@@ -438,9 +463,9 @@ def s8(spark, sf_dir):
 
 def _scored_test(spark, sf_dir):
     """Baseline score on the test part of the stratified split."""
-    mart = G(spark, sf_dir)["mart_conversion_features"]
-    parts = assign_split(prepare_features(mart, feature_cols=[], bool_cols=[])).filter(F.col("split") == "test")
-    return mart.select("clinician_id", "baseline_propensity_score").join(parts, "clinician_id")
+    kept = prepare_features(G(spark, sf_dir)["mart_conversion_features"], feature_cols=[], bool_cols=[],
+                            keep=("clinician_id", "baseline_propensity_score"))
+    return assign_split(kept).filter(F.col("split") == "test")
 
 
 @register("m6_roc_auc_baseline_test_split")
@@ -482,3 +507,55 @@ def w2(spark, sf_dir):
     from propensa.ml.train import _ml_list
     pool = models.eligible(G(spark, sf_dir)["mart_conversion_features"])
     return neutral(_ml_list(pool, rules.CALL_LIST_SIZE, AS_OF, score_col="baseline_propensity_score"))
+
+
+# --- the same checks over driver columns where violations exist ----------------------------
+
+@register("q1_unique_order_customers")
+def q1v(spark, sf_dir):
+    return Q.unique(read_table(spark, sf_dir, "orders", ["o_custkey"]), "o_custkey")
+
+
+@register("q3_accepted_values_order_priority")
+def q3v(spark, sf_dir):
+    return Q.accepted_values(read_table(spark, sf_dir, "orders", ["o_orderpriority"]), "o_orderpriority", ["1-URGENT", "2-HIGH"])
+
+
+@register("q4_relationships_customers_to_orders")
+def q4v(spark, sf_dir):
+    """Customers without an order over 400,000."""
+    big = read_table(spark, sf_dir, "orders", ["o_custkey", "o_totalprice"]).filter("o_totalprice > 400000")
+    return Q.relationships(read_table(spark, sf_dir, "customer", ["c_custkey"]), big, "c_custkey", "o_custkey")
+
+
+@register("q5_expression_account_balance")
+def q5v(spark, sf_dir):
+    return Q.expression_is_true(read_table(spark, sf_dir, "customer", ["c_custkey", "c_acctbal"]), "c_acctbal >= 0")
+
+
+@register("q6_aggregate_order_count")
+def q6v(spark, sf_dir):
+    return Q.aggregate_is(read_table(spark, sf_dir, "orders", ["o_orderkey"]), F.count(F.lit(1)), 0, name="row_count")
+
+
+@register("q7_balance_in_range")
+def q7v(spark, sf_dir):
+    return Q.in_range(read_table(spark, sf_dir, "customer", ["c_custkey", "c_acctbal"]), "c_acctbal", 0, 9000, key="c_custkey")
+
+
+@register("d6_ehr_maturity_all_values")
+def d6v(spark, sf_dir):
+    """Every value of the EHR map, and one that it lacks, spread over the customers."""
+    names = F.array(*[F.lit(n) for n in [*rules.EHR_MATURITY_SCORES, "Unlisted"]])
+    c = read_table(spark, sf_dir, "customer", ["c_custkey"])
+    c = c.withColumn("ehr_system", names[(F.col("c_custkey") % F.size(names)).cast("int")])
+    return c.select("c_custkey", "ehr_system", scoring.lookup_score("ehr_system", rules.EHR_MATURITY_SCORES, rules.EHR_MATURITY_DEFAULT).alias("ehr_maturity_score"))
+
+
+@register("d7_specialty_need_all_values")
+def d7v(spark, sf_dir):
+    """Every value of the specialty map, and one that it lacks, spread over the customers."""
+    names = F.array(*[F.lit(n) for n in [*rules.SPECIALTY_NEED_SCORES, "Unlisted"]])
+    c = read_table(spark, sf_dir, "customer", ["c_custkey"])
+    c = c.withColumn("specialty", names[(F.col("c_custkey") % F.size(names)).cast("int")])
+    return c.select("c_custkey", "specialty", scoring.lookup_score("specialty", rules.SPECIALTY_NEED_SCORES, rules.SPECIALTY_NEED_DEFAULT).alias("specialty_need_score"))

@@ -173,8 +173,5 @@ VALIDATION_FRACTION = Decimal("0.1")
 SPLIT_SEED = 42
 TOP_K_METRIC = 80
 
-# Revenue bands (labels of the enrichment vendor).
-REVENUE_BANDS = ["<$1M", "$1M-$5M", "$5M-$20M", "$20M-$100M", "$100M+"]
-
 # Layer namespaces.
 LAYERS = ["raw", "staging", "intermediate", "marts"]

@@ -3,7 +3,6 @@ folder (``spark.checkpoint.dir``) that every materialised table lives in."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -50,9 +49,9 @@ def _conf(spark: SparkSession, key: str) -> str | None:
 def shared_dir(spark: SparkSession) -> str:
     """Folder for checkpoints and materialised layers.
 
-    Uses the cluster's ``spark.checkpoint.dir``.  Only when that is unset
-    (local runs and tests) a fresh folder under the temp dir is made and
-    registered as the checkpoint dir.
+    Uses the cluster's ``spark.checkpoint.dir``.  Only when that is unset and
+    the master is local (tests, bench) a fresh folder under the temp dir is
+    made and registered as the checkpoint dir.
     """
     try:
         sc = spark.sparkContext
@@ -68,13 +67,18 @@ def shared_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master or ""
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="propensa-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir().rstrip("/")
 
 
 def table_path(spark: SparkSession, *parts: str) -> str:
-    return "/".join([shared_dir(spark), "propensa", *parts])
+    """Place of a layer table or artifact: below ``spark.propensa.layers.dir``
+    if that is set, so that it outlives the application, else below the shared folder."""
+    return "/".join([(_conf(spark, "spark.propensa.layers.dir") or shared_dir(spark)).rstrip("/"), "propensa", *parts])
 
 
 ROWS_PER_BUCKET = 1_000_000
@@ -108,10 +112,6 @@ def default_buckets(spark: SparkSession) -> int:
     return hint if hint else int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def env_sf_dir(default: str = "/root/testdata/sf0.1") -> str:
-    return os.environ.get("BENCH_SF_DIR", default)
-
-
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
                  partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a cluster run sized from the input volume.

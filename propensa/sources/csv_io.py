@@ -21,7 +21,8 @@ _TYPES = {
     "timestamp": T.TimestampNTZType(),
 }
 
-_KEEP_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# whitespace is kept; quotes inside a quoted field are doubled (RFC 4180)
+_KEEP_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "quote": '"', "escape": '"'}
 
 
 def schema_from_types(columns: dict[str, str], default: str = "varchar") -> T.StructType:
@@ -31,18 +32,21 @@ def schema_from_types(columns: dict[str, str], default: str = "varchar") -> T.St
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | dict[str, str] | None = None,
-             declared: dict[str, str] | None = None) -> DataFrame:
-    """Header CSV scan.  With ``schema`` every type is declared; without it
-    the types are inferred (costs a second pass, avoid on large inputs),
-    and ``declared`` then fixes the types of some columns (partial
-    declaration, the remainder inferred)."""
-    reader = spark.read.option("header", "true").options(**_KEEP_SPACES)
+             declared: dict[str, str] | None = None, multiline: bool = False) -> DataFrame:
+    """Header CSV scan.  With ``schema`` every type is declared, the header
+    must name the same columns, and a value that is not of its type fails the
+    read; without it the types are inferred (costs a second pass, avoid on
+    large inputs), and ``declared`` then fixes the types of some columns
+    (partial declaration, the remainder inferred).  ``multiline`` allows line
+    breaks in quoted fields; a file is then read by one task."""
+    reader = spark.read.option("header", "true").option("multiLine", str(multiline).lower()).options(**_KEEP_SPACES)
     if schema is None:
         df = reader.option("inferSchema", "true").csv(path)
         if declared:
             df = df.select(*[F.col(c).cast(_TYPES[declared[c].lower()]).alias(c) if c in declared else F.col(c)
                              for c in df.columns])
         return df
+    reader = reader.option("mode", "FAILFAST").option("enforceSchema", "false")
     return reader.schema(schema_from_types(schema) if isinstance(schema, dict) else schema).csv(path)
 
 
@@ -67,20 +71,20 @@ def write_json_record(df: DataFrame, path: str) -> str:
     return path
 
 
-# Declared seed types (raw layer).
+# Declared seed types (raw layer).  Keys are text: entity ids need not be numbers.
 CLINICIAN_TYPES = {
-    "clinician_id": "bigint", "signup_date": "varchar", "specialty": "varchar", "state": "varchar",
+    "clinician_id": "varchar", "signup_date": "varchar", "specialty": "varchar", "state": "varchar",
     "ehr_system": "varchar", "practice_size": "varchar", "org_type": "varchar",
     "annual_patient_volume": "bigint", "converted_to_enterprise": "integer", "conversion_date": "varchar",
 }
 USAGE_TYPES = {
-    "clinician_id": "bigint", "snapshot_date": "varchar", "logins_per_week": "bigint",
+    "clinician_id": "varchar", "snapshot_date": "varchar", "logins_per_week": "bigint",
     "days_since_last_login": "bigint", "team_members_invited": "bigint", "api_calls_per_week": "bigint",
     "features_used_count": "bigint", "support_tickets_l90d": "bigint", "video_consults_per_week": "bigint",
     "async_messages_per_week": "bigint", "days_on_platform": "bigint",
 }
 FIRMOGRAPHIC_TYPES = {
-    "clinician_id": "bigint", "annual_patient_volume": "bigint", "revenue_band": "varchar",
+    "clinician_id": "varchar", "annual_patient_volume": "bigint", "revenue_band": "varchar",
     "num_locations": "integer", "has_billing_system": "integer", "accepts_insurance": "integer",
     "is_group_practice": "integer",
 }

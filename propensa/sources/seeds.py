@@ -61,7 +61,6 @@ RECENT_WINDOW_DAYS = 365
 API_CALLS_PER_ORDER = 180
 PRICE_BAND_WIDTH = 50000
 VOLUME_DIVISOR = 5
-MAX_FEATURES = 12
 CONVERSION_LAG_DAYS = 30
 LOCATION_SPREAD = 6
 
@@ -146,7 +145,7 @@ def customer_entities(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF)
         F.floor(F.col("min_age") / 8).cast("bigint").alias("days_since_last_login"),
         F.col("urgent").alias("team_members_invited"),
         (F.col("high_recent") * API_CALLS_PER_ORDER).alias("api_calls_per_week"),
-        F.greatest(F.lit(1), F.least(F.lit(MAX_FEATURES), F.col("price_bands"))).cast("bigint").alias("features_used_count"),
+        F.greatest(F.lit(1), F.col("price_bands")).cast("bigint").alias("features_used_count"),
         F.col("pending_recent").alias("support_tickets_l90d"),
         F.col("medium").alias("video_consults_per_week"),
         F.col("unspecified").alias("async_messages_per_week"),

@@ -1,7 +1,10 @@
 """The three job steps end to end on the smallest tables."""
 
+import datetime as dt
 import uuid
 
+import pytest
+
 from propensa import jobs
 from propensa.session import table_path
 from propensa.sources import csv_io
@@ -33,13 +36,35 @@ def test_cli_all(spark, capsys):
     assert "total_clinicians" in printed and "test_auc_roc" in printed
 
 
-def test_score_loads_the_saved_model(spark):
+def test_score_needs_the_saved_model_and_the_mart(spark):
     from pyspark.ml import PipelineModel
     out = table_path(spark, "tests", "handover_" + uuid.uuid4().hex)
+    jobs.pipeline(spark, SF_SMALL)
+    with pytest.raises(Exception):
+        jobs.score(spark, SF_SMALL, out)  # no model yet
     jobs.train(spark, SF_SMALL, out)
-    saved = PipelineModel.load(f"{out}/{jobs.MODEL_DIR}")
-    assert len(saved.stages) == 3
-    assert jobs._saved_model(out) is not None
-    assert jobs._saved_model(out + "_missing") is None
-    path = jobs.score(spark, SF_SMALL, out)
-    assert csv_io.read_csv(spark, path).count() == 80
+    assert len(PipelineModel.load(f"{out}/{jobs.MODEL_DIR}").stages) == 3
+    top = csv_io.read_csv(spark, f"{out}/feature_importance").collect()
+    assert [r.importance for r in top] == sorted((r.importance for r in top), reverse=True)
+    assert csv_io.read_csv(spark, jobs.score(spark, SF_SMALL, out)).count() == 80
+    with pytest.raises(Exception):
+        jobs.score(spark, SF_SMALL, out, as_of=dt.date(1999, 1, 1))  # no mart of that date
+
+
+def test_three_files_end_to_end(spark):
+    """The steps from CSV files; two data sets in turn do not disturb each other."""
+    from propensa.plans.queries import seed_files
+    seeds = seed_files(spark, SF_SMALL)
+    a = jobs.pipeline(spark, SF_SMALL)["summary"].collect()
+    b = jobs.pipeline(spark, seeds, files=True)
+    assert b["summary"].collect() == a
+    key = dict(b["layers"]["mart_weekly_call_list"].dtypes)["clinician_id"]
+    assert key == "string"
+    assert jobs.pipeline(spark, SF_SMALL)["summary"].collect() == a
+
+
+def test_failing_assertion_stops_the_run(spark, monkeypatch):
+    monkeypatch.setattr(jobs, "ASSERTED", ("always",))
+    monkeypatch.setattr(jobs, "run_all", lambda layers: spark.createDataFrame([("always", 1)], "test_name string, failures long"))
+    with pytest.raises(jobs.CheckFailed, match="always"):
+        jobs.pipeline(spark, SF_SMALL)

