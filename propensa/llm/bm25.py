@@ -18,7 +18,7 @@ aligned blocks instead of single documents).  Within a block, frequent terms of
 the shard are scored as a matrix product, the others from their postings.
 Single-precision sums choose candidates, with slack for rounding; candidates get
 their final scores in double precision, term by term in hash order.  The shards'
-lists are merged by one ranking per query.
+lists, one of at most k hits per query and shard, are merged in two levels.
 
 score(q, d) = sum over common terms of qtf * idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * len / mean len)),
 idf = ln(1 + (N - df + 0.5) / (df + 0.5)).  Ties rank the smaller doc_id first.
@@ -32,6 +32,7 @@ table or query set gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -41,7 +42,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import xxhash
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, new_path
@@ -49,7 +50,7 @@ from .warc import open_fs
 
 K1, B = 1.2, 0.75
 BLOCK = 128
-QUERY_BLOCK = 512
+QUERY_BLOCK = 128
 #: Terms in at least this share of a shard's documents are scored as a matrix product.
 DENSE_SHARE, DENSE_MOST = 1 / 64, 2048
 WORDS = re.compile(r"\w+")
@@ -214,12 +215,18 @@ class Shard:
         return float(np.cumsum(parts)[-1]) if len(parts) else 0.0
 
 
+def better(a: Column, b: Column) -> Column:
+    """Order of hits: larger scores first, then smaller ids (null ids first)."""
+    return (F.when(a["scores"] > b["scores"], -1).when(a["scores"] < b["scores"], 1).when(a["ids"].eqNullSafe(b["ids"]), 0)
+            .when(a["ids"].isNull(), -1).when(b["ids"].isNull(), 1).when(a["ids"] < b["ids"], -1).otherwise(1))
+
+
 def top_k(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """(query_id, rank, doc_id, score): the best ``k`` documents of ``docs``
     (doc_id, text) for each row of ``queries`` (query_id, text)."""
     spark = docs.sparkSession
     index = materialize(term_rows(docs), "bm25-terms")
-    total = index.agg(F.count("*").alias("n"), F.sum("length").alias("words")).first()
+    total = index.select("length", F.spark_partition_id().alias("shard")).agg(F.count("*").alias("n"), F.sum("length").alias("words"), F.count_distinct("shard").alias("shards")).first()
     n, mean = total.n, (total.words or 0) / total.n if total.n else 0.0
 
     asked = term_rows(queries.select(F.col("query_id").alias("doc_id"), "text")).withColumn("query", F.monotonically_increasing_id())
@@ -251,7 +258,7 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         rows = pd.concat(parts, ignore_index=True)
         shard = Shard(rows["doc_id"].fillna(-1).to_numpy(np.int64), rows["length"].to_numpy(np.float64),
                       [np.frombuffer(t, dtype="<i8") for t in rows["terms"]], [np.frombuffer(t, dtype="<i4") for t in rows["tfs"]], mean)
-        named = rows["doc_id"]
+        named = np.array([None if pd.isna(i) else int(i) for i in rows["doc_id"]], dtype=object)
         del parts
         store, base = open_fs(folder)
         listed = sorted(f.path for f in store.get_file_info(pafs.FileSelector(base)) if f.path.endswith(".parquet"))
@@ -265,10 +272,16 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
                     offs = batch.column(2).offsets.to_numpy()
                     t, w = batch.column(2).values.to_numpy(), batch.column(3).values.to_numpy()
                     qt, qw = [t[a:b] for a, b in zip(offs[:-1], offs[1:])], [w[a:b] for a, b in zip(offs[:-1], offs[1:])]
-                    out = [(qn[i], qids[i], d, s) for i, ds, ss in shard.search(qn, qt, qw, k) for d, s in zip(named.iloc[ds], ss)]
+                    out = [(qn[i], qids[i], named[ds].tolist(), ss.tolist()) for i, ds, ss in shard.search(qn, qt, qw, k)]
                     if out:
-                        yield pd.DataFrame(out, columns=["query", "query_id", "doc_id", "score"]).astype({"query_id": "Int64", "doc_id": "Int64"})
-
-    hits = index.mapInPandas(run, "query long, query_id long, doc_id long, score double")
-    order = Window.partitionBy("query").orderBy(F.col("score").desc(), F.col("doc_id"))
-    return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
+                        yield pd.DataFrame(out, columns=["query", "query_id", "ids", "scores"]).astype({"query_id": "Int64"})
+
+    # one list per query and shard; lists are merged in two levels, so that no task gets all lists of a query
+    lists = index.mapInPandas(run, "query long, query_id long, ids array<long>, scores array<double>")
+    lists = lists.select("query", "query_id", F.spark_partition_id().alias("shard"), F.arrays_zip("scores", "ids").alias("hits"))
+    width = max(1, math.isqrt(total.shards))
+    best = lambda c: F.slice(F.array_sort(F.flatten(F.collect_list(c)), better), 1, k)
+    merged = lists.groupBy("query", "query_id", (F.col("shard") % width).alias("part")).agg(best("hits").alias("hits"))
+    merged = merged.groupBy("query", "query_id").agg(best("hits").alias("hits"))
+    return merged.select("query_id", F.posexplode("hits").alias("rank", "hit")).select(
+        "query_id", (F.col("rank") + 1).alias("rank"), F.col("hit.ids").alias("doc_id"), F.col("hit.scores").alias("score"))
