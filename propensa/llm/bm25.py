@@ -50,7 +50,7 @@ from .warc import open_fs
 
 K1, B = 1.2, 0.75
 BLOCK = 128
-QUERY_BLOCK = 128
+QUERY_BLOCK = 256
 #: Terms in at least this share of a shard's documents are scored as a matrix product.
 DENSE_SHARE, DENSE_MOST = 1 / 64, 2048
 WORDS = re.compile(r"\w+")
@@ -188,11 +188,14 @@ class Shard:
             hit_q, hit_d = np.nonzero((s * slack >= threshold[live][:, None]) & (s > 0))
             if not len(hit_q):
                 continue
-            merged = np.concatenate([best[live], np.where(s > 0, s, 0)], axis=1)
-            best[live] = -np.partition(-merged, k - 1, axis=1)[:, :k]
-            threshold[live] = best[live].min(axis=1) / slack
+            # only queries with a hit can have a better k-th score
+            moved = np.unique(hit_q)
+            rows = live[moved]
+            merged = np.concatenate([best[rows], np.maximum(s[moved], 0)], axis=1)
+            best[rows] = np.partition(merged, merged.shape[1] - k, axis=1)[:, -k:]
+            threshold[rows] = best[rows].min(axis=1) / slack
             ends = np.searchsorted(hit_q, np.arange(len(live) + 1))
-            for j in np.unique(hit_q):
+            for j in moved:
                 e = slice(ends[j], ends[j + 1])
                 found[live[j]].append((hit_d[e] + lo, s[j, hit_d[e]]))
         for i in range(nq):
