@@ -1,14 +1,16 @@
 """Train, calibrate, evaluate and score.
 
-* M3: ``GBTClassifier`` on the train part, early stopping on the
-  validation part (``validationIndicatorCol``).  Trees are grown level by
+* M3: ``GBTClassifier`` on the train part; the number of rounds follows
+  from the loss curve on the validation part with a patience window
+  (``stop_round``).  Trees are grown level by
   level across executors (one histogram aggregation per level); the
   boosting state is checkpointed into the shared folder every 10
   iterations, so a lost executor costs a short recomputation, not the
   job.  Trees are shallow (depth 4), so they are shipped to the executors
   instead of caching per-row node ids.
 * M4: isotonic calibration of the GBT probability, fitted on its own
-  calibration part (not on the rows it is evaluated on).
+  calibration part (not on the rows it is evaluated on).  Rows of equal
+  probability are one weighted point, and ``CALIBRATION_ROWS`` bounds the rows.
 * M6-M8 on the untouched test part, through the distributed metrics in
   ``operators.metrics``.
 * The fitted stages form one ``PipelineModel`` (assembler -> GBT ->
@@ -23,8 +25,9 @@ import threading
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.regression import IsotonicRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,12 +69,53 @@ def _split(df: DataFrame) -> DataFrame:
 FIT_PARTITIONS = 8
 
 
+#: Expected bound of the labelled rows the calibration is fitted on (those with
+#: the smallest id hashes): its blocks are merged on the driver.
+CALIBRATION_ROWS = 1_000_000
+
+
 def _dealt(df: DataFrame, partitions: int, key: str = "clinician_id") -> DataFrame:
     """Rows dealt by the hash of their key, in key order within partitions: the
     same for any file layout and any cluster."""
     return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
+def stop_round(losses: list[float], patience: int, tolerance: float) -> int | None:
+    """Rounds to keep: up to the first one whose loss is not below the worst of
+    the ``patience`` rounds before it by more than ``tolerance``; None if the
+    curve has no such round."""
+    for i in range(patience, len(losses)):
+        if losses[i] + tolerance >= max(losses[i - patience:i]):
+            return i + 1
+    return None
+
+
+def boost(gbt: GBTClassifier, train: DataFrame, validation: DataFrame, patience: int, tolerance: float) -> GBTClassificationModel:
+    """Fit without stopping, choose the rounds on the validation part's loss
+    curve, fit again with that number.  The first rounds of a longer fit are
+    those of a shorter one, so a short curve is tried first."""
+    most = gbt.getMaxIter()
+    for rounds in sorted({min(4 * patience, most), most}):
+        model = gbt.copy({gbt.maxIter: rounds}).fit(train)
+        keep = stop_round(model.evaluateEachIteration(validation), patience, tolerance)
+        if keep is not None:
+            return model if keep == rounds else gbt.copy({gbt.maxIter: keep}).fit(train)
+    return model
+
+
+def calibrate(scored: DataFrame, rows: int = CALIBRATION_ROWS, key: str = "clinician_id") -> IsotonicRegressionModel:
+    """Isotonic fit of ``label`` on ``gbt_probability``, from at most about
+    ``rows`` rows.  Rows of one probability enter as their mean label, weighted
+    by their number, which gives the same curve as the rows themselves."""
+    n = scored.count()
+    p = vector_to_array("gbt_probability")[1]
+    points = (scored.filter(F.pmod(F.xxhash64(key), F.lit(max(n, rows))) < rows)
+              .groupBy(p.alias("p")).agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("weight"))
+              .select(array_to_vector(F.array(1 - F.col("p"), F.col("p"))).alias("gbt_probability"), "label", "weight"))
+    return IsotonicRegression(featuresCol="gbt_probability", featureIndex=1, labelCol="label", weightCol="weight",
+                              predictionCol=PROB, isotonic=True).fit(points)
+
+
 def fit(mart: DataFrame, params: dict | None = None, partitions: int = FIT_PARTITIONS) -> tuple[PipelineModel, list[float]]:
     """Fit GBT + calibration on the mart (or on its materialised split)."""
     spark = mart.sparkSession
@@ -79,16 +123,14 @@ def fit(mart: DataFrame, params: dict | None = None, partitions: int = FIT_PARTI
     params = {**rules.GBT_PARAMS, **(params or {})}
     data = _split(mart)
     vec = assembler()
-    fit_part = vec.transform(_dealt(data.filter(F.col("split").isin("train", "validation")), partitions)
-                             .withColumn("is_validation", F.col("split") == "validation"))
+    patience, tolerance = params.pop("patience"), params.pop("tolerance")
     gbt = (GBTClassifier(featuresCol="features", labelCol="label", predictionCol="gbt_prediction",
-                         validationIndicatorCol="is_validation", cacheNodeIds=False, checkpointInterval=10,
-                         **params)
+                         cacheNodeIds=False, checkpointInterval=10, **params)
            .setProbabilityCol("gbt_probability").setRawPredictionCol("gbt_raw"))
-    gbt_model = gbt.fit(fit_part)
-    calib = gbt_model.transform(vec.transform(data.filter(F.col("split") == "calibration")))
-    iso = IsotonicRegression(featuresCol="gbt_probability", featureIndex=1, labelCol="label",
-                             predictionCol=PROB, isotonic=True).fit(calib)
+    part = {name: vec.transform(data.filter(F.col("split") == name)) for name in ("validation", "calibration")}
+    train = vec.transform(_dealt(data.filter(F.col("split") == "train"), partitions))
+    gbt_model = boost(gbt, train, part["validation"], patience, tolerance)
+    iso = calibrate(gbt_model.transform(part["calibration"]))
     return PipelineModel(stages=[vec, gbt_model, iso]), list(gbt_model.featureImportances.toArray())
 
 
@@ -129,6 +171,7 @@ def evaluate(model: PipelineModel, mart: DataFrame) -> DataFrame:
              "n_train", "n_test", "conversion_rate"]
     pick = {n: F.max(F.when(F.col("metric") == n, F.col("v"))) for n in order}
     return long.agg(*[(pick[n].cast("bigint") if n.startswith("n_") else pick[n]).alias(n) for n in order]).withColumn(
+        "n_trees", F.lit(len(model.stages[1].treeWeights)).cast("bigint")).withColumn(
         "features", F.array(*[F.lit(c) for c in rules.FEATURE_COLS]))
 
 

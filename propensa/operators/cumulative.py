@@ -2,10 +2,9 @@
 
 A window with ``orderBy`` and no ``partitionBy`` moves every row into one
 task.  Here the ordered key is cut into ranges first (range bounds from
-``approxQuantile``, a few dozen numbers), each range gets the totals of
-all ranges before it from a small per-range aggregate (one row per range,
-so its size is bounded by the range count and it is broadcast), and the
-running sum inside a range is an ordinary window partitioned by the range.
+``approxQuantile``; their number follows from the rows), each range gets
+the totals of all ranges before it from a small per-range aggregate (one
+row per range), and the running sum inside a range is an ordinary window partitioned by the range.
 The bounds only steer balance; the result is exact whatever they are.
 The input is usually already grouped by the key (one row per distinct
 score), so the checkpoint it is written to is small.
@@ -21,10 +20,13 @@ from pyspark.sql import functions as F
 
 _RANGE = "_range"
 
+#: Rows of a range, on average; a range is one window group.
+ROWS_PER_RANGE = 100_000
 
-def _range_bounds(df: DataFrame, key: str, ranges: int, rel_err: float = 1e-3) -> list[float]:
+
+def _range_bounds(df: DataFrame, key: str, ranges: int) -> list[float]:
     probs = [i / ranges for i in range(1, ranges)]
-    qs = df.approxQuantile(key, probs, rel_err) if ranges > 1 else []
+    qs = df.approxQuantile(key, probs, min(1e-3, 0.25 / ranges)) if ranges > 1 else []
     inner = sorted({float(q) for q in qs})
     if not inner:
         inner = [0.0]
@@ -32,17 +34,19 @@ def _range_bounds(df: DataFrame, key: str, ranges: int, rel_err: float = 1e-3) -
 
 
 def running_totals(df: DataFrame, key: str, measures: Sequence[str], descending: bool = False,
-                   ranges: int = 64, prefix: str = "cum_", groups: Sequence[str] = ()) -> DataFrame:
+                   ranges: int | None = None, prefix: str = "cum_", groups: Sequence[str] = ()) -> DataFrame:
     """Adds ``cum_<m>`` = sum of ``m`` over all rows at or before this row's
     ``key`` in the chosen direction (within each of ``groups``).  ``key``
     must be unique per row and group (run it on a table already grouped by
     the key) and numeric.  ``groups`` are low-cardinality segment columns
-    (e.g. a split): the offset table holds groups x ranges rows."""
+    (e.g. a split): the offset table holds groups x ranges rows.  ``ranges``
+    defaults to one per ``ROWS_PER_RANGE`` rows; the result is the same for any
+    number."""
     groups = list(groups)
     # the range bounds need one pass over the input and the totals another:
     # checkpoint it (shared folder) so the upstream plan runs only once
     df = df.checkpoint(eager=True)
-    bounds = _range_bounds(df, key, ranges)
+    bounds = _range_bounds(df, key, ranges or -(-df.count() // ROWS_PER_RANGE))
     keyed = df.withColumn("_k", F.col(key).cast("double"))
     bucketed = Bucketizer(splits=bounds, inputCol="_k", outputCol=_RANGE, handleInvalid="keep").transform(keyed)
     bucketed = bucketed.withColumn(_RANGE, F.col(_RANGE).cast("int"))
@@ -58,8 +62,8 @@ def running_totals(df: DataFrame, key: str, measures: Sequence[str], descending:
     order = F.col(key).desc() if descending else F.col(key).asc()
     within = (Window.partitionBy(*groups, _RANGE).orderBy(order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # without groups at most ``ranges`` + 1 rows; groups are the caller's, so then Spark's size check decides
-    joined = bucketed.join(offsets if groups else F.broadcast(offsets), [*groups, _RANGE], "left")
+    # Spark's size check decides whether the offsets are broadcast
+    joined = bucketed.join(offsets, [*groups, _RANGE], "left")
     return joined.select(
         *df.columns,
         *[(F.col(f"_o_{m}") + F.sum(m).over(within)).alias(f"{prefix}{m}") for m in measures],

@@ -21,7 +21,7 @@ from propensa.ml.prepare import prepare_features
 from propensa.ml.split import assign_split
 from propensa.operators import metrics as M
 from propensa.operators import quality as Q
-from propensa.operators.rank import sorted_by_score
+from propensa.operators.rank import sorted_by_score, with_position
 from propensa.operators.staging import stg_usage_metrics
 from propensa.plans import models
 from propensa.plans.pipeline import graph
@@ -334,8 +334,9 @@ def a6(spark, sf_dir):
 
 @register("o1_mart_sorted_by_score")
 def o1(spark, sf_dir):
-    return neutral(sorted_by_score(G(spark, sf_dir)["mart_conversion_features"], "baseline_propensity_score")
-                   .select("clinician_id", "baseline_propensity_score", "engagement_tier"))
+    """The sorted mart, each row with the place it has in the output."""
+    mart = G(spark, sf_dir)["mart_conversion_features"].select("clinician_id", "baseline_propensity_score", "engagement_tier")
+    return neutral(with_position(sorted_by_score(mart, "baseline_propensity_score"), "place"))
 
 
 @register("o5_top5_report")

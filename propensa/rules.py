@@ -166,7 +166,8 @@ GBT_PARAMS = {
     "subsamplingRate": 0.8,
     "featureSubsetStrategy": "sqrt",
     "seed": 42,
-    "validationTol": 1e-4,
+    "tolerance": 1e-4,
+    "patience": 25,
 }
 TEST_FRACTION = Decimal("0.2")
 VALIDATION_FRACTION = Decimal("0.1")

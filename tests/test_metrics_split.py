@@ -130,3 +130,23 @@ def test_split_counts_for_many_class_sizes(spark):
         want = {"test": t, "calibration": c, "validation": v, "train": n - t - c - v}
         for part, k in want.items():
             assert counts.get((label, part), 0) == k, (label, part)
+
+
+def test_positions_follow_the_sorted_output(spark):
+    from propensa.operators.rank import sorted_by_score, with_position
+    rnd = random.Random(1)
+    rows = [(i, rnd.choice([None, 1.0, 2.0, 3.0])) for i in range(500)]
+    df = spark.createDataFrame(rows, "clinician_id int, s double").repartition(7)
+    got = {r.clinician_id: r.position for r in with_position(sorted_by_score(df, "s")).collect()}
+    want = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    assert [got[i] for i, _ in want] == list(range(1, 501))
+    assert with_position(sorted_by_score(df.filter("s > 5"), "s")).count() == 0
+
+
+def test_running_totals_ranges_follow_the_rows(spark, monkeypatch):
+    from propensa.operators import cumulative
+    df = spark.range(1000).select(F.col("id").cast("double").alias("k"), F.lit(1).cast("bigint").alias("m"))
+    monkeypatch.setattr(cumulative, "ROWS_PER_RANGE", 90)
+    got = {r.k: r.cum_m for r in running_totals(df, "k", ["m"]).collect()}
+    assert got == {float(i): i + 1 for i in range(1000)}
+    assert running_totals(df.filter("k < 0"), "k", ["m"]).count() == 0

@@ -81,3 +81,46 @@ def test_rows_without_a_label_are_left_out(spark):
     df = spark.createDataFrame([(1, None, 1.0), (2, True, None), (3, False, 2.0)], "clinician_id int, converted_to_enterprise boolean, v double")
     got = prepare_features(df, feature_cols=["v"], bool_cols=[]).orderBy("clinician_id").collect()
     assert [tuple(r) for r in got] == [(2, 1, 0.0), (3, 0, 2.0)]
+
+
+def test_patience_window_on_a_loss_curve():
+    from propensa.ml.train import stop_round
+    falling = [1 - 0.01 * i for i in range(60)]
+    assert stop_round(falling, 25, 1e-4) is None
+    assert stop_round(falling[:20] + [0.9] * 3, 25, 1e-4) is None  # shorter than the window
+    flat = falling[:10] + [falling[9]] * 50
+    # round 35 (from 1) is the first with only flat rounds in the 25 before it
+    assert stop_round(flat, 25, 1e-4) == 35
+    assert stop_round([0.5, 0.4, 0.3, 0.6], 2, 1e-4) == 4
+
+
+def test_boosting_keeps_the_chosen_rounds(spark):
+    from propensa.ml import train as T
+    from propensa.ml.prepare import assembler
+    from propensa.plans.pipeline import graph
+    from pyspark.ml.classification import GBTClassifier
+
+    data = assembler().transform(T.split_frame(graph(spark, SF_SMALL)["mart_conversion_features"])).cache()
+    train, valid = data.filter("split = 'train'"), data.filter("split = 'validation'")
+    gbt = GBTClassifier(maxIter=9, stepSize=0.5, maxDepth=3, seed=42, subsamplingRate=0.8)
+    losses = gbt.fit(train).evaluateEachIteration(valid)
+    short = gbt.copy({gbt.maxIter: 4}).fit(train).evaluateEachIteration(valid)
+    assert [round(x, 9) for x in losses[:4]] == [round(x, 9) for x in short]
+    model = T.boost(gbt, train, valid, 2, 10.0)  # nothing falls by 10, so it stops as soon as it can
+    assert len(model.treeWeights) == 3 == T.stop_round(losses, 2, 10.0)
+
+
+def test_calibration_of_weighted_points_equals_that_of_rows(spark):
+    import random
+
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.regression import IsotonicRegression
+    from propensa.ml.train import calibrate
+    rnd = random.Random(5)
+    rows = [(i, p, int(rnd.random() < p)) for i in range(400) for p in [rnd.randrange(30) / 30]]
+    df = spark.createDataFrame(rows, "clinician_id int, p double, label int").select(
+        "*", array_to_vector(F.array(1 - F.col("p"), F.col("p"))).alias("gbt_probability"))
+    by_row = IsotonicRegression(featuresCol="p", labelCol="label", predictionCol="y").fit(df)
+    want = {r.clinician_id: r.y for r in by_row.transform(df).collect()}
+    got = {r.clinician_id: r.ml_conversion_probability for r in calibrate(df).transform(df).collect()}
+    assert all(abs(got[i] - want[i]) < 1e-12 for i in want)
