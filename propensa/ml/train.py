@@ -1,8 +1,8 @@
 """Train, calibrate, evaluate and score.
 
-* M3: ``GBTClassifier`` on the train part; the number of rounds follows
-  from the loss curve on the validation part with a patience window
-  (``stop_round``).  Trees are grown level by
+* M3: ``GBTClassifier`` on the train part, early stopping on the
+  validation part (``validationIndicatorCol``, or with ``patience`` a window
+  over the loss curve, see ``boost``).  Trees are grown level by
   level across executors (one histogram aggregation per level); the
   boosting state is checkpointed into the shared folder every 10
   iterations, so a lost executor costs a short recomputation, not the
@@ -128,8 +128,13 @@ def fit(mart: DataFrame, params: dict | None = None, partitions: int = FIT_PARTI
                          cacheNodeIds=False, checkpointInterval=10, **params)
            .setProbabilityCol("gbt_probability").setRawPredictionCol("gbt_raw"))
     part = {name: vec.transform(data.filter(F.col("split") == name)) for name in ("validation", "calibration")}
-    train = vec.transform(_dealt(data.filter(F.col("split") == "train"), partitions))
-    gbt_model = boost(gbt, train, part["validation"], patience, tolerance)
+    if patience:
+        train = vec.transform(_dealt(data.filter(F.col("split") == "train"), partitions))
+        gbt_model = boost(gbt, train, part["validation"], patience, tolerance)
+    else:
+        both = vec.transform(_dealt(data.filter(F.col("split").isin("train", "validation")), partitions)
+                             .withColumn("is_validation", F.col("split") == "validation"))
+        gbt_model = gbt.setValidationIndicatorCol("is_validation").setParams(validationTol=tolerance).fit(both)
     iso = calibrate(gbt_model.transform(part["calibration"]))
     return PipelineModel(stages=[vec, gbt_model, iso]), list(gbt_model.featureImportances.toArray())
 

@@ -167,7 +167,8 @@ GBT_PARAMS = {
     "featureSubsetStrategy": "sqrt",
     "seed": 42,
     "tolerance": 1e-4,
-    "patience": 25,
+    # rounds of the patience window (25 for the longer fit); None stops at the first round within the tolerance
+    "patience": None,
 }
 TEST_FRACTION = Decimal("0.2")
 VALIDATION_FRACTION = Decimal("0.1")
