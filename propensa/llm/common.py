@@ -3,11 +3,20 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from propensa.session import shared_dir
 
+#: Bytes of text that are Python strings at once.
+PART_BYTES = 4 << 20
+
+_kept: dict[str, dict] = {}
+
 
 def scan(spark: SparkSession, sf_dir: str, table: str, *cols: str) -> DataFrame:
     """The named columns of one input table."""
@@ -40,3 +49,32 @@ def fresh_name(base: str, taken: list[str]) -> str:
 def arrow_rows(batch, *names):
     """The named columns of an Arrow batch as Python lists."""
     return [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names]
+
+
+def worker_cache(owner: str) -> dict:
+    """The table that ``owner`` keeps in this Python worker.  A worker serves one
+    stage after another; it keeps the table of the operator it serves only."""
+    if owner not in _kept:
+        _kept.clear()
+        _kept[owner] = {}
+        pa.default_memory_pool().release_unused()
+    return _kept[owner]
+
+
+def text_parts(batch: pa.RecordBatch, column: int, limit: int = PART_BYTES) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """``batch`` in slices of consecutive rows with about ``limit`` bytes of text
+    in ``column`` (one row at least), each with its texts."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(batch):
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        part = batch.slice(at, to - at)
+        yield part, part.column(column).to_pylist()
+        at = to
+
+
+def text_place(keep: tuple[str, ...]) -> tuple[int, list[str]]:
+    """Place of ``text`` among the columns sent to Python: that among ``keep``, or
+    else after them, with the columns to send in addition."""
+    return (keep.index("text"), []) if "text" in keep else (len(keep), ["text"])

@@ -47,14 +47,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_name, materialize
+from .common import fresh_name, materialize, text_parts, worker_cache
 from .components import components
 
 WORDS, PERCENT = 4, 85
 BUCKET_BITS = 16
 ROUNDS = 2
-
-_words: dict[bytes, int] = {}
+#: Distinct words whose hashes a Python worker keeps.
+CACHE_WORDS = 400_000
 
 
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
@@ -62,11 +62,12 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     found = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not found:
         return np.empty(0, dtype=np.uint64)
-    if len(_words) > 400_000:
-        _words.clear()
-    for w in set(found).difference(_words):
-        _words[w] = xxhash.xxh64_intdigest(w)
-    h = np.fromiter(map(_words.__getitem__, found), np.uint64, len(found))
+    known = worker_cache("jaccard")
+    if len(known) > CACHE_WORDS:
+        known.clear()
+    for w in set(found).difference(known):
+        known[w] = xxhash.xxh64_intdigest(w)
+    h = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
     n = min(words, len(h))
     out = np.full(len(h) - n + 1, n, dtype=np.uint64)
     with np.errstate(over="ignore"):
@@ -90,8 +91,9 @@ def bucket_counts(docs: DataFrame, words: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                np.add.at(total, bucket(shingles(text, words)), 1)
+            for _, texts in text_parts(batch, 0):
+                for text in texts:
+                    np.add.at(total, bucket(shingles(text, words)), 1)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["bucket", "n"])
 
@@ -120,9 +122,9 @@ def prefix_rows(docs: DataFrame, counts: np.ndarray, words: int, percent: int) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
-        for batch in batches:
+        for part, texts in (x for batch in batches for x in text_parts(batch, 3)):
             rows = []
-            for text in batch.column(3).to_pylist():
+            for text in texts:
                 s = shingles(text, words)
                 n = len(s)
                 if not n:
@@ -132,7 +134,7 @@ def prefix_rows(docs: DataFrame, counts: np.ndarray, words: int, percent: int) -
                 sig = xxhash.xxh3_128_hexdigest(s.tobytes())
                 rows.append((n, sig, xxhash.xxh3_128_hexdigest(prefix + n.to_bytes(8, "little")), prefix, parity(s)))
             kinds = (pa.int64(), pa.string(), pa.string(), pa.binary(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds))],
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], *(pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds))],
                                              ["doc_id", "key", "tie", "n", "sig", "grp", "prefix", "bits"])
 
     schema = "doc_id long, key long, tie long, n long, sig string, grp string, prefix binary, bits array<long>"
@@ -149,15 +151,15 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, pe
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, s = None, None  # rows of one a come together, so its set is made once
-        for batch in batches:
+        for part, texts in (x for batch in batches for x in text_parts(batch, 3)):
             ok = []
-            for text_a, text_b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            for text_a, text_b in zip(part.column(2).to_pylist(), texts):
                 if text_a != last:
                     last, s = text_a, shingles(text_a, words)
                 t = shingles(text_b, words)
                 common = len(np.intersect1d(s, t, assume_unique=True))
                 ok.append(100 * common >= percent * (len(s) + len(t) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return materialize(both.mapInArrow(run, "a long, b long"), "jaccard-links")
 

@@ -38,6 +38,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import text_parts, text_place, worker_cache
+
 PROFILE = 400
 ORDERS = (1, 2, 3)
 MAX_LANGUAGES = 2_000
@@ -46,8 +48,6 @@ LETTERS = re.compile(r"[^\W\d_]+")
 #: Distinct words whose n-grams a Python worker keeps before it starts anew.
 CACHE_WORDS = 150_000
 
-_cache: dict = {}
-
 
 class Grams:
     """Numbers of n-grams, and the n-grams of words, of a Python worker."""
@@ -115,10 +115,11 @@ def learn(docs: DataFrame, profile: int = PROFILE) -> list[tuple[str, str, int]]
             bags.clear()
 
         for batch in batches:
-            for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                bags.setdefault(lang, Counter()).update(LETTERS.findall(text.lower()))
-                if sum(map(len, bags.values())) > CACHE_WORDS:
-                    yield from flush()
+            for part, texts in text_parts(batch, 0):
+                for text, lang in zip(texts, part.column(1).to_pylist()):
+                    bags.setdefault(lang, Counter()).update(LETTERS.findall(text.lower()))
+                    if sum(map(len, bags.values())) > CACHE_WORDS:
+                        yield from flush()
         yield from flush()
 
     counted = (docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", F.col("lang").cast("string"))
@@ -171,16 +172,19 @@ def predict(docs: DataFrame, model: list[tuple[str, str, int]], profile: int = P
     """The ``keep`` columns of ``docs``, which must have ``text``, and lang_pred, score, fit."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     key = (profile, hash(tuple(model)))
+    at, more = text_place(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if _cache.get("key") != key:
-            _cache.update(key=key, predictor=Predictor(sent.value, profile))
-        predictor = _cache["predictor"]
+        cache = worker_cache("lang_id")
+        if cache.get("key") != key:
+            cache.update(key=key, predictor=Predictor(sent.value, profile))
+        predictor = cache["predictor"]
         for batch in batches:
-            got = [predictor(t) for t in batch.column(len(keep)).to_pylist()]
-            cols = [pa.array([g[0] for g in got], pa.string()), *(pa.array([g[i] for g in got], pa.float64()) for i in (1, 2))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], *cols], [*keep, "lang_pred", "score", "fit"])
+            for part, texts in text_parts(batch, at):
+                got = [predictor(t) for t in texts]
+                cols = [pa.array([g[0] for g in got], pa.string()), *(pa.array([g[i] for g in got], pa.float64()) for i in (1, 2))]
+                yield pa.RecordBatch.from_arrays([*part.columns[:len(keep)], *cols], [*keep, "lang_pred", "score", "fit"])
 
     schema = T.StructType([*(docs.schema[k] for k in keep), T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType()), T.StructField("fit", T.DoubleType())])
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(run, schema)
+    return docs.select(*keep, *more).mapInArrow(run, schema)

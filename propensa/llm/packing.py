@@ -31,12 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import text_parts, worker_cache
+
 END_ID = 2
 MAX_LEN = 4096
 #: Characters of distinct words whose ids a Python worker keeps.
-CACHE_CHARS = 8_000_000
-
-_cache: dict = {}
+CACHE_CHARS = 4_000_000
 
 
 class WordIds:
@@ -65,10 +65,11 @@ class WordIds:
 
 def word_ids(key: str, spec: str) -> WordIds:
     """This worker's ``WordIds`` for a tokenizer."""
-    if key not in _cache:
-        _cache.clear()
-        _cache[key] = WordIds(spec)
-    return _cache[key]
+    cache = worker_cache("packing")
+    if key not in cache:
+        cache.clear()
+        cache[key] = WordIds(spec)
+    return cache[key]
 
 
 def cut(n: int, max_len: int) -> list[tuple[int, int]]:
@@ -108,10 +109,9 @@ def pack(docs: DataFrame, tokenizer: str, max_len: int = MAX_LEN, end_id: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = word_ids(tokenizer, spec.value)
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
-            for a, b in text_groups(texts, 4_000_000):
+            for part, texts in text_parts(batch, 1):
                 row, start, length, total, ids = [], [], [], [], []
-                for i, got in enumerate(ids_of.texts([t or "" for t in texts[a:b]]), a):
+                for i, got in enumerate(ids_of.texts([t or "" for t in texts])):
                     got = np.append(got, np.uint32(end_id)).astype("<u4")
                     for s, n in cut(len(got), max_len):
                         row.append(i)
@@ -120,7 +120,7 @@ def pack(docs: DataFrame, tokenizer: str, max_len: int = MAX_LEN, end_id: int =
                         total.append(len(got))
                         ids.append(got[s:s + n].tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [keys.take(pa.array(row, pa.int64())), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
+                    [part.column(0).take(pa.array(row, pa.int64())), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
                      pa.array(ids, pa.binary()), pa.array(total, pa.int64())],
                     ["doc_id", "start", "length", "ids", "doc_tokens"])
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize
+from .common import materialize, text_parts, text_place
 
 MAX_ROWS = 20_000
 MAX_FEATURES = 4_096
@@ -182,6 +182,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_feat
 def score(docs: DataFrame, model: dict, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The ``keep`` columns of ``docs``, which must have ``text``, and the column score."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    at, more = text_place(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = sent.value["weights"], sent.value["bias"]
@@ -199,8 +200,8 @@ def score(docs: DataFrame, model: dict, keep: tuple[str, ...] = ("doc_id",)) ->
             return float(1 / (1 + np.exp(-min(max(z, -500.0), 500.0))))
 
         for batch in batches:
-            got = [of(t) for t in batch.column(len(keep)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], pa.array(got, pa.float64())], [*keep, "score"])
+            for part, texts in text_parts(batch, at):
+                yield pa.RecordBatch.from_arrays([*part.columns[:len(keep)], pa.array([of(t) for t in texts], pa.float64())], [*keep, "score"])
 
     schema = T.StructType([*(docs.schema[k] for k in keep), T.StructField("score", T.DoubleType())])
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(run, schema)
+    return docs.select(*keep, *more).mapInArrow(run, schema)
