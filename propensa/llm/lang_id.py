@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_parts, text_place, worker_cache
+from .common import fresh_name, text_parts, text_place, worker_cache
 
 PROFILE = 400
 ORDERS = (1, 2, 3)
@@ -169,10 +169,12 @@ class Predictor:
 
 
 def predict(docs: DataFrame, model: list[tuple[str, str, int]], profile: int = PROFILE, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The ``keep`` columns of ``docs``, which must have ``text``, and lang_pred, score, fit."""
+    """The ``keep`` columns of ``docs``, which must have ``text``, and lang_pred, score, fit
+    (the last three columns; underscores follow a name that ``keep`` has)."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     key = (profile, hash(tuple(model)))
     at, more = text_place(keep)
+    named = [fresh_name(n, list(keep)) for n in ("lang_pred", "score", "fit")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = worker_cache("lang_id")
@@ -183,8 +185,8 @@ def predict(docs: DataFrame, model: list[tuple[str, str, int]], profile: int = P
             for part, texts in text_parts(batch, at):
                 got = [predictor(t) for t in texts]
                 cols = [pa.array([g[0] for g in got], pa.string()), *(pa.array([g[i] for g in got], pa.float64()) for i in (1, 2))]
-                yield pa.RecordBatch.from_arrays([*part.columns[:len(keep)], *cols], [*keep, "lang_pred", "score", "fit"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:len(keep)], *cols], [*keep, *named])
 
-    schema = T.StructType([*(docs.schema[k] for k in keep), T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType()), T.StructField("fit", T.DoubleType())])
+    schema = T.StructType([*(docs.schema[k] for k in keep), T.StructField(named[0], T.StringType()),
+                           T.StructField(named[1], T.DoubleType()), T.StructField(named[2], T.DoubleType())])
     return docs.select(*keep, *more).mapInArrow(run, schema)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, text_parts, text_place
+from .common import fresh_name, materialize, text_parts, text_place
 
 MAX_ROWS = 20_000
 MAX_FEATURES = 4_096
@@ -180,9 +180,11 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_feat
 
 
 def score(docs: DataFrame, model: dict, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The ``keep`` columns of ``docs``, which must have ``text``, and the column score."""
+    """The ``keep`` columns of ``docs``, which must have ``text``, and the column score
+    (the last one; underscores follow if ``keep`` has that name)."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     at, more = text_place(keep)
+    named = fresh_name("score", list(keep))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = sent.value["weights"], sent.value["bias"]
@@ -201,7 +203,7 @@ def score(docs: DataFrame, model: dict, keep: tuple[str, ...] = ("doc_id",)) ->
 
         for batch in batches:
             for part, texts in text_parts(batch, at):
-                yield pa.RecordBatch.from_arrays([*part.columns[:len(keep)], pa.array([of(t) for t in texts], pa.float64())], [*keep, "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:len(keep)], pa.array([of(t) for t in texts], pa.float64())], [*keep, named])
 
-    schema = T.StructType([*(docs.schema[k] for k in keep), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*(docs.schema[k] for k in keep), T.StructField(named, T.DoubleType())])
     return docs.select(*keep, *more).mapInArrow(run, schema)

@@ -123,3 +123,12 @@ def test_pipeline_stages(spark):
     whole = corpus_pipeline.run(spark, SF_SMALL)
     assert whole.select("doc_id").distinct().count() == seen[-1]
     assert packing.check_packing(whole).count() == 0
+
+
+def test_filter_stages_with_clashing_columns(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    clash = docs.withColumns({n: F.lit("x") for n in ("lang_pred", "score", "fit")})
+    for _, stage in corpus_pipeline.STAGES[:2]:
+        out = stage(spark, clash, SF_SMALL)
+        assert out.columns == clash.columns
+        assert out.where("score = 'x' and fit = 'x'").count() == stage(spark, docs, SF_SMALL).count() > 0
