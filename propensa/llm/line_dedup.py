@@ -25,6 +25,12 @@ Edge cases: null texts stay null and empty texts empty; a text without a
 newline is one line; doc_id null sorts before every id (its chunks count as
 first); rows that repeat a doc_id are told apart by their text and are treated
 like copies; an empty table gives an empty result; extra columns pass through.
+
+:func:`line_dedup` finds a repeated passage only as far as its chunks lie
+wholly inside it, so of passages of a few lines of under ``min_words`` words it
+leaves most.  :func:`passage_dedup` has no chunks: every run of ``min_lines``
+adjacent lines is looked up, so a repeated passage of that many whole lines or
+more goes whatever surrounds it.
 """
 
 from __future__ import annotations
@@ -120,3 +126,63 @@ def line_dedup(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, mi
         *[F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text") if c == "text" else F.col(c) for c in out_cols],
         total.alias("n_lines"), removed.alias("n_lines_removed"),
         F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long").alias("n_chunks_removed"))
+
+
+def passage_spans(docs: DataFrame, row: str, min_lines: int, min_words: int) -> DataFrame:
+    """``docs`` (doc_id, text, ``row``) with one row per run of ``min_lines`` adjacent lines and per
+    line of at least ``min_words`` words: _row, doc_id, doc_key, start, n_lines and two digests."""
+    marks = F.transform(F.split("text", "\n", -1), lambda x: F.struct(
+        F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"), (words(x) >= min_words).alias("long")))
+    marked = (docs.where(F.col("text").isNotNull() & (F.col("text") != ""))
+              .select(F.col(row).alias("_row"), "doc_id", F.md5(F.col("text").cast("binary")).alias("doc_key"), marks.alias("_marks")))
+
+    def span(i: Column, n: int) -> Column:
+        digest = lambda part: F.xxhash64(F.lit(n), *[F.get("_marks", i + k)[part] for k in range(n)])
+        return F.struct(i.alias("start"), F.lit(n).alias("n_lines"), digest("a").alias("h1"), digest("b").alias("h2"))
+
+    every = F.sequence(F.lit(0), F.size("_marks") - 1)
+    runs = F.transform(F.filter(every, lambda i: i <= F.size("_marks") - min_lines), lambda i: span(i, min_lines))
+    longs = F.transform(F.filter(every, lambda i: F.get("_marks", i)["long"]), lambda i: span(i, 1))
+    return marked.select("_row", "doc_id", "doc_key", F.explode(F.concat(runs, longs)).alias("s")).select("_row", "doc_id", "doc_key", "s.*")
+
+
+def passage_dedup(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` (doc_id, text, ...) without the passages that occurred before, and the columns
+    n_lines, n_lines_removed, n_chunks_removed (runs of removed lines) as :func:`line_dedup` has them.
+
+    A line goes when it lies in a run of ``min_lines`` adjacent lines, or is a line of at least
+    ``min_words`` words, whose bytes occur at an earlier place (doc_id, then text hash, row, position).
+    The earliest place of a line keeps it, so every line stays once.
+    Rows that repeat both doc_id and text have a row number each, so all but one of them are copies."""
+    out_cols = [c for c in docs.columns if c.lower() not in ("n_lines", "n_lines_removed", "n_chunks_removed")]
+    row = fresh_name("_row", docs.columns)
+    docs = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "passages-rows")
+
+    spans = passage_spans(docs, row, min_lines, min_words)
+    repeated = (spans.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "doc_key", "_row", "start")).alias("first"), F.count("*").alias("n"))
+                .where("n > 1").select("h1", "h2", "first"))
+    repeated = materialize(repeated, "passages-repeated")
+    is_first = (F.col("_row") == F.col("first._row")) & (F.col("start") == F.col("first.start"))
+    hits = (spans.join(repeated, ["h1", "h2"]).groupBy("_row")
+            .agg(F.collect_list(F.struct("start", "n_lines", "h1", "h2", is_first.alias("is_first"))).alias("_hits")))
+
+    # only the bytes of spans with a repeated digest travel, to be compared with the first place's
+    lined = docs.select(F.col(row).alias("_row"), F.split("text", "\n", -1).alias("_lines")).join(hits, "_row")
+    taken = F.transform("_hits", lambda s: F.struct(
+        s["start"].alias("start"), s["n_lines"].alias("n_lines"), s["h1"].alias("h1"), s["h2"].alias("h2"), s["is_first"].alias("is_first"),
+        F.array_join(F.slice("_lines", s["start"] + 1, s["n_lines"]), "\n").alias("chunk")))
+    hold = materialize(lined.select("_row", F.explode(taken).alias("s")).select("_row", "s.*"), "passages-spans")
+    original = hold.where("is_first").select("h1", "h2", F.col("chunk").alias("first_chunk"))
+    gone = (hold.where(~F.col("is_first")).join(original, ["h1", "h2"]).where(F.col("chunk") == F.col("first_chunk"))
+            .select("_row", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n_lines") - 1)).alias("line"))
+            .groupBy("_row").agg(F.collect_set("line").alias("_gone")).withColumnRenamed("_row", "_gone_row"))
+
+    own = fresh_name("_lines", docs.columns)
+    both = docs.withColumn(own, F.split("text", "\n", -1)).join(gone, F.col("_gone_row") == F.col(row), "left")
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(own) - 1), F.col("_gone")), lambda i: F.get(own, i))
+    count = lambda c: F.when(F.col("_gone").isNull(), 0).otherwise(F.size(c)).cast("long")
+    return both.select(
+        *[F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text") if c == "text" else F.col(c) for c in out_cols],
+        F.when(F.col("text").isNull() | (F.col("text") == ""), 0).otherwise(F.size(own)).cast("long").alias("n_lines"),
+        count(F.col("_gone")).alias("n_lines_removed"),
+        count(F.array_except(F.col("_gone"), F.transform("_gone", lambda i: i + 1))).alias("n_chunks_removed"))
