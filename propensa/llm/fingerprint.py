@@ -1,7 +1,13 @@
 """Document fingerprints as invertible Bloom lookup sketches, in DataFrame functions only.
 
-A text's paragraphs are its lines, lines of many words cut into runs: of 32
-words, in texts under 1000 characters of 8, under 200 of 2 (``RUNS``).
+A text's paragraphs are by default its lines, lines of many words cut into runs
+of 32 words, in texts under 1000 characters of 8, under 200 of 2 (``RUNS``), so
+texts on two sides of such a length share almost none.  :func:`cut_digests`, the
+rule of op10, is the same for all lengths: a line is cut after every word whose
+hash is 0 modulo ``DIVISOR``, and after ``LONGEST`` words without one.  A word
+that is put in or taken out changes the paragraph it is in, and no paragraph
+beyond the next cut.
+
 The 64-bit digests of the distinct paragraphs go into a sketch of
 ``3 * SIDE`` cells; each digest is in one cell of each of the three parts,
 and a cell holds a count, the XOR of its digests and the XOR of their check
@@ -29,6 +35,7 @@ empty result; extra columns are ignored by :func:`fingerprints`.
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -39,6 +46,9 @@ from .common import materialize
 SIDE = 8
 #: (fewer characters than, words of a run); the last holds for all longer texts.
 RUNS = ((200, 2), (1000, 8), (None, 32))
+#: A line is cut after one distinct word of so many, and after so many words at the latest.
+DIVISOR = 8
+LONGEST = 32
 PER_BLOCK = 8
 ROUNDS = 8
 MAX_BUCKETS = 1000
@@ -53,6 +63,14 @@ def paragraph_digests(text: Column) -> Column:
     return F.array_distinct(F.transform(found, lambda u: F.xxhash64(u)))
 
 
+def cut_digests(text: Column) -> Column:
+    """Distinct 64-bit digests of a text's paragraphs, cut by the words and not by the text's length."""
+    tokens = F.split(F.replace(text, F.lit("\n"), F.lit(" \n ")), " ", -1)
+    cut = F.transform(tokens, lambda w: F.when(F.pmod(F.xxhash64(w), F.lit(DIVISOR)) == 0, F.concat(w, F.lit("\n"))).otherwise(w))
+    found = F.regexp_extract_all(F.array_join(cut, " "), F.lit(rf"((?:[^ \n]+ ?){{1,{LONGEST}}})"), 1)
+    return F.array_distinct(F.transform(found, lambda u: F.xxhash64(F.rtrim(u))))
+
+
 def check_value(key: Column) -> Column:
     return F.xxhash64(key, F.lit(17)).bitwiseAND(F.lit(0xFFFFFFFF))
 
@@ -190,18 +208,19 @@ def edited_text(text: Column, next_text: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), F.length(text) - k), F.substring(next_text, F.lit(1), k))
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, digests: Callable[[Column], Column] = paragraph_digests) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_chars, edited_sha256,
     fingerprint, edited_fingerprint, near_edited, near_next, and the numbers of
-    paragraphs that differ (differing_edited, differing_next)."""
+    paragraphs that differ (differing_edited, differing_next).  ``digests`` makes
+    the distinct digests of a text's paragraphs."""
     spark = docs.sparkSession
     rows = docs.count()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     edited = with_next(docs, min(2 * parts, 1 + rows // 200)).withColumn("edited", edited_text(F.col("text"), F.col("next_text")))
     base = materialize(edited.select(
         F.monotonically_increasing_id().alias("row"), "doc_id", F.length("text").cast("long").alias("n_chars"),
-        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), paragraph_digests(F.col("text")).alias("own"),
-        paragraph_digests(F.col("edited")).alias("changed"), paragraph_digests(F.col("next_text")).alias("following")), "fingerprint-digests")
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), digests(F.col("text")).alias("own"),
+        digests(F.col("edited")).alias("changed"), digests(F.col("next_text")).alias("following")), "fingerprint-digests")
     pairs = base.select(F.struct("row", F.lit(0).alias("kind")).alias("pair"), F.col("own").alias("a"), F.col("changed").alias("b")).unionAll(
         base.select(F.struct("row", F.lit(1).alias("kind")), "own", "following"))
     d = differences(pairs)

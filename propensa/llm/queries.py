@@ -88,7 +88,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and their likeness."""
-    return fingerprint.fingerprints(docs_of(spark, sf_dir))
+    return fingerprint.fingerprints(docs_of(spark, sf_dir), fingerprint.cut_digests)
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
