@@ -78,3 +78,30 @@ def text_place(keep: tuple[str, ...]) -> tuple[int, list[str]]:
     """Place of ``text`` among the columns sent to Python: that among ``keep``, or
     else after them, with the columns to send in addition."""
     return (keep.index("text"), []) if "text" in keep else (len(keep), ["text"])
+
+
+class Generations:
+    """A bounded table of what was worked out for strings: two dictionaries, of which
+    the older one goes when the younger has ``limit`` characters of keys.  Strings
+    that are asked for again move to the younger one, so frequent ones stay."""
+
+    def __init__(self, limit: int):
+        self.limit, self.young, self.old, self.chars = limit, {}, {}, 0
+
+    def missing(self, wanted: set) -> list:
+        """Make ``wanted`` present in ``young`` as far as known; the rest is returned."""
+        if self.chars > self.limit:
+            self.young, self.old, self.chars = {}, self.young, 0
+        absent, old = [], self.old
+        for w in wanted.difference(self.young):
+            got = old.get(w)
+            if got is None:
+                absent.append(w)
+            else:
+                self.young[w] = got
+                self.chars += len(w)
+        return absent
+
+    def put(self, key, value) -> None:
+        self.young[key] = value
+        self.chars += len(key)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bm25, fingerprint, jaccard_join, lang_id, line_dedup, packing, sp_encode, token_counts, toxicity, warc
+from . import bm25, byte_bpe, fingerprint, jaccard_join, lang_id, line_dedup, merkle, packing, periodic, sp_encode, token_counts, toxicity, warc
 from .common import scan
 
 
@@ -91,6 +91,55 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(docs_of(spark, sf_dir), fingerprint.cut_digests)
 
 
+def planted_text(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) with the periodic stretches that the contract of op11
+    writes over the words of every tenth document."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit("([^ \t-\r]+)"), 1)
+    rows = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("words"), F.floor(h / 10).cast("long").alias("g"))
+    rows = rows.withColumn("n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    rows = rows.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    block = F.slice("words", F.col("a") + 1, F.col("p"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(block, times)), F.lit(1), F.col("n") - F.col("a"))
+    edited = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    return rows.select("doc_id", F.when(F.col("n") > 0, edited).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, planted ones included."""
+    got = periodic.periodic_runs(planted_text(docs_of(spark, sf_dir)))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise(F.lit(""))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    rows = got.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+                      F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+    return rows.select("doc_id", "n_runs", (-F.col("best.s")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.p")).alias("period"),
+                       F.expr("1000 * best.length div -best.p").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level ids of every text, and the bytes that they decode to."""
+    import public_tokenizers
+
+    docs = docs_of(spark, sf_dir).withColumn("text", F.coalesce("text", F.lit("")))
+    got = byte_bpe.encode(docs, tokenizer_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, decoded=True)
+    return got.select("doc_id", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle leaves, proofs and roots of all documents; proofs checked with the texts
+    of every fifth document tampered with."""
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(remainder(5) == 0, lower).otherwise(F.col("text"))
+    got = merkle.manifest(scan(spark, sf_dir, "documents", *columns), columns, changed={"text": tampered})
+    got = got.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+                     merkle.fold(F.col("changed_leaf"), F.col("path")).alias("folded_root"))
+    return got.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline, stage after stage."""
     import corpus_pipeline
@@ -101,7 +150,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_sentencepiece, op2_bm25_topk, op3_jaccard_join, op4_token_counts, op5_warc, op6_language_id, op7_line_dedup,
-              op8_packing, op9_toxicity, op10_fingerprints, pipeline)
+              op8_packing, op9_toxicity, op10_fingerprints, op11_periodic_runs, op12_byte_bpe, op13_merkle_manifest, pipeline)
 }
 
 
@@ -137,4 +186,34 @@ done AS (SELECT doc_id, coalesce(string_agg(chunk, chr(10) ORDER BY start) FILTE
 SELECT o.doc_id, CASE WHEN o.text = '' OR o.text IS NULL THEN o.text ELSE done.text END AS text, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines,
        CAST(coalesce(n_lines_removed, 0) AS BIGINT) AS n_lines_removed, CAST(coalesce(n_chunks_removed, 0) AS BIGINT) AS n_chunks_removed
 FROM documents o LEFT JOIN done ON done.doc_id = o.doc_id""",
+    "op13_merkle_manifest": """
+WITH RECURSIVE id AS (SELECT *, CAST(doc_id AS VARCHAR) AS k FROM documents),
+crc AS (SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(k, ''), lambda c: CAST(ascii(c) AS BIGINT))),
+          lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END))) AS h FROM id),
+field AS (SELECT doc_id, coalesce('+' || source, '') AS g,
+                 coalesce(strlen(k) || ':' || k, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+                 || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+                 coalesce(strlen(text) || ':' || text, '-') AS body,
+                 CASE WHEN h % 5 = 0 THEN coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')
+                      ELSE coalesce(strlen(text) || ':' || text, '-') END AS other FROM crc),
+leaf AS (SELECT doc_id, g, sha256(head || body) AS leaf, sha256(head || other) AS changed FROM field),
+placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM leaf),
+low AS (SELECT CAST(0 AS BIGINT) AS l, g, pos, n, leaf AS d FROM placed
+        UNION ALL SELECT l + 1, g, pos // 16, (n + 15) // 16, sha256(string_agg(d, '' ORDER BY pos)) FROM low WHERE n > 1 GROUP BY l, g, pos // 16, n),
+sub AS (SELECT g, d AS subroot, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM low WHERE n = 1),
+top AS (SELECT CAST(0 AS BIGINT) AS l, pos, n, subroot AS d FROM sub
+        UNION ALL SELECT l + 1, pos // 16, (n + 15) // 16, sha256(string_agg(d, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY l, pos // 16, n),
+node AS (SELECT l, g, pos, d, n FROM low UNION ALL SELECT l, NULL, pos, d, n FROM top),
+step AS (SELECT l, g, pos, coalesce(string_agg(d, '') OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') || '|'
+                || coalesce(string_agg(d, '') OVER (r ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS s
+         FROM node WHERE n > 1 WINDOW r AS (PARTITION BY l, g, pos // 16 ORDER BY pos)),
+over AS (SELECT sub.g, subroot, list(s ORDER BY l) FILTER (WHERE s IS NOT NULL) AS steps FROM sub
+         LEFT JOIN step ON step.g IS NULL AND step.pos = sub.pos // CAST(16 ** step.l AS BIGINT) GROUP BY ALL),
+own AS (SELECT doc_id, p.g, leaf, changed, p.pos, list(s ORDER BY l) FILTER (WHERE s IS NOT NULL) AS steps FROM placed p
+        LEFT JOIN step ON step.g = p.g AND step.pos = p.pos // CAST(16 ** step.l AS BIGINT) GROUP BY ALL),
+path AS (SELECT doc_id, leaf, changed, subroot, (SELECT d FROM top WHERE n = 1) AS root, list_concat(coalesce(own.steps, []), coalesce(over.steps, [])) AS steps
+         FROM own JOIN over USING (g)),
+folded AS (SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(steps, ''), '|', '')) AS proof_sha256,
+                  list_reduce(list_prepend(changed, steps), lambda d, s: sha256(replace(s, '|', d))) AS folded_root FROM path)
+SELECT *, folded_root = root AS verified FROM folded""",
 }
