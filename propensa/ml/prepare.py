@@ -33,6 +33,8 @@ def prepare_features(df: DataFrame, feature_cols=rules.FEATURE_COLS, bool_cols=r
 
 
 MODEL_PREFIX = "f_"
+#: Bucket numbers of the prefixed features.
+BUCKET_PREFIX = "b_"
 
 
 def assembler(feature_cols=rules.FEATURE_COLS, output: str = "features", prefix: str = MODEL_PREFIX) -> VectorAssembler:

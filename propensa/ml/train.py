@@ -1,19 +1,13 @@
 """Train, calibrate, evaluate and score.
 
-* M3: ``GBTClassifier`` on the train part, early stopping on the
-  validation part (``validationIndicatorCol``, or with ``patience`` a window
-  over the loss curve, see ``boost``).  Trees are grown level by
-  level across executors (one histogram aggregation per level); the
-  boosting state is checkpointed into the shared folder every 10
-  iterations, so a lost executor costs a short recomputation, not the
-  job.  Trees are shallow (depth 4), so they are shipped to the executors
-  instead of caching per-row node ids.
-* M4: isotonic calibration of the GBT probability, fitted on its own
-  calibration part (not on the rows it is evaluated on).  Rows of equal
-  probability are one weighted point, and ``CALIBRATION_ROWS`` bounds the rows.
+* M3: boosted trees on the train part, ended by a patience window over the loss
+  of the validation part (``ml.boosting``).  Trees are grown level by
+  level across executors (one histogram aggregation per level).
+* M4: isotonic calibration of the GBT probability, fitted on all rows of its own
+  calibration part (not on the rows it is evaluated on).
 * M6-M8 on the untouched test part, through the distributed metrics in
   ``operators.metrics``.
-* The fitted stages form one ``PipelineModel`` (assembler -> GBT ->
+* The fitted stages form one ``PipelineModel`` (buckets -> assembler -> GBT ->
   isotonic) that is saved and loaded as a whole.
 """
 
@@ -25,7 +19,7 @@ import threading
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
@@ -33,9 +27,11 @@ from pyspark.sql import functions as F
 
 from propensa import rules
 from propensa.functions.scoring import sales_angle
-from propensa.ml.prepare import MODEL_PREFIX, assembler, prepare_features
+from propensa.ml.boosting import boost, bucketizer
+from propensa.ml.prepare import BUCKET_PREFIX, MODEL_PREFIX, assembler, prepare_features
 from propensa.ml.split import assign_split
 from propensa.operators import metrics as M
+from propensa.operators.isotonic import isotonic_blocks
 from propensa.operators.rank import score_order, top_k
 from propensa.plans import models
 from propensa.sources import catalog
@@ -63,87 +59,48 @@ def _split(df: DataFrame) -> DataFrame:
     return df if "split" in df.columns else split_frame(df)
 
 
-#: Partitions of the rows a model is fitted on.  Boosting subsamples rows per
-#: partition, so this number is part of the model: it is a parameter, and never
-#: follows the number of rows or cores.  Raise it with the size of the data.
-FIT_PARTITIONS = 8
-
-
-#: Expected bound of the labelled rows the calibration is fitted on (those with
-#: the smallest id hashes): its blocks are merged on the driver.
-CALIBRATION_ROWS = 1_000_000
-
-
-def _dealt(df: DataFrame, partitions: int, key: str = "clinician_id") -> DataFrame:
-    """Rows dealt by the hash of their key, in key order within partitions: the
-    same for any file layout and any cluster."""
-    return df.repartition(partitions, key).sortWithinPartitions(key)
-
-
-def stop_round(losses: list[float], patience: int, tolerance: float) -> int | None:
-    """Rounds to keep: up to the first one whose loss is not below the worst of
-    the ``patience`` rounds before it by more than ``tolerance``; None if the
-    curve has no such round."""
-    for i in range(patience, len(losses)):
-        if losses[i] + tolerance >= max(losses[i - patience:i]):
-            return i + 1
-    return None
-
-
-def boost(gbt: GBTClassifier, train: DataFrame, validation: DataFrame, patience: int, tolerance: float) -> GBTClassificationModel:
-    """Fit without stopping, choose the rounds on the validation part's loss
-    curve, fit again with that number.  The first rounds of a longer fit are
-    those of a shorter one, so a short curve is tried first."""
-    most = gbt.getMaxIter()
-    for rounds in sorted({min(4 * patience, most), most}):
-        model = gbt.copy({gbt.maxIter: rounds}).fit(train)
-        keep = stop_round(model.evaluateEachIteration(validation), patience, tolerance)
-        if keep is not None:
-            return model if keep == rounds else gbt.copy({gbt.maxIter: keep}).fit(train)
-    return model
-
-
-def calibrate(scored: DataFrame, rows: int = CALIBRATION_ROWS, key: str = "clinician_id") -> IsotonicRegressionModel:
-    """Isotonic fit of ``label`` on ``gbt_probability``, from at most about
-    ``rows`` rows.  Rows of one probability enter as their mean label, weighted
-    by their number, which gives the same curve as the rows themselves."""
-    n = scored.count()
+def calibrate(scored: DataFrame) -> IsotonicRegressionModel:
+    """Isotonic fit of ``label`` on ``gbt_probability`` over all rows.  The blocks come
+    from ``operators.isotonic``; Spark's model is made of their borders only, which
+    rise already."""
     p = vector_to_array("gbt_probability")[1]
-    points = (scored.filter(F.pmod(F.xxhash64(key), F.lit(max(n, rows))) < rows)
-              .groupBy(p.alias("p")).agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("weight"))
-              .select(array_to_vector(F.array(1 - F.col("p"), F.col("p"))).alias("gbt_probability"), "label", "weight"))
+    blocks = isotonic_blocks(M.score_counts(scored.select(p.alias("p"), "label"), "p", "label"))
+    mean, half = F.col("pos") / F.col("cnt"), F.col("cnt") / 2
+    ends = blocks.select(F.explode(F.array(*[F.struct(F.col(c).alias("p"), mean.alias("label"), half.alias("weight")) for c in ("low", "high")])).alias("e")).select("e.*")
+    ends = ends.groupBy("p", "label").agg(F.sum("weight").alias("weight"))  # a block of one score has one border
+    points = ends.select(array_to_vector(F.array(1 - F.col("p"), F.col("p"))).alias("gbt_probability"), "label", "weight")
     return IsotonicRegression(featuresCol="gbt_probability", featureIndex=1, labelCol="label", weightCol="weight",
                               predictionCol=PROB, isotonic=True).fit(points)
 
 
-def fit(mart: DataFrame, params: dict | None = None, partitions: int = FIT_PARTITIONS) -> tuple[PipelineModel, list[float]]:
-    """Fit GBT + calibration on the mart (or on its materialised split)."""
+def fit(mart: DataFrame, params: dict | None = None) -> tuple[PipelineModel, list[float]]:
+    """Fit trees + calibration on the mart (or on its materialised split)."""
     spark = mart.sparkSession
     shared_dir(spark)  # boosting checkpoints go to the shared folder
     params = {**rules.GBT_PARAMS, **(params or {})}
     data = _split(mart)
-    vec = assembler()
     patience, tolerance = params.pop("patience"), params.pop("tolerance")
-    gbt = (GBTClassifier(featuresCol="features", labelCol="label", predictionCol="gbt_prediction",
-                         cacheNodeIds=False, checkpointInterval=10, **params)
-           .setProbabilityCol("gbt_probability").setRawPredictionCol("gbt_raw"))
-    part = {name: vec.transform(data.filter(F.col("split") == name)) for name in ("validation", "calibration")}
-    if patience:
-        train = vec.transform(_dealt(data.filter(F.col("split") == "train"), partitions))
-        gbt_model = boost(gbt, train, part["validation"], patience, tolerance)
-    else:
-        both = vec.transform(_dealt(data.filter(F.col("split").isin("train", "validation")), partitions)
-                             .withColumn("is_validation", F.col("split") == "validation"))
-        gbt_model = gbt.setValidationIndicatorCol("is_validation").setParams(validationTol=tolerance).fit(both)
-    iso = calibrate(gbt_model.transform(part["calibration"]))
-    return PipelineModel(stages=[vec, gbt_model, iso]), list(gbt_model.featureImportances.toArray())
+    train = data.filter(F.col("split") == "train")
+    cols = [MODEL_PREFIX + c for c in rules.FEATURE_COLS]
+    buckets = bucketizer(train, cols, [BUCKET_PREFIX + c for c in rules.FEATURE_COLS], params["maxBins"], "clinician_id", train.count())
+    vec = assembler(prefix=BUCKET_PREFIX)
+    boosted = vec.transform(buckets.transform(data.filter(F.col("split").isin("train", "validation"))))
+    gbt_model, _ = boost(boosted, params, patience, tolerance, features="features", columns={
+        "featuresCol": "features", "predictionCol": "gbt_prediction", "probabilityCol": "gbt_probability", "rawPredictionCol": "gbt_raw"})
+    stages = [buckets, vec, gbt_model]
+    iso = calibrate(PipelineModel(stages=stages).transform(data.filter(F.col("split") == "calibration")))
+    return PipelineModel(stages=[*stages, iso]), list(gbt_model.featureImportances.toArray())
+
+
+def boosted_part(model: PipelineModel) -> GBTClassificationModel:
+    return next(s for s in model.stages if isinstance(s, GBTClassificationModel))
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     """M5: adds the calibrated probability; helper columns are dropped."""
     out = model.transform(df)
     return out.drop("features", "gbt_raw", "gbt_probability", "gbt_prediction",
-                    *[MODEL_PREFIX + c for c in rules.FEATURE_COLS])
+                    *[p + c for p in (MODEL_PREFIX, BUCKET_PREFIX) for c in rules.FEATURE_COLS])
 
 
 def evaluate(model: PipelineModel, mart: DataFrame) -> DataFrame:
@@ -176,7 +133,7 @@ def evaluate(model: PipelineModel, mart: DataFrame) -> DataFrame:
              "n_train", "n_test", "conversion_rate"]
     pick = {n: F.max(F.when(F.col("metric") == n, F.col("v"))) for n in order}
     return long.agg(*[(pick[n].cast("bigint") if n.startswith("n_") else pick[n]).alias(n) for n in order]).withColumn(
-        "n_trees", F.lit(len(model.stages[1].treeWeights)).cast("bigint")).withColumn(
+        "n_trees", F.lit(len(boosted_part(model).treeWeights) - 1).cast("bigint")).withColumn(
         "features", F.array(*[F.lit(c) for c in rules.FEATURE_COLS]))
 
 

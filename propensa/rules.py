@@ -167,8 +167,9 @@ GBT_PARAMS = {
     "featureSubsetStrategy": "sqrt",
     "seed": 42,
     "tolerance": 1e-4,
-    # rounds of the patience window (25 for the longer fit); None stops at the first round within the tolerance
-    "patience": None,
+    # rounds of the patience window; None does all rounds
+    "patience": 25,
+    "maxBins": 32,
 }
 TEST_FRACTION = Decimal("0.2")
 VALIDATION_FRACTION = Decimal("0.1")

@@ -43,7 +43,7 @@ def test_score_needs_the_saved_model_and_the_mart(spark):
     with pytest.raises(Exception):
         jobs.score(spark, SF_SMALL, out)  # no model yet
     jobs.train(spark, SF_SMALL, out)
-    assert len(PipelineModel.load(f"{out}/{jobs.MODEL_DIR}").stages) == 3
+    assert len(PipelineModel.load(f"{out}/{jobs.MODEL_DIR}").stages) == 4
     top = csv_io.read_csv(spark, f"{out}/feature_importance").collect()
     assert [r.importance for r in top] == sorted((r.importance for r in top), reverse=True)
     assert csv_io.read_csv(spark, jobs.score(spark, SF_SMALL, out)).count() == 80

@@ -52,17 +52,6 @@ def test_model_fit_calibrate_save_load(spark):
     assert len(cl) == 80 and sorted(r.call_rank for r in cl) == list(range(1, 81))
 
 
-def test_model_does_not_depend_on_table_layout(spark):
-    from propensa.ml import train as T
-    from propensa.plans.pipeline import graph
-
-    split = T.split_frame(graph(spark, SF_SMALL)["mart_conversion_features"])
-    params = {"maxIter": 8, "minInstancesPerNode": 5}
-    _, a = T.fit(split.repartition(7), params)
-    _, b = T.fit(split.repartition(2, "label"), params)
-    assert [round(x, 12) for x in a] == [round(x, 12) for x in b]
-
-
 def test_csv_quotes_keys_and_malformed_values(spark, tmp_path):
     import pytest
     types = {"clinician_id": "varchar", "note": "varchar", "n": "bigint"}
@@ -83,33 +72,6 @@ def test_rows_without_a_label_are_left_out(spark):
     assert [tuple(r) for r in got] == [(2, 1, 0.0), (3, 0, 2.0)]
 
 
-def test_patience_window_on_a_loss_curve():
-    from propensa.ml.train import stop_round
-    falling = [1 - 0.01 * i for i in range(60)]
-    assert stop_round(falling, 25, 1e-4) is None
-    assert stop_round(falling[:20] + [0.9] * 3, 25, 1e-4) is None  # shorter than the window
-    flat = falling[:10] + [falling[9]] * 50
-    # round 35 (from 1) is the first with only flat rounds in the 25 before it
-    assert stop_round(flat, 25, 1e-4) == 35
-    assert stop_round([0.5, 0.4, 0.3, 0.6], 2, 1e-4) == 4
-
-
-def test_boosting_keeps_the_chosen_rounds(spark):
-    from propensa.ml import train as T
-    from propensa.ml.prepare import assembler
-    from propensa.plans.pipeline import graph
-    from pyspark.ml.classification import GBTClassifier
-
-    data = assembler().transform(T.split_frame(graph(spark, SF_SMALL)["mart_conversion_features"])).cache()
-    train, valid = data.filter("split = 'train'"), data.filter("split = 'validation'")
-    gbt = GBTClassifier(maxIter=9, stepSize=0.5, maxDepth=3, seed=42, subsamplingRate=0.8)
-    losses = gbt.fit(train).evaluateEachIteration(valid)
-    short = gbt.copy({gbt.maxIter: 4}).fit(train).evaluateEachIteration(valid)
-    assert [round(x, 9) for x in losses[:4]] == [round(x, 9) for x in short]
-    model = T.boost(gbt, train, valid, 2, 10.0)  # nothing falls by 10, so it stops as soon as it can
-    assert len(model.treeWeights) == 3 == T.stop_round(losses, 2, 10.0)
-
-
 def test_calibration_of_weighted_points_equals_that_of_rows(spark):
     import random
 
