@@ -139,7 +139,8 @@ def manifest(docs: DataFrame, columns: list[str], key: str = "doc_id", group: st
     found = root.first()
     none = F.array().cast("array<struct<left:string,right:string>>")
     over = paths(top_levels, root.select("grp", none.alias("path")), ["digest", "src"], tops.where("n = 1"))
-    over = over.select(F.col("src").alias("grp"), F.col("digest").alias("subroot"), "path")
+    # every level below is joined to it
+    over = materialize(over.select(F.col("src").alias("grp"), F.col("digest").alias("subroot"), "path"), "merkle-over")
     return paths(levels, over, carried, leaves.where("n = 1")).select(
         F.col("key").alias(key), F.col("digest").alias("leaf"), F.col("changed").alias("changed_leaf"), "subroot",
         F.lit(found.digest if found else None).cast("string").alias("root"), "path")
