@@ -44,42 +44,74 @@ PROFILE = 400
 ORDERS = (1, 2, 3)
 MAX_LANGUAGES = 2_000
 UND = "und"
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Runs of letters, and of numbers that are no digits (as in "²" or "Ⅷ").
+WORDS = re.compile(r"[^\W\d_]+")
+#: Bits of a character in the code of an n-gram.
+CHAR_BITS = 21
 #: Distinct words whose n-grams a Python worker keeps before it starts anew.
 CACHE_WORDS = 150_000
 
 
 class Grams:
-    """Numbers of n-grams, and the n-grams of words, of a Python worker."""
+    """Numbers of n-grams, and the n-grams of words, of a Python worker.  An n-gram's
+    code holds its characters; codes are numbered in the order of their appearance."""
 
     def __init__(self):
-        self.ids: dict[str, int] = {}
         self.names: list[str] = []
         self.hashes = np.empty(0, dtype=np.uint64)
+        self.codes = np.empty(0, dtype=np.uint64)  # ascending
+        self.of_code = np.empty(0, dtype=np.int32)  # their numbers
         self.of_word: dict[str, np.ndarray] = {}
 
-    def word(self, w: str) -> np.ndarray:
-        got = self.of_word.get(w)
-        if got is None:
-            p, ids, out = f"_{w}_", self.ids, []
-            for n in ORDERS:
-                for i in range(len(p) - n + 1):
-                    g = p[i:i + n]
-                    if g != "_":
-                        k = ids.get(g)
-                        if k is None:
-                            k = ids[g] = len(self.names)
-                            self.names.append(g)
-                        out.append(k)
-            got = np.asarray(out, dtype=np.int32)
-            if len(w) <= 64:
-                self.of_word[w] = got
-        return got
+    def numbers(self, codes: np.ndarray) -> np.ndarray:
+        """Number of each code; new ones are added."""
+        at = np.searchsorted(self.codes, codes)
+        known = at < len(self.codes)
+        known[known] = self.codes[at[known]] == codes[known]
+        if not known.all():
+            new = np.unique(codes[~known])
+            first = len(self.names)
+            for c in new.tolist():
+                chars = [c >> shift & (1 << CHAR_BITS) - 1 for shift in (2 * CHAR_BITS, CHAR_BITS, 0)]
+                self.names.append("".join(chr(x) for x in chars if x))
+            every = np.concatenate([self.codes, new])
+            order = np.argsort(every)
+            self.codes = every[order]
+            self.of_code = np.concatenate([self.of_code, np.arange(first, len(self.names), dtype=np.int32)])[order]
+            at = np.searchsorted(self.codes, codes)
+        return self.of_code[at]
+
+    def numbered(self, words: list[str]) -> dict[str, np.ndarray]:
+        """Numbers of the n-grams of each word, padded by ``_``."""
+        text = "".join([f"_{w}_" for w in words]).encode("utf-32-le", "surrogatepass")
+        chars = np.frombuffer(text, dtype="<u4").astype(np.uint64)
+        owner = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)) + 2)
+        codes, owners = [], []
+        for n in ORDERS:
+            code = chars[:len(chars) - n + 1].copy()
+            for k in range(1, n):
+                code = code << np.uint64(CHAR_BITS) | chars[k:len(chars) - n + 1 + k]
+            inside = owner[:len(code)] == owner[n - 1:]
+            if n == 1:
+                inside &= chars != ord("_")
+            codes.append(code[inside])
+            owners.append(owner[:len(code)][inside])
+        owner = np.concatenate(owners)
+        found = self.numbers(np.concatenate(codes))[np.argsort(owner, kind="stable")]
+        ends = np.cumsum(np.bincount(owner, minlength=len(words))).tolist()
+        return {w: found[a:b] for w, a, b in zip(words, [0, *ends], ends)}
 
     def counts(self, words: Counter) -> np.ndarray:
         """Number of each n-gram in a bag of words, by n-gram number."""
-        arrays = [self.word(w) for w in words]
-        weights = np.repeat(np.fromiter(words.values(), np.float64, len(words)), [len(a) for a in arrays])
+        of_word = self.of_word
+        missing = [w for w in words if w not in of_word]
+        if missing:
+            of_word.update(self.numbered(missing))
+        arrays = list(map(of_word.__getitem__, words))
+        for w in missing:
+            if len(w) > 64:  # such words are not kept
+                del of_word[w]
+        weights = np.repeat(np.fromiter(words.values(), np.float64, len(words)), list(map(len, arrays)))
         return np.bincount(np.concatenate(arrays), weights, minlength=len(self.names))
 
     def hash(self) -> np.ndarray:
@@ -97,8 +129,12 @@ class Grams:
         return found[np.lexsort((self.hash()[found], -counts[found]))][:k]
 
 
-def _words(text: str) -> Counter:
-    return Counter(LETTERS.findall(text.lower()))
+def letters(text: str) -> list[str]:
+    """The runs of letters of a text, in lower case."""
+    found = WORDS.findall(text.lower())
+    if all(map(str.isalpha, found)):
+        return found
+    return [w for f in found for w in ("".join([c if c.isalpha() else " " for c in f]).split())]
 
 
 def learn(docs: DataFrame, profile: int = PROFILE) -> list[tuple[str, str, int]]:
@@ -117,7 +153,7 @@ def learn(docs: DataFrame, profile: int = PROFILE) -> list[tuple[str, str, int]]
         for batch in batches:
             for part, texts in text_parts(batch, 0):
                 for text, lang in zip(texts, part.column(1).to_pylist()):
-                    bags.setdefault(lang, Counter()).update(LETTERS.findall(text.lower()))
+                    bags.setdefault(lang, Counter()).update(letters(text))
                     if sum(map(len, bags.values())) > CACHE_WORDS:
                         yield from flush()
         yield from flush()
@@ -125,8 +161,9 @@ def learn(docs: DataFrame, profile: int = PROFILE) -> list[tuple[str, str, int]]
     counted = (docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", F.col("lang").cast("string"))
                .mapInArrow(run, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     order = Window.partitionBy("lang").orderBy(F.col("n").desc(), F.xxhash64("gram"), "gram")
-    best = counted.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < profile)
-    rows = [(r.lang, r.gram, r["rank"]) for r in best.select("lang", "gram", "rank").limit(MAX_LANGUAGES * profile + 1).collect()]
+    # in this form each task keeps its best only, and no task sorts a language's whole table
+    best = counted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= profile)
+    rows = [(r.lang, r.gram, r["rank"] - 1) for r in best.select("lang", "gram", "rank").limit(MAX_LANGUAGES * profile + 1).collect()]
     if len({r[0] for r in rows}) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     return rows
@@ -150,7 +187,7 @@ class Predictor:
         return self.table
 
     def __call__(self, text: str | None) -> tuple[str, float, float]:
-        words = _words(text) if text else None
+        words = Counter(letters(text)) if text else None
         if not words or not self.langs:
             return UND, 0.0, 0.0
         if len(self.grams.of_word) > CACHE_WORDS:

@@ -169,6 +169,16 @@ def test_warc_round_trip_and_verification(spark):
     assert warc.read_archives(warc.write_archives(pages.limit(0))).count() == 0
 
 
+def test_letters_are_those_of_unicode():
+    import unicodedata
+
+    text = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    want = {d for c in text if unicodedata.category(c)[0] == "L" for d in c.lower() if d.isalpha()}
+    assert set("".join(lang_id.letters(text))) == want
+    assert lang_id.letters("² ½ Ⅷ ① 12_") == [] and lang_id.letters("a²b Ça") == ["a", "b", "ça"]
+    assert lang_id.Predictor([("de", "a", 0)], 5)("² ½")[0] == "und"
+
+
 def test_language_of_held_out_documents(spark):
     got = REGISTRY["op6_language_id"](spark, SF_MEDIUM).join(scan(spark, SF_MEDIUM, "documents", "doc_id", "lang"), "doc_id").collect()
     held = [r for r in got if r.held_out]
@@ -204,8 +214,8 @@ def test_packing_equals_the_tokenizer(spark, small):
 
     path = tokenizer_path("word_bpe_49k.json")
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
-    texts = [*small.values(), *ODD, "it's <|endoftext|> ÀÉ İ ΣΑΣ, éx"]
+    assert tok.encode("a <|endoftext|>b", add_special_tokens=False).ids[1] == 49407
+    texts = [*small.values(), *ODD, "a<|endoftext|>b <|startoftext|>", "it's <|endoftext|> ÀÉ İ ΣΑΣ, éx"]
     got = packing.pack(docs(spark, texts), path, max_len=256)
     assert packing.check_packing(got, 256).count() == 0
     pieces = {}
@@ -236,10 +246,34 @@ def test_toxicity_held_out_and_counterfactual(spark):
     assert toxicity.swaps("Muslims and men")[0].split()[0] == "christians"
 
 
+def cutting_words(spark, texts):
+    """Words after which a paragraph of a fingerprint ends."""
+    words = sorted({w for t in texts for w in re.split("[ \n]", t)})
+    frame = spark.createDataFrame([(w,) for w in words], "w string")
+    return {r.w for r in frame.where(F.pmod(F.xxhash64("w"), F.lit(fingerprint.DIVISOR)) == 0).collect()}
+
+
+def paragraphs(text, cuts):
+    """Distinct paragraphs of a text without repeated spaces."""
+    found = set()
+    for line in text.split("\n"):
+        run = []
+        for w in line.split():
+            run.append(w)
+            if w in cuts or len(run) == fingerprint.LONGEST:
+                found.add(" ".join(run))
+                run = []
+        if run:
+            found.add(" ".join(run))
+    return found
+
+
 def test_fingerprint_differences_equal_sets(spark):
     rng = random.Random(9)
     texts = ["\n".join(f"p{rng.randrange(40)}" for _ in range(n)) for n in (0, 1, 3, 8, 20, 60, 200)] + ["word " * 3000, "x\n" * 500, "same\nlines", "same\nlines"]
     got = {r.doc_id: r for r in fingerprint.fingerprints(docs(spark, texts)).collect()}
+    edits = [t[:len(t) - len(t) // 3] + texts[i - 1][:len(t) // 3] for i, t in enumerate(texts)]
+    cuts = cutting_words(spark, [*texts, *edits])
     key = lambda i: sorted(range(len(texts)), reverse=True)[(len(texts) - i) % len(texts)]
     for i, t in enumerate(texts):
         nxt = texts[key(i)]
@@ -248,12 +282,8 @@ def test_fingerprint_differences_equal_sets(spark):
         r = got[i]
         assert r.n_chars == len(t) and r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
 
-        def units(x):
-            n = 2 if len(x) < 200 else 8 if len(x) < 1000 else 32
-            return set(re.findall(rf"((?:[^ \n]+ ?){{1,{n}}})", x))
-
         for other, near in ((edited, r.near_edited), (nxt, r.near_next)):
-            a, b = units(t), units(other)
+            a, b = paragraphs(t, cuts), paragraphs(other, cuts)
             assert near == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0)
     assert got[9].fingerprint == got[10].fingerprint != got[8].fingerprint
 
