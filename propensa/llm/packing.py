@@ -11,8 +11,9 @@ There is no shuffle: tokenisation and cutting happen in one scan, and
 ``sequence_id`` is unique because it holds the partition number in its high
 bits.  Token ids come from the ``tokenizers`` library.  The pre-tokeniser drops
 white space and never joins characters across it, so a text's ids are the
-concatenated ids of its words between spaces and line feeds; ids of words already seen are
-kept in a table bounded by ``CACHE_CHARS`` per Python worker.
+concatenated ids of its words between spaces and line feeds (special tokens of the file,
+which hold no white space, keep their ids); ids of words already seen are kept in a table
+of two generations of ``CACHE_CHARS`` each per Python worker, so frequent words stay.
 
 Edge cases: a null or empty text is the single end id (one piece of length 1);
 rows repeat if the input repeats them; an empty table gives no pieces; other
@@ -31,12 +32,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_parts, worker_cache
+from .common import Generations, text_parts, worker_cache
 
 END_ID = 2
 MAX_LEN = 4096
-#: Characters of distinct words whose ids a Python worker keeps.
-CACHE_CHARS = 4_000_000
+#: Characters of distinct words whose ids a Python worker keeps in a generation.
+CACHE_CHARS = 3_500_000
 
 
 class WordIds:
@@ -46,21 +47,16 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_str(spec)
-        self.tok.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-        self.chars = 0
+        self.known = Generations(CACHE_CHARS)
 
     def texts(self, texts: list[str]) -> list[np.ndarray]:
         words = [t.replace("\n", " ").split(" ") for t in texts]
-        if self.chars > CACHE_CHARS:
-            self.known, self.chars = {}, 0
-        todo = list({w for ws in words for w in set(ws).difference(self.known)})
+        todo = self.known.missing(set().union(*words))
         for i in range(0, len(todo), 20_000):
             part = todo[i:i + 20_000]
             for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[w] = array("I", e.ids).tobytes()
-        self.chars += sum(map(len, todo))
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, ws)), dtype="<u4") for ws in words]
+                self.known.put(w, array("I", e.ids).tobytes())
+        return [np.frombuffer(b"".join(map(self.known.young.__getitem__, ws)), dtype="<u4") for ws in words]
 
 
 def word_ids(key: str, spec: str) -> WordIds:
