@@ -1,12 +1,9 @@
 """Document fingerprints as invertible Bloom lookup sketches, in DataFrame functions only.
 
-A text's paragraphs are by default its lines, lines of many words cut into runs
-of 32 words, in texts under 1000 characters of 8, under 200 of 2 (``RUNS``), so
-texts on two sides of such a length share almost none.  :func:`cut_digests`, the
-rule of op10, is the same for all lengths: a line is cut after every word whose
-hash is 0 modulo ``DIVISOR``, and after ``LONGEST`` words without one.  A word
-that is put in or taken out changes the paragraph it is in, and no paragraph
-beyond the next cut.
+A text's paragraphs are its lines, cut after every word whose hash is 0 modulo
+``DIVISOR`` and after ``LONGEST`` words without one; the rule is the same for texts of
+all lengths.  A word that is put in or taken out changes the paragraph it is in, and
+no paragraph beyond the next cut.
 
 The 64-bit digests of the distinct paragraphs go into a sketch of
 ``3 * SIDE`` cells; each digest is in one cell of each of the three parts,
@@ -44,8 +41,6 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 SIDE = 8
-#: (fewer characters than, words of a run); the last holds for all longer texts.
-RUNS = ((200, 2), (1000, 8), (None, 32))
 #: A line is cut after one distinct word of so many, and after so many words at the latest.
 DIVISOR = 8
 LONGEST = 32
@@ -54,15 +49,6 @@ ROUNDS = 8
 MAX_BUCKETS = 1000
 
 
-def paragraph_digests(text: Column) -> Column:
-    """Distinct 64-bit digests of a text's paragraphs."""
-    runs = lambda n: F.regexp_extract_all(text, F.lit(rf"((?:[^ \n]+ ?){{1,{n}}})"), 1)
-    found = runs(RUNS[-1][1])
-    for below, n in reversed(RUNS[:-1]):
-        found = F.when(F.length(text) < below, runs(n)).otherwise(found)
-    return F.array_distinct(F.transform(found, lambda u: F.xxhash64(u)))
-
-
 def cut_digests(text: Column) -> Column:
     """Distinct 64-bit digests of a text's paragraphs, cut by the words and not by the text's length."""
     tokens = F.split(F.replace(text, F.lit("\n"), F.lit(" \n ")), " ", -1)
@@ -208,7 +194,7 @@ def edited_text(text: Column, next_text: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), F.length(text) - k), F.substring(next_text, F.lit(1), k))
 
 
-def fingerprints(docs: DataFrame, digests: Callable[[Column], Column] = paragraph_digests) -> DataFrame:
+def fingerprints(docs: DataFrame, digests: Callable[[Column], Column] = cut_digests) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_chars, edited_sha256,
     fingerprint, edited_fingerprint, near_edited, near_next, and the numbers of
     paragraphs that differ (differing_edited, differing_next).  ``digests`` makes
