@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from propensa.sources.csv_records import read_records
+
 _TYPES = {
     "varchar": T.StringType(), "string": T.StringType(), "text": T.StringType(),
     "integer": T.IntegerType(), "int": T.IntegerType(), "bigint": T.LongType(),
@@ -38,7 +40,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | dict[str, st
     read; without it the types are inferred (costs a second pass, avoid on
     large inputs), and ``declared`` then fixes the types of some columns
     (partial declaration, the remainder inferred).  ``multiline`` allows line
-    breaks in quoted fields; a file is then read by one task."""
+    breaks in quoted fields: with ``schema`` a file is still read by many tasks
+    (``csv_records``), without it by one."""
+    if schema is not None and multiline:
+        return read_records(spark, path, schema_from_types(schema) if isinstance(schema, dict) else schema, _KEEP_SPACES)
     reader = spark.read.option("header", "true").option("multiLine", str(multiline).lower()).options(**_KEEP_SPACES)
     if schema is None:
         df = reader.option("inferSchema", "true").csv(path)
