@@ -1,4 +1,4 @@
-"""Scalar helpers shared by the staging and scoring operators."""
+"""Scalar helpers of the scoring operators."""
 
 from __future__ import annotations
 
@@ -12,39 +12,6 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def clean_text(c: str | Column) -> Column:
-    """``trim``: strips spaces only, like SQL TRIM."""
-    return F.trim(col(c))
-
-
-def clean_code(c: str | Column) -> Column:
-    """``upper(trim(x))``."""
-    return F.upper(F.trim(col(c)))
-
-
-def to_date_or_null(c: str | Column) -> Column:
-    """``try_cast(x as date)``: a malformed date becomes NULL instead of
-    failing the job (ANSI mode makes a plain cast raise)."""
-    return col(c).try_cast("date")
-
-
-def strict_int(c: str | Column, wide: bool = True) -> Column:
-    """``x::integer``: strict cast (raises on bad input under ANSI).
-    Counts are kept 64-bit so a hot key cannot overflow them."""
-    return col(c).cast("bigint" if wide else "int")
-
-
-def to_bool(c: str | Column) -> Column:
-    """``x::boolean`` from 0/1 integers."""
-    return col(c).cast("boolean")
-
-
-def bool_to_int(c: str | Column, null_as: int | None = 0) -> Column:
-    """``bool::int``; ``null_as`` fills missing flags (pandas ``fillna``)."""
-    out = col(c).cast("int")
-    return out if null_as is None else F.coalesce(out, F.lit(null_as))
-
-
 def round_half_up(c: str | Column, digits: int = 2) -> Column:
     """Half-up rounding of a DOUBLE's binary value to ``digits`` places,
     computed as ``sign(x) * floor(|x| * 10^d + 0.5) / 10^d``.
@@ -59,11 +26,6 @@ def round_half_up(c: str | Column, digits: int = 2) -> Column:
     return F.signum(x) * F.floor(F.abs(x) * scale + F.lit(0.5)) / scale
 
 
-def round_decimal(c: str | Column, digits: int = 2) -> Column:
-    """``round`` of an exact DECIMAL (half-up, no binary ties)."""
-    return F.round(col(c), digits)
-
-
 def dec(value: str | int | float | Decimal) -> Column:
     """Decimal literal, so ``int * weight`` stays an exact decimal product."""
     return F.lit(Decimal(str(value)))

@@ -1,59 +1,69 @@
-"""Staging projections (P1-P3): rename, trim and cast the raw seeds.
-Pure projections, so they inline into every consumer's scan."""
+"""Staging projections (P1-P3): every raw column is cleaned by its kind.
+
+A kind is one SQL expression, so a staging model is the same text as a DataFrame
+projection and as a persistent view of the ``staging`` namespace.  Pure projections:
+they inline into every consumer's scan.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from propensa.functions.scalar import clean_code, clean_text, strict_int, to_bool, to_date_or_null
+#: What becomes of a column of each kind.  A malformed date is NULL; a malformed number
+#: fails (ANSI casts); ``trim`` takes spaces only; counts are 64-bit, so that a hot key
+#: cannot overflow them.
+KINDS = {
+    "key": "{c}",
+    "date": "try_cast({c} AS date)",
+    "text": "trim({c})",
+    "code": "upper(trim({c}))",
+    "count": "cast({c} AS bigint)",
+    "number": "cast({c} AS int)",
+    "flag": "cast({c} AS boolean)",
+}
+
+# The raw columns are given, in their order.
+#: staging model -> (raw input, kind of each column)
+MODELS: dict[str, tuple[str, dict[str, str]]] = {
+    "stg_clinicians": ("clinicians", {
+        "clinician_id": "key", "signup_date": "date", "specialty": "text", "state": "code", "ehr_system": "text",
+        "practice_size": "text", "org_type": "text", "annual_patient_volume": "count", "converted_to_enterprise": "flag",
+        "conversion_date": "date",
+    }),
+    "stg_usage_metrics": ("usage_metrics", {
+        "clinician_id": "key", "snapshot_date": "date", "logins_per_week": "count", "days_since_last_login": "count",
+        "team_members_invited": "count", "api_calls_per_week": "count", "features_used_count": "count",
+        "support_tickets_l90d": "count", "video_consults_per_week": "count", "async_messages_per_week": "count",
+        "days_on_platform": "count",
+    }),
+    "stg_firmographic_enrichment": ("firmographic_enrichment", {
+        "clinician_id": "key", "annual_patient_volume": "count", "revenue_band": "text", "num_locations": "number",
+        "has_billing_system": "flag", "accepts_insurance": "flag", "is_group_practice": "flag",
+    }),
+}
+
+
+def expressions(model: str) -> list[str]:
+    return [f"{KINDS[kind].format(c=c)} AS {c}" for c, kind in MODELS[model][1].items()]
+
+
+def view_sql(model: str, raw: str) -> str:
+    """The query of a staging view over a raw table."""
+    return f"SELECT {', '.join(expressions(model))} FROM {raw}"
+
+
+def stage(model: str, raw: DataFrame) -> DataFrame:
+    """A staging model of a raw frame."""
+    return raw.selectExpr(*expressions(model))
 
 
 def stg_clinicians(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        F.col("clinician_id"),
-        to_date_or_null("signup_date").alias("signup_date"),
-        clean_text("specialty").alias("specialty"),
-        clean_code("state").alias("state"),
-        clean_text("ehr_system").alias("ehr_system"),
-        clean_text("practice_size").alias("practice_size"),
-        clean_text("org_type").alias("org_type"),
-        strict_int("annual_patient_volume").alias("annual_patient_volume"),
-        to_bool("converted_to_enterprise").alias("converted_to_enterprise"),
-        to_date_or_null("conversion_date").alias("conversion_date"),
-    )
-
-
-USAGE_METRICS = [
-    "logins_per_week", "days_since_last_login", "team_members_invited", "api_calls_per_week",
-    "features_used_count", "support_tickets_l90d", "video_consults_per_week",
-    "async_messages_per_week", "days_on_platform",
-]
+    return stage("stg_clinicians", raw)
 
 
 def stg_usage_metrics(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        F.col("clinician_id"),
-        to_date_or_null("snapshot_date").alias("snapshot_date"),
-        *[strict_int(c).alias(c) for c in USAGE_METRICS],
-    )
+    return stage("stg_usage_metrics", raw)
 
 
 def stg_firmographic_enrichment(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        F.col("clinician_id"),
-        strict_int("annual_patient_volume").alias("annual_patient_volume"),
-        clean_text("revenue_band").alias("revenue_band"),
-        strict_int("num_locations", wide=False).alias("num_locations"),
-        to_bool("has_billing_system").alias("has_billing_system"),
-        to_bool("accepts_insurance").alias("accepts_insurance"),
-        to_bool("is_group_practice").alias("is_group_practice"),
-    )
-
-
-def staging(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {
-        "stg_clinicians": stg_clinicians(raw["clinicians"]),
-        "stg_usage_metrics": stg_usage_metrics(raw["usage_metrics"]),
-        "stg_firmographic_enrichment": stg_firmographic_enrichment(raw["firmographic_enrichment"]),
-    }
+    return stage("stg_firmographic_enrichment", raw)

@@ -19,8 +19,9 @@ import threading
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensa.session import buckets_for_rows, cores, session_key, set_bucket_hint, table_path
-from propensa.sources.catalog import ensure_layers
+from propensa.session import buckets_for_rows, cores, session_key, set_bucket_hint
+from propensa.sources import files
+from propensa.sources.catalog import as_table, as_view, ref
 from propensa.sources.tables import read_table
 
 # Fixed snapshot date of the driver data (orders run up to 2001-08-01).
@@ -169,8 +170,8 @@ def _tag(sf_dir: str, as_of: dt.date, buckets: int) -> str:
 
 def materialize_entities(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF,
                          buckets: int | None = None) -> str:
-    """Write the entity table once per session into the shared folder,
-    bucketed by ``clinician_id``; returns the catalog name.  The bucket
+    """Write the entity table into the shared folder, once per session and state
+    of the input files, bucketed by ``clinician_id``; returns the catalog name.  The bucket
     count follows the entity count (a parquet metadata count of
     ``customer``): at most about a million entities per bucket, at least
     one bucket per task slot."""
@@ -181,23 +182,17 @@ def materialize_entities(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_O
     set_bucket_hint(spark, buckets)
     tag = _tag(sf_dir, as_of, buckets)
     name = f"raw.seed_entities_{tag}"
-    key = (session_key(spark), tag)
+    key, now = (session_key(spark), tag), input_state(spark, sf_dir)
     with _lock:
-        if _written.get(key) == name and spark.catalog.tableExists(name):
-            return name
-        _write_entities(spark, sf_dir, as_of, buckets, tag, name)
-        _written[key] = name
+        if _written.get(key) != now or not spark.catalog.tableExists(name):
+            as_table(customer_entities(spark, sf_dir, as_of), "raw", f"seed_entities_{tag}", buckets=buckets)
+            _written[key] = now
     return name
 
 
-def _write_entities(spark: SparkSession, sf_dir: str, as_of: dt.date, buckets: int, tag: str, name: str) -> None:
-    ensure_layers(spark)
-    entities = customer_entities(spark, sf_dir, as_of)
-    (entities.repartition(buckets, "clinician_id")  # one file per bucket
-     .write.mode("overwrite").format("parquet")
-     .bucketBy(buckets, "clinician_id")
-     .option("path", table_path(spark, "raw", f"seed_entities_{tag}"))
-     .saveAsTable(name))
+def input_state(spark: SparkSession, sf_dir: str) -> str:
+    """State of the driver tables the seeds are made of."""
+    return files.state(spark, *[f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("customer", "nation", "region", "orders")])
 
 
 def seed_buckets(spark: SparkSession, sf_dir: str) -> int | None:
@@ -206,17 +201,29 @@ def seed_buckets(spark: SparkSession, sf_dir: str) -> int | None:
     return _buckets.get((session_key(spark), sf_dir.rstrip("/")))
 
 
+#: raw input -> (its columns, condition on the entity table)
+INPUTS = {
+    "clinicians": (CLINICIAN_COLS, "true"),
+    "usage_metrics": (USAGE_COLS, "has_usage"),
+    "firmographic_enrichment": (FIRMOGRAPHIC_COLS, "has_firmographics"),
+}
+
+
+def raw_views(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF) -> dict[str, str]:
+    """The three raw seeds as views of the bucketed entity table; their names in ``raw``."""
+    table = materialize_entities(spark, sf_dir, as_of)
+    tag = table.rsplit("_", 1)[1]
+    for name, (cols, condition) in INPUTS.items():
+        as_view(spark, "raw", f"{name}_{tag}", f"SELECT {', '.join(cols)} FROM {table} WHERE {condition}")
+    return {name: f"{name}_{tag}" for name in INPUTS}
+
+
 def raw_inputs(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF) -> dict[str, DataFrame]:
     """The three raw seeds, as projections of the bucketed entity table."""
-    ent = spark.table(materialize_entities(spark, sf_dir, as_of))
-    return {
-        "clinicians": ent.select(*CLINICIAN_COLS),
-        "usage_metrics": ent.filter("has_usage").select(*USAGE_COLS),
-        "firmographic_enrichment": ent.filter("has_firmographics").select(*FIRMOGRAPHIC_COLS),
-    }
+    return {name: ref(spark, "raw", view) for name, view in raw_views(spark, sf_dir, as_of).items()}
 
 
 __all__ = [
     "AS_OF", "CLINICIAN_COLS", "USAGE_COLS", "FIRMOGRAPHIC_COLS", "orders_by_customer",
-    "customer_entities", "materialize_entities", "raw_inputs", "seed_buckets",
+    "customer_entities", "input_state", "materialize_entities", "raw_inputs", "raw_views", "seed_buckets",
 ]
