@@ -23,6 +23,7 @@ carried through.  Texts of any length are processed whole.
 
 from __future__ import annotations
 
+import os
 from array import array
 from collections.abc import Iterator
 
@@ -46,6 +47,7 @@ class WordIds:
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tok = Tokenizer.from_str(spec)
         self.known = Generations(CACHE_CHARS)
 
