@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
+from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +31,7 @@ from propensa.ml.boosting import boost, bucketizer
 from propensa.ml.prepare import BUCKET_PREFIX, MODEL_PREFIX, assembler, prepare_features
 from propensa.ml.split import assign_split
 from propensa.operators import metrics as M
-from propensa.operators.isotonic import isotonic_blocks
+from propensa.operators.isotonic import isotonic_blocks, isotonic_model
 from propensa.operators.rank import score_order, top_k
 from propensa.plans import models
 from propensa.sources import catalog
@@ -60,17 +60,10 @@ def _split(df: DataFrame) -> DataFrame:
 
 
 def calibrate(scored: DataFrame) -> IsotonicRegressionModel:
-    """Isotonic fit of ``label`` on ``gbt_probability`` over all rows.  The blocks come
-    from ``operators.isotonic``; Spark's model is made of their borders only, which
-    rise already."""
+    """Isotonic fit of ``label`` on ``gbt_probability`` over all rows."""
     p = vector_to_array("gbt_probability")[1]
     blocks = isotonic_blocks(M.score_counts(scored.select(p.alias("p"), "label"), "p", "label"))
-    mean, half = F.col("pos") / F.col("cnt"), F.col("cnt") / 2
-    ends = blocks.select(F.explode(F.array(*[F.struct(F.col(c).alias("p"), mean.alias("label"), half.alias("weight")) for c in ("low", "high")])).alias("e")).select("e.*")
-    ends = ends.groupBy("p", "label").agg(F.sum("weight").alias("weight"))  # a block of one score has one border
-    points = ends.select(array_to_vector(F.array(1 - F.col("p"), F.col("p"))).alias("gbt_probability"), "label", "weight")
-    return IsotonicRegression(featuresCol="gbt_probability", featureIndex=1, labelCol="label", weightCol="weight",
-                              predictionCol=PROB, isotonic=True).fit(points)
+    return isotonic_model(blocks, "gbt_probability", PROB, lambda p: array_to_vector(F.array(1 - p, p)), 1)
 
 
 def fit(mart: DataFrame, params: dict | None = None) -> tuple[PipelineModel, list[float]]:

@@ -16,11 +16,12 @@ do not depend on the ranges.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import pandas as pd
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCKS_PER_RANGE = 100_000
@@ -77,3 +78,15 @@ def isotonic_blocks(points: DataFrame, blocks_per_range: int = BLOCKS_PER_RANGE)
         if ranges == 1 or rising([(e.low, e.a.pos, e.a.cnt, e.b.pos, e.b.cnt) for e in edges]):
             return blocks
         turn += 1
+
+
+def isotonic_model(blocks: DataFrame, features: str, output: str, feature: Callable[[Column], Column] = lambda score: score,
+                   index: int = 0) -> IsotonicRegressionModel:
+    """Spark's model of the step function of ``blocks``.  It is made of the blocks' borders
+    only, which rise already; between two blocks it interpolates.  ``feature`` makes
+    the ``features`` column of a score (itself, or a vector with it at ``index``)."""
+    mean, half = F.col("pos") / F.col("cnt"), F.col("cnt") / 2
+    ends = blocks.select(F.explode(F.array(*[F.struct(F.col(c).alias("score"), mean.alias("label"), half.alias("weight")) for c in ("low", "high")])).alias("e")).select("e.*")
+    ends = ends.groupBy("score", "label").agg(F.sum("weight").alias("weight"))  # a block of one score has one border
+    return IsotonicRegression(featuresCol=features, featureIndex=index, labelCol="label", weightCol="weight", predictionCol=output,
+                              isotonic=True).fit(ends.select(feature(F.col("score")).alias(features), "label", "weight"))

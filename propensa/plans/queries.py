@@ -21,6 +21,7 @@ from propensa.ml.prepare import prepare_features
 from propensa.ml.split import assign_split
 from propensa.operators import metrics as M
 from propensa.operators import quality as Q
+from propensa.operators.isotonic import isotonic_blocks, isotonic_model
 from propensa.operators.rank import sorted_by_score, with_position
 from propensa.operators.staging import stg_usage_metrics
 from propensa.plans import models
@@ -433,6 +434,15 @@ def m8(spark, sf_dir):
     return M.precision_at_k(_scored(spark, sf_dir), "baseline_propensity_score", "label", rules.TOP_K_METRIC)
 
 
+@register("m4_isotonic_baseline")
+def m4_baseline(spark, sf_dir):
+    """Isotonic regression of the label on whole points of the baseline score."""
+    scored = _scored(spark, sf_dir).withColumn("score", F.floor("baseline_propensity_score").cast("double"))
+    points = M.score_counts(scored, "score", "label")
+    curve = isotonic_model(isotonic_blocks(points), "score", "value")
+    return curve.transform(points).select("score", "pos", "cnt", (F.floor(F.col("value") * 1e9 + F.lit(0.5)) / 1e9).alias("calibrated"))
+
+
 # --- materialisations and sinks --------------------------------------------------------
 
 CALL_LIST_TYPES = {
