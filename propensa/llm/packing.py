@@ -12,7 +12,8 @@ There is no shuffle: tokenisation and cutting happen in one scan, and
 bits.  Token ids come from the ``tokenizers`` library.  The pre-tokeniser drops
 white space and never joins characters across it, so a text's ids are the
 concatenated ids of its words between spaces and line feeds (special tokens of the file,
-which hold no white space, keep their ids); ids of words already seen are kept in a table
+which hold no white space, keep their ids).  Likewise a word of letters with marks after
+them is the ids of both, and case does not matter; ids of words already seen are kept in a table
 of two generations of ``CACHE_CHARS`` each per Python worker, so frequent words stay.
 
 Edge cases: a null or empty text is the single end id (one piece of length 1);
@@ -24,6 +25,7 @@ carried through.  Texts of any length are processed whole.
 from __future__ import annotations
 
 import os
+import re
 from array import array
 from collections.abc import Iterator
 
@@ -39,6 +41,11 @@ END_ID = 2
 MAX_LEN = 4096
 #: Characters of distinct words whose ids a Python worker keeps in a generation.
 CACHE_CHARS = 3_500_000
+#: The same for the letters of words without the marks after them.
+PART_CHARS = 1_500_000
+#: Letters of the Latin blocks, and marks (all of ASCII but the apostrophe); the
+#: pre-tokeniser parts a word between them.
+SIMPLE = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 class WordIds:
@@ -50,17 +57,33 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tok = Tokenizer.from_str(spec)
         self.known = Generations(CACHE_CHARS)
+        self.parts = Generations(PART_CHARS)
 
     def texts(self, texts: list[str]) -> list[np.ndarray]:
         words = [t.replace("\n", " ").split(" ") for t in texts]
-        todo = self.known.missing(set().union(*words))
-        for i in range(0, len(todo), 20_000):
-            part = todo[i:i + 20_000]
+        todo = [(w, *parts(w)) for w in self.known.missing(set().union(*words))]
+        wanted = {x for _, core, marks in todo for x in (core, marks)}
+        new = self.parts.missing(wanted)
+        for i in range(0, len(new), 20_000):
+            part = new[i:i + 20_000]
             for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                self.known.put(w, array("I", e.ids).tobytes())
+                self.parts.put(w, array("I", e.ids).tobytes())
+        ids = self.parts.young
+        for w, core, marks in todo:
+            self.known.put(w, ids[core] + ids[marks] if marks else ids[core])
         return [np.frombuffer(b"".join(map(self.known.young.__getitem__, ws)), dtype="<u4") for ws in words]
 
 
+def parts(word: str) -> tuple[str, str]:
+    """The letters and the marks after them of a word of Latin letters, which the
+    pre-tokeniser parts there; the whole word and nothing else."""
+    found = SIMPLE.fullmatch(word)
+    if not found:
+        return word, ""
+    core, marks = found.groups()
+    return core.lower() if core.isascii() else core, marks
+
+
 def word_ids(key: str, spec: str) -> WordIds:
     """This worker's ``WordIds`` for a tokenizer."""
     cache = worker_cache("packing")
