@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 #: Rows (about) that the bucket limits of the features are taken from.
 BIN_ROWS = 20_000
 CHECKPOINT_ROUNDS = 10
+#: Rows of a task, at least.
+ROWS_PER_TASK = 20_000
 #: Steps a unit of the rounded residuals.
 GRID = 4096.0
 #: Parts of the unit interval a sampling hash falls into.
@@ -121,7 +123,9 @@ def boost(rows: DataFrame, params: dict, patience: int, tolerance: float, key: s
     leaf = DecisionTreeRegressor(featuresCol=features, labelCol="start", maxDepth=0)
     train = ~F.col("held")
     trees = [leaf.fit(state.where(train).limit(1).select(features, F.lit(start).alias("start")))]
-    state = state.withColumn("margin", F.lit(start)).checkpoint(eager=True)
+    # a round is some ten small jobs: few rows are kept in few tasks
+    tasks = -(-sum(r.n for r in counted.values()) // ROWS_PER_TASK)
+    state = state.withColumn("margin", F.lit(start)).coalesce(tasks).checkpoint(eager=True)
     forest = RandomForestRegressor(
         featuresCol=features, labelCol="residual", predictionCol="step", numTrees=1, bootstrap=False, subsamplingRate=1.0, cacheNodeIds=False,
         featureSubsetStrategy=params["featureSubsetStrategy"], maxDepth=params["maxDepth"], minInstancesPerNode=params["minInstancesPerNode"],

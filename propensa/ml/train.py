@@ -97,8 +97,8 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def evaluate(model: PipelineModel, mart: DataFrame) -> DataFrame:
-    """One-row metrics record.  Train and test AUC come out of one
-    grouped pass; AP and precision@80 are computed on the test part."""
+    """One-row metrics record.  AUC and AP of the train and test part come out of one
+    grouped pass; precision@80 is computed on the test part."""
     data = _split(mart)
     # scored once, written to the shared checkpoint folder, read by all metrics
     scored = score(model, data).select("clinician_id", "label", "split", PROB).checkpoint(eager=True)
@@ -112,11 +112,10 @@ def evaluate(model: PipelineModel, mart: DataFrame) -> DataFrame:
             F.struct(name.alias("metric"), value.cast("double").alias("v")) for name, value in metrics
         ])).alias("m")).select("m.metric", "m.v")
 
-    auc = M.roc_auc(parts, PROB, "label", groups=["part"])
-    long = (stacked(auc, (F.concat(F.col("part"), F.lit("_auc_roc")), F.col("roc_auc")),
+    ranking = M.ranking_metrics(parts, PROB, "label", groups=["part"])
+    long = (stacked(ranking, (F.concat(F.col("part"), F.lit("_auc_roc")), F.col("roc_auc")),
+                    (F.concat(F.col("part"), F.lit("_avg_precision")), F.col("average_precision")),
                     (F.concat(F.lit("n_"), F.col("part")), F.col("n")))
-            .unionByName(stacked(M.average_precision(test, PROB, "label"),
-                                 (F.lit("test_avg_precision"), F.col("average_precision"))))
             .unionByName(stacked(M.precision_at_k(test, PROB, "label", rules.TOP_K_METRIC),
                                  (F.lit("precision_at_top_80"), F.col("precision_at_k"))))
             .unionByName(stacked(scored.agg(F.avg(F.col("label").cast("double")).alias("r")),

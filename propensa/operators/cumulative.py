@@ -34,14 +34,14 @@ def _range_bounds(df: DataFrame, key: str, ranges: int) -> list[float]:
 
 
 def running_totals(df: DataFrame, key: str, measures: Sequence[str], descending: bool = False,
-                   ranges: int | None = None, prefix: str = "cum_", groups: Sequence[str] = ()) -> DataFrame:
+                   ranges: int | None = None, prefix: str = "cum_", groups: Sequence[str] = (), totals: bool = False) -> DataFrame:
     """Adds ``cum_<m>`` = sum of ``m`` over all rows at or before this row's
     ``key`` in the chosen direction (within each of ``groups``).  ``key``
     must be unique per row and group (run it on a table already grouped by
     the key) and numeric.  ``groups`` are low-cardinality segment columns
     (e.g. a split): the offset table holds groups x ranges rows.  ``ranges``
     defaults to one per ``ROWS_PER_RANGE`` rows; the result is the same for any
-    number."""
+    number.  With ``totals`` also ``all_<m>``, the sum over the whole group."""
     groups = list(groups)
     # the range bounds need one pass over the input and the totals another:
     # checkpoint it (shared folder) so the upstream plan runs only once
@@ -57,7 +57,8 @@ def running_totals(df: DataFrame, key: str, measures: Sequence[str], descending:
     # at most groups x len(bounds) rows: the window below runs on that small table
     before = Window.partitionBy(*groups).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_range.select(*groups, _RANGE, *[
-        F.coalesce(F.sum(f"_t_{m}").over(before), F.lit(0)).alias(f"_o_{m}") for m in measures])
+        F.coalesce(F.sum(f"_t_{m}").over(before), F.lit(0)).alias(f"_o_{m}") for m in measures], *[
+        F.sum(f"_t_{m}").over(Window.partitionBy(*groups)).alias(f"all_{m}") for m in measures if totals])
 
     order = F.col(key).desc() if descending else F.col(key).asc()
     within = (Window.partitionBy(*groups, _RANGE).orderBy(order)
@@ -67,4 +68,5 @@ def running_totals(df: DataFrame, key: str, measures: Sequence[str], descending:
     return joined.select(
         *df.columns,
         *[(F.col(f"_o_{m}") + F.sum(m).over(within)).alias(f"{prefix}{m}") for m in measures],
+        *[f"all_{m}" for m in measures if totals],
     )

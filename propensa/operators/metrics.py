@@ -27,22 +27,31 @@ def score_counts(df: DataFrame, score: str, label: str, groups: Sequence[str] =
             .agg(F.sum(y).cast("bigint").alias("pos"), F.count(F.lit(1)).cast("bigint").alias("cnt")))
 
 
-def roc_auc(df: DataFrame, score: str, label: str, digits: int = 12, groups: Sequence[str] = ()) -> DataFrame:
-    """One row per group: ``roc_auc``, ``n``, ``positives``."""
+def ranking_metrics(df: DataFrame, score: str, label: str, digits: int = 12, groups: Sequence[str] = ()) -> DataFrame:
+    """One row per group: ``roc_auc``, ``average_precision``, ``n``, ``positives``, from
+    one pass of running totals, low scores first; those from the top are what
+    remains of the group's totals."""
     groups = list(groups)
     counts = score_counts(df, score, label, groups)
-    asc = running_totals(counts, "score", ["cnt"], descending=False, groups=groups)
+    d = "decimal(38,0)"
+    asc = running_totals(counts, "score", ["pos", "cnt"], groups=groups, totals=True)
     # twice the rank sum of the positives, each at its tie group's average
     # rank: pos * (2 * rows_below + cnt + 1); all integers, summed exactly
-    d = "decimal(38,0)"
     rank_sum2 = F.col("pos").cast(d) * (2 * (F.col("cum_cnt") - F.col("cnt")) + F.col("cnt") + 1).cast(d)
-    tot = asc.groupBy(*groups).agg(F.sum(rank_sum2).alias("rs2"), F.sum("pos").alias("p"),
-                                   F.sum("cnt").alias("n"))
+    # rows and positives at or above a score
+    pos_above, cnt_above = (F.col(f"all_{m}") - F.col(f"cum_{m}") + F.col(m) for m in ("pos", "cnt"))
+    term = F.col("pos").cast("double") * F.try_divide(pos_above.cast("double"), cnt_above.cast("double"))
+    tot = asc.groupBy(*groups).agg(F.sum(rank_sum2).alias("rs2"), F.sum(term).alias("s"), F.sum("pos").alias("p"), F.sum("cnt").alias("n"))
     p, n = F.col("p").cast(d), F.col("n").cast(d)
     # undefined (NULL) when a class is missing
     auc = F.try_divide((F.col("rs2") - p * (p + 1)).cast("double"), (2 * p * (n - p)).cast("double"))
-    return tot.select(*groups, _round(auc, digits).alias("roc_auc"), F.col("n").cast("bigint").alias("n"),
-                      F.col("p").cast("bigint").alias("positives"))
+    return tot.select(*groups, _round(auc, digits).alias("roc_auc"), _round(F.try_divide(F.col("s"), F.col("p").cast("double")), digits).alias("average_precision"),
+                      F.col("n").cast("bigint").alias("n"), F.col("p").cast("bigint").alias("positives"))
+
+
+def roc_auc(df: DataFrame, score: str, label: str, digits: int = 12, groups: Sequence[str] = ()) -> DataFrame:
+    """One row per group: ``roc_auc``, ``n``, ``positives``."""
+    return ranking_metrics(df, score, label, digits, groups).drop("average_precision")
 
 
 def average_precision(df: DataFrame, score: str, label: str, digits: int = 12,
@@ -50,13 +59,7 @@ def average_precision(df: DataFrame, score: str, label: str, digits: int = 12,
     """One row per group: ``average_precision`` = sum over distinct scores,
     high to low, of (pos_s / P) * (TP_s / N_s) with TP_s, N_s the running
     counts."""
-    groups = list(groups)
-    counts = score_counts(df, score, label, groups)
-    desc = running_totals(counts, "score", ["pos", "cnt"], descending=True, groups=groups)
-    term = F.col("pos").cast("double") * F.try_divide(F.col("cum_pos").cast("double"), F.col("cum_cnt").cast("double"))
-    tot = desc.groupBy(*groups).agg(F.sum(term).alias("s"), F.sum("pos").alias("p"))
-    return tot.select(*groups, _round(F.try_divide(F.col("s"), F.col("p").cast("double")), digits)
-                      .alias("average_precision"))
+    return ranking_metrics(df, score, label, digits, groups).select(*groups, "average_precision")
 
 
 def precision_at_k(df: DataFrame, score: str, label: str, k: int = 80, key: str = "clinician_id",
