@@ -98,7 +98,7 @@ def line_dedup(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, mi
     the columns n_lines, n_lines_removed, n_chunks_removed (long; 0 for null text).
     A column of the input that has one of these names is replaced."""
     out_cols = [c for c in docs.columns if c.lower() not in ("n_lines", "n_lines_removed", "n_chunks_removed")]
-    key = fresh_name("_doc_key", docs.columns)
+    key, mark, mark_id, mark_key = (fresh_name(n, docs.columns) for n in ("_doc_key", "_gone", "_gone_id", "_gone_key"))
 
     every = chunk_rows(docs, window, divisor, min_words)
     able = every.where((F.col("n_lines") >= min_lines) | F.col("long_line"))
@@ -116,16 +116,16 @@ def line_dedup(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, mi
             .groupBy("doc_id", "doc_key").agg(F.sort_array(F.collect_set(F.struct("start", "n_lines"))).alias("gone")))
 
     marked = docs.withColumn(key, F.md5(F.col("text").cast("binary")))
-    gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("doc_key").alias("_gone_key"), F.col("gone").alias("_gone"))
-    both = marked.join(gone, F.col("_gone_id").eqNullSafe(marked["doc_id"]) & (F.col("_gone_key") == marked[key]), "left")
+    gone = gone.select(F.col("doc_id").alias(mark_id), F.col("doc_key").alias(mark_key), F.col("gone").alias(mark))
+    both = marked.join(gone, F.col(mark_id).eqNullSafe(marked["doc_id"]) & (F.col(mark_key) == marked[key]), "left")
     lines = F.split("text", "\n", -1)
-    kept = F.filter(lines, lambda _, i: ~F.exists("_gone", lambda g: (i >= g["start"]) & (i < g["start"] + g["n_lines"])))
-    removed = F.coalesce(F.aggregate("_gone", F.lit(0).cast("long"), lambda a, g: a + g["n_lines"]), F.lit(0).cast("long"))
+    kept = F.filter(lines, lambda _, i: ~F.exists(mark, lambda g: (i >= g["start"]) & (i < g["start"] + g["n_lines"])))
+    removed = F.coalesce(F.aggregate(mark, F.lit(0).cast("long"), lambda a, g: a + g["n_lines"]), F.lit(0).cast("long"))
     total = F.when(F.col("text").isNull() | (F.col("text") == ""), 0).otherwise(F.size(lines)).cast("long")
     return both.select(
-        *[F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text") if c == "text" else F.col(c) for c in out_cols],
+        *[F.when(F.col(mark).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text") if c == "text" else F.col(c) for c in out_cols],
         total.alias("n_lines"), removed.alias("n_lines_removed"),
-        F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long").alias("n_chunks_removed"))
+        F.when(F.col(mark).isNull(), 0).otherwise(F.size(mark)).cast("long").alias("n_chunks_removed"))
 
 
 def passage_spans(docs: DataFrame, row: str, min_lines: int, min_words: int) -> DataFrame:
@@ -155,7 +155,7 @@ def passage_dedup(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int =
     The earliest place of a line keeps it, so every line stays once.
     Rows that repeat both doc_id and text have a row number each, so all but one of them are copies."""
     out_cols = [c for c in docs.columns if c.lower() not in ("n_lines", "n_lines_removed", "n_chunks_removed")]
-    row = fresh_name("_row", docs.columns)
+    row, mark, mark_row = (fresh_name(n, docs.columns) for n in ("_row", "_gone", "_gone_row"))
     docs = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "passages-rows")
 
     spans = passage_spans(docs, row, min_lines, min_words)
@@ -175,14 +175,14 @@ def passage_dedup(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int =
     original = hold.where("is_first").select("h1", "h2", F.col("chunk").alias("first_chunk"))
     gone = (hold.where(~F.col("is_first")).join(original, ["h1", "h2"]).where(F.col("chunk") == F.col("first_chunk"))
             .select("_row", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n_lines") - 1)).alias("line"))
-            .groupBy("_row").agg(F.collect_set("line").alias("_gone")).withColumnRenamed("_row", "_gone_row"))
+            .groupBy("_row").agg(F.collect_set("line").alias(mark)).withColumnRenamed("_row", mark_row))
 
     own = fresh_name("_lines", docs.columns)
-    both = docs.withColumn(own, F.split("text", "\n", -1)).join(gone, F.col("_gone_row") == F.col(row), "left")
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(own) - 1), F.col("_gone")), lambda i: F.get(own, i))
-    count = lambda c: F.when(F.col("_gone").isNull(), 0).otherwise(F.size(c)).cast("long")
+    both = docs.withColumn(own, F.split("text", "\n", -1)).join(gone, F.col(mark_row) == F.col(row), "left")
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(own) - 1), F.col(mark)), lambda i: F.get(own, i))
+    count = lambda c: F.when(F.col(mark).isNull(), 0).otherwise(F.size(c)).cast("long")
     return both.select(
-        *[F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text") if c == "text" else F.col(c) for c in out_cols],
+        *[F.when(F.col(mark).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text") if c == "text" else F.col(c) for c in out_cols],
         F.when(F.col("text").isNull() | (F.col("text") == ""), 0).otherwise(F.size(own)).cast("long").alias("n_lines"),
-        count(F.col("_gone")).alias("n_lines_removed"),
-        count(F.array_except(F.col("_gone"), F.transform("_gone", lambda i: i + 1))).alias("n_chunks_removed"))
+        count(F.col(mark)).alias("n_lines_removed"),
+        count(F.array_except(F.col(mark), F.transform(mark, lambda i: i + 1))).alias("n_chunks_removed"))

@@ -71,6 +71,16 @@ def test_line_dedup(odd):
     assert by[2].text is None and by[3].text == "" and by[5].text == LONG and by[2].n_lines == 0
 
 
+def test_line_dedup_with_clashing_columns(spark):
+    rows = [(1, "a b\nc d\ne f"), (2, "x y\na b\nc d\ne f"), (3, None)]
+    plain = spark.createDataFrame(rows, "doc_id long, text string")
+    clash = plain.withColumns({n: F.lit("x") for n in ("_gone", "_gone_id", "_gone_key", "_gone_row", "_row", "_doc_key", "_lines", "gone")})
+    for run in (line_dedup.line_dedup, line_dedup.passage_dedup):
+        got, want = run(clash), run(plain)
+        assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+        assert got.where("_gone = 'x' and _gone_id = 'x' and _row = 'x'").count() == 3
+
+
 def test_packing(odd):
     got = both(odd, lambda d: packing.pack(d, WORDS))
     assert packing.check_packing(packing.pack(odd.where("doc_id > 1"), WORDS)).count() == 0
