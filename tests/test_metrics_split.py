@@ -150,3 +150,12 @@ def test_running_totals_ranges_follow_the_rows(spark, monkeypatch):
     got = {r.k: r.cum_m for r in running_totals(df, "k", ["m"]).collect()}
     assert got == {float(i): i + 1 for i in range(1000)}
     assert running_totals(df.filter("k < 0"), "k", ["m"]).count() == 0
+
+
+def test_ranges_of_the_split_follow_the_rows(spark):
+    from propensa.ml.split import ROWS_PER_RANGE, range_digits
+    assert [range_digits(n) for n in (0, 1, ROWS_PER_RANGE * 16, ROWS_PER_RANGE * 16 + 1, 10**10)] == [1, 1, 1, 2, 5]
+    assert all(n / 16 ** range_digits(n) <= ROWS_PER_RANGE < n / 16 ** (range_digits(n) - 1) for n in (10**7, 10**9, 10**12))
+    df = spark.range(3000).select(F.col("id").alias("clinician_id"), (F.col("id") % 3 == 0).cast("int").alias("label"))
+    got = [sorted(map(tuple, assign_split(df, prefix_len=n).collect())) for n in (None, 1, 2, 4)]
+    assert got[0] == got[1] == got[2] == got[3]
