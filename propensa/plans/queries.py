@@ -22,6 +22,7 @@ from propensa.ml.split import assign_split
 from propensa.operators import metrics as M
 from propensa.operators import quality as Q
 from propensa.operators.isotonic import isotonic_blocks, isotonic_model
+from propensa.operators.lookup import with_lookup
 from propensa.operators.rank import sorted_by_score, with_position
 from propensa.operators.staging import stg_usage_metrics
 from propensa.plans import models
@@ -186,6 +187,14 @@ def d7(spark, sf_dir):
     return _firmo(spark, sf_dir, "specialty", "specialty_need_score")
 
 
+@register("d5_lookup_by_rule_table")
+def d5_table(spark, sf_dir):
+    """Open orders of every clinician, looked up in a table as large as the data."""
+    table = (read_table(spark, sf_dir, "orders", ["o_custkey", "o_orderstatus"]).filter("o_orderstatus = 'O'")
+             .groupBy(F.col("o_custkey").alias("name")).agg(F.count(F.lit(1)).alias("value")))
+    return with_lookup(G(spark, sf_dir)["stg_clinicians"].select("clinician_id"), "clinician_id", "open_orders", table, 0)
+
+
 # ``ln`` may differ by one ulp between engines (StrictMath vs libm), so
 # the raw volume score is compared at 10 decimals; the composite score is
 # computed from the unrounded value.
