@@ -124,10 +124,11 @@ def same(a: DataFrame, b: DataFrame, key: str, value: str) -> DataFrame:
 
 @register("m3_m9_importances_cover_features")
 def m9_cover(spark, sf_dir):
-    """Every feature with an importance in the unit interval; they sum to one."""
+    """Every feature with an importance in the unit interval; they sum to one, or to
+    zero where no tree has a split."""
     imp = model_for(spark, sf_dir).importances
     total = imp.agg(F.sum("importance").alias("total"))
-    return imp.join(total).select("feature", F.col("importance").between(0, 1).alias("in_range"), (F.abs(F.col("total") - 1) < 1e-9).alias("sums_to_one"))
+    return imp.join(total).select("feature", F.col("importance").between(0, 1).alias("in_range"), ((F.abs(F.col("total") - 1) < 1e-9) | (F.col("total") == 0)).alias("sums_right"))
 
 
 @register("s9_importance_csv_agreement")
