@@ -5,22 +5,24 @@ A text's paragraphs are its lines, cut after every word whose hash is 0 modulo
 all lengths.  A word that is put in or taken out changes the paragraph it is in, and
 no paragraph beyond the next cut.
 
-The 64-bit digests of the distinct paragraphs go into a sketch of
-``3 * SIDE`` cells; each digest is in one cell of each of the three parts,
-and a cell holds a count, the XOR of its digests and the XOR of their check
-values.  The fingerprint is the sketch, written as hexadecimal text.
+The 64-bit digests of the distinct paragraphs go into a sketch of three parts with
+2^b cells each; each digest is in one cell of each part, and a cell holds a count,
+the XOR of its digests and the XOR of their check values.  The fingerprint is the
+sketch with b = ``SIDE_BITS``, written as hexadecimal text.
 
 Two versions are compared by subtracting their sketches cell by cell and
 peeling: a cell whose count is 1 or -1 and whose check value fits holds one
-digest, which is recorded and taken out of its three cells, and so on.  When
-cells remain, the sketch was too small for the difference: the pair is tried
-again with larger sketches.  A retry deals the digests by their own bits into
-blocks, with about ``PER_BLOCK`` digests each, one sketch a block, and blocks
-that fail are tried again with twice the cells until none is left.  So the work
-grows with the number of paragraphs, also for very long texts.  The number of
-recovered digests d gives the likeness (a + b - d) / (a + b + d) of texts with
-a and b distinct paragraphs, which is the share of paragraphs they have in
-common among all they have; 1 if both have none.
+digest, which is recorded and taken out of its three cells, and so on.  How many
+cells a pair's sketches have follows from an estimate of the difference, made from
+the counts of the two fingerprints.  When cells remain, the sketch was too small for
+the difference, and sketches with twice the cells are tried.  The digests of a pair
+with more than ``PER_BLOCK`` of them are dealt into blocks by their highest bits, with
+sketches for each block, which bounds a sketch also for very long texts.  Cells are
+filled by halving the digests bit after bit, so the work grows with n log n of a
+text's paragraphs, within its own row: nothing is shuffled but the texts, once, by
+:func:`with_next`.  The number of recovered digests d gives the likeness
+(a + b - d) / (a + b + d) of texts with a and b distinct paragraphs, which is the
+share of paragraphs they have in common among all they have; 1 if both have none.
 
 Edge cases: a null text is empty, and so is its fingerprint's sketch; equal
 texts have equal fingerprints; repeated lines of a text count once; documents
@@ -31,7 +33,6 @@ empty result; extra columns are ignored by :func:`fingerprints`.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable
 
 from pyspark.ml.feature import Bucketizer
@@ -40,12 +41,18 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-SIDE = 8
+#: Cells of a part of a fingerprint, as a power of two.
+SIDE_BITS = 3
 #: A line is cut after one distinct word of so many, and after so many words at the latest.
 DIVISOR = 8
 LONGEST = 32
-PER_BLOCK = 8
-ROUNDS = 8
+#: Digests of a pair in a block (one sketch each), estimated differences for a cell of a part, rounds of peeling.
+PER_BLOCK = 256
+LOAD = 1.5
+ROUNDS = 24
+#: Sketches tried for a block, each with twice the cells, and the cells of a part at most.
+TRIES = 10
+MOST_BITS = 20
 MAX_BUCKETS = 1000
 
 
@@ -61,100 +68,144 @@ def check_value(key: Column) -> Column:
     return F.xxhash64(key, F.lit(17)).bitwiseAND(F.lit(0xFFFFFFFF))
 
 
-def slot(key: Column, part: int, side: int) -> Column:
-    """Cell of a digest within part 0, 1 or 2 of a sketch with ``side`` cells a part."""
-    return F.shiftrightunsigned(key, 20 * part).bitwiseAND(F.lit(side - 1).cast("long"))
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once (bodies of lambdas have no common subexpressions)."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def sketch(keys: Column, side: int) -> Column:
-    """Cells (c, k, x) of a set of digests, part after part."""
-    def part(p: int) -> Column:
-        return F.transform(F.sequence(F.lit(0).cast("long"), F.lit(side - 1).cast("long")), lambda i: cell(F.filter(keys, lambda u: slot(u, p, side) == i)))
+def deal(items: Column, bits: Column, low: int | Column) -> Column:
+    """``items`` as 2^bits arrays, by bits ``low`` to ``low + bits - 1`` of each: parted
+    by two bits after two bits (and one, if they are odd), the highest first, so that array i has the value i."""
+    def part(groups: Column, shift: Column, ways: int) -> Column:
+        def at(v: int) -> Callable[[Column], Column]:
+            return lambda u: F.call_function("shiftrightunsigned", u, shift).bitwiseAND(F.lit(ways - 1).cast("long")) == v
 
-    def cell(own: Column) -> Column:
-        zero = F.lit(0).cast("long")
-        return F.struct(F.size(own).cast("long").alias("c"), F.aggregate(own, zero, lambda a, u: a.bitwiseXOR(u)).alias("k"),
-                        F.aggregate(own, zero, lambda a, u: a.bitwiseXOR(check_value(u))).alias("x"))
+        return F.flatten(F.transform(groups, lambda g: F.when(F.size(g) == 0, F.array_repeat(g, ways)).otherwise(F.array(*(F.filter(g, at(v)) for v in range(ways))))))
 
-    return F.concat(part(0), part(1), part(2))
+    first = F.when(bits % 2 == 1, part(F.array(items), bits - 1 + low, 2)).otherwise(F.array(items))
+    shifts = F.when(bits > 1, F.sequence(bits - bits % 2 - 2 + low, F.lit(low), F.lit(-2))).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(shifts, first, lambda groups, shift: part(groups, shift, 4))
 
 
-def subtract(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda p, q: F.struct((p["c"] - q["c"]).alias("c"), p["k"].bitwiseXOR(q["k"]).alias("k"), p["x"].bitwiseXOR(q["x"]).alias("x")))
+def parts(items: Column, bits: Column) -> Column:
+    """``items`` by cell: those of part 0, 1 and 2, with 2^bits cells a part, by bits of their own for each part."""
+    return F.concat(*(deal(items, bits, 20 * p) for p in range(3)))
+
 
+def sketch(keys: Column, bits: Column) -> Column:
+    """Cells of a set of digests, part after part, with 2^bits cells a part: a struct
+    of their counts c, XORs k and XORs of check values x (arrays of long values)."""
+    zero = F.lit(0).cast("long")
+    return let(parts(keys, bits), lambda cells: F.struct(
+        F.transform(cells, lambda own: F.size(own).cast("long")).alias("c"),
+        F.transform(cells, lambda own: F.aggregate(own, zero, lambda a, u: a.bitwiseXOR(u))).alias("k"),
+        F.transform(cells, lambda own: F.aggregate(own, zero, lambda a, u: a.bitwiseXOR(check_value(u)))).alias("x")))
 
-def _pure(cells: Column) -> Column:
-    pure = F.filter(cells, lambda e: (F.abs(e["c"]) == 1) & (e["x"] == check_value(e["k"])))
-    return F.array_distinct(F.transform(pure, lambda e: F.struct(e["k"].alias("k"), e["c"].alias("c"))))
+
+def subtract(a: Column, b: Column) -> Column:
+    return let(F.struct(a.alias("a"), b.alias("b")), lambda s: F.struct(
+        F.zip_with(s["a"]["c"], s["b"]["c"], lambda p, q: p - q).alias("c"), F.zip_with(s["a"]["k"], s["b"]["k"], lambda p, q: p.bitwiseXOR(q)).alias("k"),
+        F.zip_with(s["a"]["x"], s["b"]["x"], lambda p, q: p.bitwiseXOR(q)).alias("x")))
 
 
-def peel(cells: Column, side: int, rounds: int = ROUNDS) -> Column:
-    """Struct (cells, found) after peeling a subtracted sketch: ``found`` has the
-    recovered digests k with their side c (1: only in the first, -1: only in the second)."""
+def peel(cells: Column, bits: Column, rounds: int = ROUNDS) -> Column:
+    """Struct (cells, found, mine, theirs) after peeling a subtracted sketch: the cells that
+    are left and the number of recovered digests (the other two: those that ``rounds`` left over)."""
     zero = F.lit(0).cast("long")
 
-    def take(state: Column) -> Column:
-        """All pure cells' digests leave at once: the next state."""
-        def left(e: Column, i: Column) -> Column:
-            mine = F.filter(state["p"], lambda p: F.when(i < side, slot(p["k"], 0, side) == i).when(i < 2 * side, slot(p["k"], 1, side) == i - side).otherwise(slot(p["k"], 2, side) == i - 2 * side))
-            return F.when(F.size(mine) == 0, e).otherwise(F.struct(
-                (e["c"] - F.aggregate(mine, zero, lambda a, p: a + p["c"])).alias("c"),
-                F.aggregate(mine, e["k"], lambda a, p: a.bitwiseXOR(p["k"])).alias("k"),
-                F.aggregate(mine, e["x"], lambda a, p: a.bitwiseXOR(check_value(p["k"]))).alias("x")))
+    def alone(left: Column, side: int) -> Column:
+        """Digests of the cells that hold one of the first (1) or second (-1) set, each once."""
+        return F.array_distinct(F.filter(left["k"], lambda k, i: (left["c"][i] == side) & (left["x"][i] == check_value(k))))
 
-        cells_ = F.when(F.size(state["p"]) == 0, state["cells"]).otherwise(F.transform(state["cells"], left))
-        return F.struct(cells_.alias("cells"), F.concat(state["found"], state["p"]).alias("found"))
+    def state(cells: Column, found: Column) -> Column:
+        return let(cells, lambda left: F.struct(left.alias("cells"), found.alias("found"), alone(left, 1).alias("mine"), alone(left, -1).alias("theirs")))
 
-    def step(state: Column, _: Column) -> Column:
-        # one-element arrays, so that the pure cells are found once per round
-        with_pure = F.transform(F.array(state), lambda s: F.struct(s["cells"].alias("cells"), s["found"].alias("found"), _pure(s["cells"]).alias("p")))
-        return F.element_at(F.transform(with_pure, take), 1)
+    def without(s: Column, taken: Column) -> Column:
+        def count(c: Column, out: Column) -> Column:
+            signs = F.aggregate(out, zero, lambda a, u: a + F.when(F.array_contains(s["mine"], u), F.lit(1)).otherwise(F.lit(-1)))
+            return F.when(F.size(out) == 0, c).otherwise(c - signs)
 
-    start = F.struct(cells.alias("cells"), F.array().cast("array<struct<k:bigint,c:bigint>>").alias("found"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, step)
+        return F.struct(
+            F.zip_with(s["cells"]["c"], taken, count).alias("c"),
+            F.zip_with(s["cells"]["k"], taken, lambda k, out: F.aggregate(out, k, lambda a, u: a.bitwiseXOR(u))).alias("k"),
+            F.zip_with(s["cells"]["x"], taken, lambda x, out: F.aggregate(out, x, lambda a, u: a.bitwiseXOR(check_value(u)))).alias("x"))
+
+    def step(s: Column, _: Column) -> Column:
+        # the digests of all cells that hold one leave their three cells at once
+        n = F.size(s["mine"]) + F.size(s["theirs"])
+        left = let(parts(F.concat(s["mine"], s["theirs"]), bits), lambda taken: without(s, taken))
+        return F.when(n == 0, s).otherwise(state(left, s["found"] + n))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), state(cells, zero), step)
 
 
 def rest(cells: Column) -> Column:
     """Whether cells remain, so that the difference was not recovered."""
-    return F.exists(cells, lambda e: (e["c"] != 0) | (e["k"] != 0) | (e["x"] != 0))
+    return F.exists(cells["c"], lambda v: v != 0) | F.exists(cells["k"], lambda v: v != 0) | F.exists(cells["x"], lambda v: v != 0)
 
 
 def text_of(cells: Column) -> Column:
     """A sketch as hexadecimal text: count, digests, check of each cell."""
-    return F.array_join(F.transform(cells, lambda e: F.concat(F.hex(e["c"]), F.lit("."), F.lpad(F.hex(e["k"]), 16, "0"), F.lpad(F.hex(e["x"]), 8, "0"))), "")
+    return F.array_join(F.transform(cells["c"], lambda c, i: F.concat(F.hex(c), F.lit("."), F.lpad(F.hex(cells["k"][i]), 16, "0"), F.lpad(F.hex(cells["x"][i]), 8, "0"))), "")
 
 
 def likeness(a: Column, b: Column, d: Column) -> Column:
     return F.when(a + b == 0, F.lit(1.0)).otherwise((a + b - d).cast("double") / (a + b + d).cast("double"))
 
 
+def power(n: Column) -> Column:
+    """The least whole b with 2^b >= n."""
+    return F.ceil(F.log2(F.greatest(n.cast("double"), F.lit(1.0)))).cast("int")
+
+
+def estimate(a: Column, b: Column) -> Column:
+    """Estimated number of digests that only one of two fingerprints has, from their
+    counts: with m cells a part, the squares of a part's differences sum up to
+    (1 - 1/m) d + D^2 / m on average, D being the difference of the sizes."""
+    m = 1 << SIDE_BITS
+    gaps = F.zip_with(a["c"], b["c"], lambda p, q: p - q)
+    squares = F.aggregate(gaps, F.lit(0).cast("long"), lambda s, v: s + v * v)
+    total = F.aggregate(gaps, F.lit(0).cast("long"), lambda s, v: s + v)
+    return (squares / 3 - total * total / (9 * m)) * m / (m - 1)
+
+
+def recover(a: Column, b: Column, sketch_a: Column, sketch_b: Column, rounds: int = ROUNDS) -> Column:
+    """Struct (d, tries): the number of digests that one of the sets ``a`` and ``b``
+    has and the other has not, recovered from subtracted sketches, and the largest
+    number of sketches that a block took; null where even the last try failed."""
+    blocks = power((F.size(a) + F.size(b)) / PER_BLOCK)
+    first = F.greatest(F.lit(SIDE_BITS), power(estimate(sketch_a, sketch_b) / LOAD / F.call_function("shiftleft", F.lit(1), blocks)))
+
+    def attempt(u: Column, v: Column, bits: Column, tries: Column) -> Column:
+        return let(peel(subtract(sketch(u, bits), sketch(v, bits)), bits, rounds), lambda s: F.struct(
+            F.when(~rest(s["cells"]), s["found"]).alias("d"), tries.cast("int").alias("tries")))
+
+    def one(sets: Column, bits: Column) -> Column:
+        start = F.struct(F.lit(None).cast("long").alias("d"), F.lit(0).alias("tries"))
+        return F.aggregate(F.sequence(F.lit(0), F.lit(TRIES - 1)), start, lambda s, t: F.when(s["d"].isNotNull(), s).otherwise(
+            let(F.least(bits + t, F.lit(MOST_BITS)), lambda more: attempt(sets["a"], sets["b"], more, t + 1))))
+
+    def all_blocks(size: Column) -> Column:
+        dealt = lambda keys: deal(keys, size["blocks"], 64 - size["blocks"])
+        sets = F.zip_with(dealt(a), dealt(b), lambda u, v: F.struct(u.alias("a"), v.alias("b")))
+        got = F.transform(sets, lambda s: one(s, size["bits"]))
+        return F.aggregate(got, F.struct(F.lit(0).cast("long").alias("d"), F.lit(0).alias("tries")), lambda s, r: F.struct(
+            (s["d"] + r["d"]).alias("d"), F.greatest(s["tries"], r["tries"]).alias("tries")))
+
+    return let(F.struct(blocks.alias("blocks"), first.alias("bits")), all_blocks)
+
+
+def recovered(d: Column) -> Column:
+    """``d``, or an error where a difference was not recovered by any sketch."""
+    return F.coalesce(d, F.raise_error(F.lit("a difference was not recovered from the largest sketch")).cast("long"))
+
+
 def differences(pairs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(pair, d, found) of ``pairs`` (pair, a, b: arrays of digests): the digests
-    that one side has and the other has not, recovered from subtracted sketches."""
-    first = pairs.select("pair", "a", "b", peel(subtract(sketch(F.col("a"), SIDE), sketch(F.col("b"), SIDE)), SIDE, rounds).alias("s"))
-    first = materialize(first.select("pair", rest(F.col("s.cells")).alias("failed"), F.col("s.found").alias("found"),
-                                     F.when(rest(F.col("s.cells")), F.col("a")).alias("a"), F.when(rest(F.col("s.cells")), F.col("b")).alias("b")), "sketch-first")
-    done = [first.where(~F.col("failed")).select("pair", F.lit(0).alias("block"), F.size("found").cast("long").alias("d"))]
-
-    wanted = (F.size("a") + F.size("b")) / PER_BLOCK
-    blocks = F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(wanted, F.lit(1.0)))).cast("int")))
-    failed = first.where("failed").select("pair", blocks.alias("n"), "a", "b")
-    each = failed.select("pair", "n", F.explode("a").alias("key"), F.lit(True).alias("in_a")).unionAll(
-        failed.select("pair", "n", F.explode("b").alias("key"), F.lit(False).alias("in_a")))
-    block = F.xxhash64("key", F.lit(5)).bitwiseAND(F.col("n") - 1)
-    todo = (each.select("pair", block.alias("block"), "key", "in_a").groupBy("pair", "block")
-            .agg(F.collect_list(F.when(F.col("in_a"), F.col("key"))).alias("a"), F.collect_list(F.when(~F.col("in_a"), F.col("key"))).alias("b")))
-    side = SIDE
-    while True:
-        tried = todo.select("pair", "block", "a", "b", peel(subtract(sketch(F.col("a"), side), sketch(F.col("b"), side)), side, rounds).alias("s"))
-        tried = materialize(tried.select("pair", "block", rest(F.col("s.cells")).alias("failed"), F.size("s.found").cast("long").alias("d"),
-                                         F.when(rest(F.col("s.cells")), F.col("a")).alias("a"), F.when(rest(F.col("s.cells")), F.col("b")).alias("b")), "sketch-blocks")
-        done.append(tried.where(~F.col("failed")).select("pair", "block", "d"))
-        todo = tried.where("failed").select("pair", "block", "a", "b")
-        if todo.isEmpty():
-            break
-        side *= 2
-    return functools.reduce(DataFrame.unionAll, done).groupBy("pair").agg(F.sum("d").alias("d"))
+    """(pair, d, tries) of ``pairs`` (pair, a, b: arrays of distinct digests): how many
+    digests one side has and the other has not, recovered from subtracted sketches."""
+    small = pairs.select("pair", "a", "b", sketch(F.col("a"), F.lit(SIDE_BITS)).alias("s"), sketch(F.col("b"), F.lit(SIDE_BITS)).alias("t"))
+    got = small.select("pair", recover(F.col("a"), F.col("b"), F.col("s"), F.col("t"), rounds).alias("r"))
+    return got.select("pair", recovered(F.col("r.d")).alias("d"), F.col("r.tries").alias("tries"))
 
 
 def with_next(docs: DataFrame, buckets: int) -> DataFrame:
@@ -196,23 +247,23 @@ def edited_text(text: Column, next_text: Column) -> Column:
 
 def fingerprints(docs: DataFrame, digests: Callable[[Column], Column] = cut_digests) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_chars, edited_sha256,
-    fingerprint, edited_fingerprint, near_edited, near_next, and the numbers of
-    paragraphs that differ (differing_edited, differing_next).  ``digests`` makes
-    the distinct digests of a text's paragraphs."""
+    fingerprint, edited_fingerprint, near_edited, near_next, the numbers of
+    paragraphs that differ (differing_edited, differing_next) and of sketches it
+    took (tries_edited, tries_next).  ``digests`` makes the distinct digests of a
+    text's paragraphs."""
     spark = docs.sparkSession
     rows = docs.count()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     edited = with_next(docs, min(2 * parts, 1 + rows // 200)).withColumn("edited", edited_text(F.col("text"), F.col("next_text")))
     base = materialize(edited.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", F.length("text").cast("long").alias("n_chars"),
-        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), digests(F.col("text")).alias("own"),
-        digests(F.col("edited")).alias("changed"), digests(F.col("next_text")).alias("following")), "fingerprint-digests")
-    pairs = base.select(F.struct("row", F.lit(0).alias("kind")).alias("pair"), F.col("own").alias("a"), F.col("changed").alias("b")).unionAll(
-        base.select(F.struct("row", F.lit(1).alias("kind")), "own", "following"))
-    d = differences(pairs)
-    d = d.groupBy(F.col("pair.row").alias("row")).agg(F.sum(F.when(F.col("pair.kind") == 0, F.col("d"))).alias("de"), F.sum(F.when(F.col("pair.kind") == 1, F.col("d"))).alias("dn"))
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        digests(F.col("text")).alias("own"), digests(F.col("edited")).alias("changed"), digests(F.col("next_text")).alias("following")), "fingerprint-digests")
+    side = F.lit(SIDE_BITS)
+    small = base.select("*", sketch(F.col("own"), side).alias("s"), sketch(F.col("changed"), side).alias("t"), sketch(F.col("following"), side).alias("u"))
+    got = small.select("*", recover(F.col("own"), F.col("changed"), F.col("s"), F.col("t")).alias("e"), recover(F.col("own"), F.col("following"), F.col("s"), F.col("u")).alias("f"))
+    got = got.select("*", recovered(F.col("e.d")).alias("de"), recovered(F.col("f.d")).alias("dn"))
     n = lambda c: F.size(c).cast("long")
-    return base.join(d, "row").select(
-        "doc_id", "n_chars", "edited_sha256", text_of(sketch(F.col("own"), SIDE)).alias("fingerprint"),
-        text_of(sketch(F.col("changed"), SIDE)).alias("edited_fingerprint"), likeness(n("own"), n("changed"), F.col("de")).alias("near_edited"),
-        likeness(n("own"), n("following"), F.col("dn")).alias("near_next"), F.col("de").alias("differing_edited"), F.col("dn").alias("differing_next"))
+    return got.select(
+        "doc_id", "n_chars", "edited_sha256", text_of(F.col("s")).alias("fingerprint"), text_of(F.col("t")).alias("edited_fingerprint"),
+        likeness(n("own"), n("changed"), F.col("de")).alias("near_edited"), likeness(n("own"), n("following"), F.col("dn")).alias("near_next"),
+        F.col("de").alias("differing_edited"), F.col("dn").alias("differing_next"), F.col("e.tries").alias("tries_edited"), F.col("f.tries").alias("tries_next"))
