@@ -2,7 +2,7 @@
 
 * M3: boosted trees on the train part, ended by a patience window over the loss
   of the validation part (``ml.boosting``).  Trees are grown level by
-  level across executors (one histogram aggregation per level).
+  level across executors (one histogram aggregation per level, ``ml.trees``).
 * M4: isotonic calibration of the GBT probability, fitted on all rows of its own
   calibration part (not on the rows it is evaluated on).
 * M6-M8 on the untouched test part, through the distributed metrics in
