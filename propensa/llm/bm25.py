@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,21 +52,38 @@ from .warc import open_fs
 K1, B = 1.2, 0.75
 BLOCK = 128
 QUERY_BLOCK = 256
+#: Queries whose rare postings are summed at once.
+QUERIES_AT_ONCE = 32
 #: Terms in at least this share of a shard's documents are scored as a matrix product.
 DENSE_SHARE, DENSE_MOST = 1 / 64, 2048
 WORDS = re.compile(r"\w+")
-
-_words: dict[str, int] = {}
-
-
-def term_hashes(words: list[str]) -> np.ndarray:
-    """64-bit hashes of words (signed); known words are looked up."""
+#: ASCII characters that are in no word become spaces.
+SPACED = bytes(c if c > 127 or chr(c).isalnum() or c == 95 else 32 for c in range(256))
+
+_words: dict[bytes, int] = {}
+
+
+def term_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct term hashes of a text, in order, and their counts; known words are looked up.
+    A stretch between ASCII characters that are in no word is a word if it is ASCII; else it is searched for words."""
+    text = (text or "").lower()
+    counts = Counter(text.encode().translate(SPACED).split())
+    if not text.isascii():
+        for part in [p for p in counts if not p.isascii()]:
+            n, words = counts.pop(part), WORDS.findall(part.decode())
+            for w in words:
+                counts[w.encode()] += n
     if len(_words) > 400_000:
         _words.clear()
-    for w in set(words).difference(_words):
+    for w in set(counts).difference(_words):
         h = xxhash.xxh64_intdigest(w)
         _words[w] = h - (1 << 64) if h >> 63 else h
-    return np.fromiter(map(_words.__getitem__, words), np.int64, len(words))
+    terms = np.fromiter(map(_words.__getitem__, counts), np.int64, len(counts))
+    tfs = np.fromiter(counts.values(), np.int64, len(counts))
+    order = np.argsort(terms)
+    terms, tfs = terms[order], tfs[order]
+    first = np.flatnonzero(np.append(True, terms[1:] != terms[:-1])[:len(terms)])
+    return terms[first], np.add.reduceat(tfs, first) if len(first) else tfs
 
 
 def term_rows(docs: DataFrame) -> DataFrame:
@@ -75,7 +93,7 @@ def term_rows(docs: DataFrame) -> DataFrame:
         for batch in batches:
             n, terms, tfs = [], [], []
             for text in batch.column(1).to_pylist():
-                t, c = np.unique(term_hashes(WORDS.findall(text.lower()) if text else []), return_counts=True)
+                t, c = term_counts(text)
                 n.append(int(c.sum()))
                 terms.append(t.astype("<i8").tobytes())
                 tfs.append(c.astype("<i4").tobytes())
@@ -135,10 +153,14 @@ class Shard:
         self.dense_max = np.zeros((self.blocks, len(many)), dtype=np.float32)
         np.maximum.at(self.dense_max, (self.doc[dense] // BLOCK, self.column[row_term[dense]]), self.impact[dense].astype(np.float32))
         self.doc_start = np.cumsum([0, *map(len, terms)])
-        self.by_doc_term, self.by_doc_impact = term, impact
+        # by document: its terms' places among the shard's terms, in order, and their impacts
+        self.by_doc_at, self.by_doc_impact = np.empty(len(term), dtype=np.int32), impact
+        self.by_doc_at[order] = row_term
+        self.weights = np.zeros(len(self.vocab))
 
     def search(self, qids: np.ndarray, qterms: list[np.ndarray], qweights: list[np.ndarray], k: int) -> Iterator[tuple]:
-        """(query number, documents' numbers, scores) of each query's best k of the shard."""
+        """(query number, documents' numbers, scores) of each query's best k of the shard;
+        a query's terms are distinct."""
         nq = len(qids)
         row = np.repeat(np.arange(nq), [len(t) for t in qterms])
         term, weight = np.concatenate(qterms), np.concatenate(qweights)
@@ -148,74 +170,72 @@ class Shard:
         col = self.column[at]
         q = np.zeros((nq, self.dense.shape[1]), dtype=np.float32)
         q[row[col >= 0], col[col >= 0]] = weight[col >= 0]
-        # postings of the other terms, by block: (document, query, partial score)
         rare = col < 0
-        r_row, r_at, r_w = row[rare], at[rare], weight[rare]
-        size = self.start[r_at + 1] - self.start[r_at]
+        other = self.rare_sums(row[rare], at[rare], weight[rare], nq)
+        # the block's bound from rare terms: the best sum of any of its documents
         bound = q @ self.dense_max.T
-        p_row, p_doc, p_val = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
-        if size.sum():
-            pick = np.repeat(self.start[r_at] - np.cumsum(size) + size, size) + np.arange(size.sum())
-            p_row, p_doc, p_val = np.repeat(r_row, size), self.doc[pick].astype(np.int64), np.repeat(r_w, size) * self.impact[pick]
-            cell = p_doc * nq + p_row
-            order = np.argsort(cell, kind="stable")
-            cell, p_val = cell[order], p_val[order]
-            first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
-            p_val, cell = np.add.reduceat(p_val, first), cell[first]
-            p_doc, p_row = cell // nq, cell % nq
-            # the block's bound from rare terms: the best sum of any of its documents
-            top = np.zeros((nq, self.blocks))
-            np.maximum.at(top, (p_row, p_doc // BLOCK), p_val)
-            bound = bound + top
-        slack = 1 + 1e-4
-        threshold = np.zeros(nq)
-        found: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(nq)]
-        best = np.full((nq, k), 0.0)
-        cuts = np.searchsorted(p_doc, np.arange(self.blocks + 1) * BLOCK)
+        if self.n:
+            bound += np.maximum.reduceat(other, np.arange(0, self.n, BLOCK), axis=1)
+        slack = np.float32(1 + 1e-4)
+        threshold = np.zeros(nq, dtype=np.float32)
+        hits = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32))]
+        best = np.zeros((nq, k), dtype=np.float32)
         for b in np.argsort(-bound.max(axis=0, initial=0), kind="stable"):
             live = np.flatnonzero((bound[:, b] * slack >= threshold) & (bound[:, b] > 0))
             if not len(live):
                 continue
             lo, hi = b * BLOCK, min(self.n, (b + 1) * BLOCK)
-            s = (q[live] @ self.dense[lo:hi].T).astype(np.float64)
-            x, y = cuts[b], cuts[b + 1]
-            if y > x:
-                place = np.full(nq, -1)
-                place[live] = np.arange(len(live))
-                to = place[p_row[x:y]]
-                use = to >= 0
-                s[to[use], p_doc[x:y][use] - lo] += p_val[x:y][use]
-            hit_q, hit_d = np.nonzero((s * slack >= threshold[live][:, None]) & (s > 0))
+            s = (q if len(live) == nq else q[live]) @ self.dense[lo:hi].T
+            s += other[live, lo:hi]
+            hit_q, hit_d = np.nonzero((s >= (threshold[live] / slack)[:, None]) & (s > 0))
             if not len(hit_q):
                 continue
             # only queries with a hit can have a better k-th score
             moved = np.unique(hit_q)
             rows = live[moved]
-            merged = np.concatenate([best[rows], np.maximum(s[moved], 0)], axis=1)
+            merged = np.concatenate([best[rows], s[moved]], axis=1)
             best[rows] = np.partition(merged, merged.shape[1] - k, axis=1)[:, -k:]
             threshold[rows] = best[rows].min(axis=1) / slack
-            ends = np.searchsorted(hit_q, np.arange(len(live) + 1))
-            for j in moved:
-                e = slice(ends[j], ends[j + 1])
-                found[live[j]].append((hit_d[e] + lo, s[j, hit_d[e]]))
+            hits.append((live[hit_q], hit_d + lo, s[hit_q, hit_d]))
+        who, docs, score = (np.concatenate(x) for x in zip(*hits))
+        keep = score * slack >= threshold[who]
+        who, docs = who[keep], docs[keep]
+        order, cuts = np.argsort(who, kind="stable"), np.searchsorted(row, np.arange(nq + 1))
+        ends = np.searchsorted(who[order], np.arange(nq + 1))
         for i in range(nq):
-            if not found[i]:
-                continue
-            docs = np.concatenate([d for d, _ in found[i]])
-            docs = docs[np.concatenate([v for _, v in found[i]]) * slack >= threshold[i]]
-            exact = np.array([self.exact(d, qterms[i], qweights[i]) for d in docs])
-            keep = np.lexsort((self.ids[docs], -exact))[:k]
-            yield i, docs[keep], exact[keep]
-
-    def exact(self, d: int, terms: np.ndarray, weights: np.ndarray) -> float:
-        """Score of a document in double precision, summed in the order of term hashes."""
-        a, b = self.doc_start[d], self.doc_start[d + 1]
-        own = self.by_doc_term[a:b]
-        at = np.searchsorted(own, terms)
-        ok = at < len(own)
-        ok[ok] = own[at[ok]] == terms[ok]
-        parts = weights[ok] * self.by_doc_impact[a:b][at[ok]]
-        return float(np.cumsum(parts)[-1]) if len(parts) else 0.0
+            own = docs[order[ends[i]:ends[i + 1]]]
+            if len(own):
+                mine = slice(*cuts[i:i + 2])
+                exact = self.exact(own, at[mine], weight[mine])
+                keep = np.lexsort((self.ids[own], -exact))[:k]
+                yield i, own[keep], exact[keep]
+
+    def rare_sums(self, row: np.ndarray, at: np.ndarray, weight: np.ndarray, nq: int) -> np.ndarray:
+        """Scores from the postings of the terms ``at`` of the queries ``row`` (in order):
+        a row for each query, a column for each document."""
+        out = np.zeros((nq, self.n), dtype=np.float32)
+        for lo in range(0, nq, QUERIES_AT_ONCE):
+            hi = min(nq, lo + QUERIES_AT_ONCE)
+            part = slice(*np.searchsorted(row, [lo, hi]))
+            pick, size = ranges(self.start[at[part]], self.start[at[part] + 1])
+            cell = np.repeat((row[part] - lo) * self.n, size) + self.doc[pick]
+            sums = np.bincount(cell, np.repeat(weight[part], size) * self.impact[pick], (hi - lo) * self.n)
+            out[lo:hi] = sums.reshape(hi - lo, self.n)
+        return out
+
+    def exact(self, docs: np.ndarray, at: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Scores of documents for a query's terms ``at``, in double precision, each summed in the order of term hashes."""
+        pick, size = ranges(self.doc_start[docs], self.doc_start[docs + 1])
+        self.weights[at] = weight
+        parts = self.weights[self.by_doc_at[pick]] * self.by_doc_impact[pick]
+        self.weights[at] = 0
+        return np.bincount(np.repeat(np.arange(len(docs)), size), parts, len(docs))
+
+
+def ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers from each start to before its end, one range after the other, and the ranges' sizes."""
+    size = end - start
+    return np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum()), size
 
 
 def better(a: Column, b: Column) -> Column:
@@ -262,7 +282,7 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         shard = Shard(rows["doc_id"].fillna(-1).to_numpy(np.int64), rows["length"].to_numpy(np.float64),
                       [np.frombuffer(t, dtype="<i8") for t in rows["terms"]], [np.frombuffer(t, dtype="<i4") for t in rows["tfs"]], mean)
         named = np.array([None if pd.isna(i) else int(i) for i in rows["doc_id"]], dtype=object)
-        del parts
+        del parts, rows
         store, base = open_fs(folder)
         listed = sorted(f.path for f in store.get_file_info(pafs.FileSelector(base)) if f.path.endswith(".parquet"))
         for path in listed:
