@@ -92,16 +92,16 @@ class Generations:
         """Make ``wanted`` present in ``young`` as far as known; the rest is returned."""
         if self.chars > self.limit:
             self.young, self.old, self.chars = {}, self.young, 0
-        absent, old = [], self.old
-        for w in wanted.difference(self.young):
-            got = old.get(w)
-            if got is None:
-                absent.append(w)
-            else:
-                self.young[w] = got
-                self.chars += len(w)
-        return absent
+        absent, old = wanted.difference(self.young), self.old
+        again = {w: old[w] for w in absent if w in old}
+        self.put_all(again)
+        return list(absent.difference(again))
 
     def put(self, key, value) -> None:
         self.young[key] = value
         self.chars += len(key)
+
+    def put_all(self, values: dict) -> None:
+        """``put`` for several strings, none of which is in ``young``."""
+        self.young.update(values)
+        self.chars += sum(map(len, values))

@@ -24,6 +24,7 @@ carried through.  Texts of any length are processed whole.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
@@ -43,9 +44,13 @@ MAX_LEN = 4096
 CACHE_CHARS = 3_500_000
 #: The same for the letters of words without the marks after them.
 PART_CHARS = 1_500_000
-#: Letters of the Latin blocks, and marks (all of ASCII but the apostrophe); the
-#: pre-tokeniser parts a word between them.
-SIMPLE = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\[-`{-~]*)")
+#: Letters of the Latin blocks (without U+0130, which is no single letter in lower case), and
+#: with marks after them (all of ASCII but the apostrophe); the pre-tokeniser parts a word between them.
+LATIN = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+"
+LETTERS = re.compile(LATIN)
+SIMPLE = re.compile(rf"({LATIN})([!-&(-/:-@\[-`{{-~]*)")
+#: Byte-level characters of the bytes that are not written as themselves.
+BYTE_LEVEL = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}
 
 
 class WordIds:
@@ -56,27 +61,52 @@ class WordIds:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tok = Tokenizer.from_str(spec)
+        # the model's own tokeniser, where the steps before it are known to leave letters in one piece
+        self.model = self.tok.model if letters_whole(json.loads(spec)) else None
         self.known = Generations(CACHE_CHARS)
         self.parts = Generations(PART_CHARS)
 
     def texts(self, texts: list[str]) -> list[np.ndarray]:
         words = [t.replace("\n", " ").split(" ") for t in texts]
         todo = [(w, *parts(w)) for w in self.known.missing(set().union(*words))]
-        wanted = {x for _, core, marks in todo for x in (core, marks)}
-        new = self.parts.missing(wanted)
+        new = self.parts.missing({x for _, core, marks in todo for x in (core, marks)})
+        plain = [w for w in new if LETTERS.fullmatch(w)] if self.model else []
+        if plain:
+            tokenize = self.model.tokenize
+            self.parts.put_all({w: array("I", [t.id for t in tokenize(byte_letters(w))]).tobytes() for w in plain})
+            new = list(set(new).difference(plain))
         for i in range(0, len(new), 20_000):
             part = new[i:i + 20_000]
-            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                self.parts.put(w, array("I", e.ids).tobytes())
+            self.parts.put_all({w: array("I", e.ids).tobytes() for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False))})
         ids = self.parts.young
-        for w, core, marks in todo:
-            self.known.put(w, ids[core] + ids[marks] if marks else ids[core])
-        return [np.frombuffer(b"".join(map(self.known.young.__getitem__, ws)), dtype="<u4") for ws in words]
+        self.known.put_all({w: ids[core] + ids[marks] if marks else ids[core] for w, core, marks in todo})
+        known = self.known.young
+        return [np.frombuffer(b"".join([known[w] for w in ws]), dtype="<u4") for ws in words]
+
+
+def letters_whole(spec: dict) -> bool:
+    """Whether the file is known to give a word of Latin letters to its model as one
+    piece: composed, in lower case, its UTF-8 bytes written as byte-level characters."""
+    steps = [(n["type"], n.get("content")) for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+    cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    if steps != [("NFC", None), ("Replace", " "), ("Lowercase", None)] or [c["type"] for c in cuts] != ["Split", "ByteLevel"]:
+        return False
+    split, level = cuts
+    return ("[\\p{L}]+" in split["pattern"].get("Regex", "").split("|") and split["behavior"] == "Removed" and split["invert"]
+            and not level["add_prefix_space"] and not level["use_regex"] and not any(t["content"].isalpha() for t in spec.get("added_tokens", [])))
+
+
+def byte_letters(word: str) -> str:
+    """A word in lower case, its UTF-8 bytes as byte-level characters."""
+    low = word.lower()
+    return low if low.isascii() else low.encode().decode("latin-1").translate(BYTE_LEVEL)
 
 
 def parts(word: str) -> tuple[str, str]:
     """The letters and the marks after them of a word of Latin letters, which the
     pre-tokeniser parts there; the whole word and nothing else."""
+    if word.isalpha() and word.isascii():
+        return word.lower(), ""
     found = SIMPLE.fullmatch(word)
     if not found:
         return word, ""

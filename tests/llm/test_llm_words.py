@@ -1,10 +1,13 @@
 """Words of texts and scores of shards, without Spark."""
 
+import json
+import random
 from collections import Counter
 
 import numpy as np
 
-from propensa.llm import bm25
+from propensa.llm import bm25, packing
+from propensa.llm.queries import tokenizer_path
 
 
 def test_bm25_terms_are_those_of_the_pattern():
@@ -33,3 +36,22 @@ def test_bm25_shard_scores_all_hits_of_a_query_at_once():
         assert np.array_equal(got[i][0], best) and np.array_equal(got[i][1], score[best])
     at = np.searchsorted(shard.vocab, terms[0])
     assert np.array_equal(shard.exact(np.array(got[0][0]), at, weights[0]), got[0][1]) and not shard.weights.any()
+
+
+def test_packing_of_letters_equals_the_tokenizer():
+    with open(tokenizer_path("word_bpe_49k.json"), encoding="utf-8") as f:
+        ids_of = packing.WordIds(f.read())
+    assert ids_of.model is not None
+    letters = [chr(c) for c in range(0x21, 0x250)]
+    rng = random.Random(5)
+    words = letters + [a + b for a in "aZé\u0130ſßǅ" for b in letters] + ["".join(rng.choices(letters, k=rng.randrange(1, 9))) for _ in range(20_000)]
+    want = [e.ids for e in ids_of.tok.encode_batch_fast(words, add_special_tokens=False)]
+    assert [x.tolist() for x in ids_of.texts(words)] == want
+
+
+def test_letters_go_to_the_model_only_where_the_file_is_known_to_keep_them_whole():
+    with open(tokenizer_path("word_bpe_49k.json"), encoding="utf-8") as f:
+        spec = json.load(f)
+    assert packing.letters_whole(spec)
+    for other in ({"normalizer": None}, {"pre_tokenizer": {"type": "Whitespace"}}, {"added_tokens": [{"content": "abc"}]}):
+        assert not packing.letters_whole(spec | other)
