@@ -69,16 +69,17 @@ def check_value(key: Column) -> Column:
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` worked out once (bodies of lambdas have no common subexpressions)."""
-    return F.element_at(F.transform(F.array(value), use), 1)
+    """``use(value)`` with ``value`` worked out once (bodies of lambdas have no common
+    subexpressions).  A fold over nothing: unlike a transformation, it does not copy the result."""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda kept, _: kept, use)
 
 
-def deal(items: Column, bits: Column, low: int | Column) -> Column:
-    """``items`` as 2^bits arrays, by bits ``low`` to ``low + bits - 1`` of each: parted
+def deal(items: Column, bits: Column, low: int | Column, key: Callable[[Column], Column] = lambda u: u) -> Column:
+    """``items`` as 2^bits arrays, by bits ``low`` to ``low + bits - 1`` of the ``key`` of each: parted
     by two bits after two bits (and one, if they are odd), the highest first, so that array i has the value i."""
     def part(groups: Column, shift: Column, ways: int) -> Column:
         def at(v: int) -> Callable[[Column], Column]:
-            return lambda u: F.call_function("shiftrightunsigned", u, shift).bitwiseAND(F.lit(ways - 1).cast("long")) == v
+            return lambda u: F.call_function("shiftrightunsigned", key(u), shift).bitwiseAND(F.lit(ways - 1).cast("long")) == v
 
         return F.flatten(F.transform(groups, lambda g: F.when(F.size(g) == 0, F.array_repeat(g, ways)).otherwise(F.array(*(F.filter(g, at(v)) for v in range(ways))))))
 
@@ -87,9 +88,9 @@ def deal(items: Column, bits: Column, low: int | Column) -> Column:
     return F.aggregate(shifts, first, lambda groups, shift: part(groups, shift, 4))
 
 
-def parts(items: Column, bits: Column) -> Column:
+def parts(items: Column, bits: Column, key: Callable[[Column], Column] = lambda u: u) -> Column:
     """``items`` by cell: those of part 0, 1 and 2, with 2^bits cells a part, by bits of their own for each part."""
-    return F.concat(*(deal(items, bits, 20 * p) for p in range(3)))
+    return F.concat(*(deal(items, bits, 20 * p, key) for p in range(3)))
 
 
 def sketch(keys: Column, bits: Column) -> Column:
@@ -120,20 +121,19 @@ def peel(cells: Column, bits: Column, rounds: int = ROUNDS) -> Column:
     def state(cells: Column, found: Column) -> Column:
         return let(cells, lambda left: F.struct(left.alias("cells"), found.alias("found"), alone(left, 1).alias("mine"), alone(left, -1).alias("theirs")))
 
-    def without(s: Column, taken: Column) -> Column:
-        def count(c: Column, out: Column) -> Column:
-            signs = F.aggregate(out, zero, lambda a, u: a + F.when(F.array_contains(s["mine"], u), F.lit(1)).otherwise(F.lit(-1)))
-            return F.when(F.size(out) == 0, c).otherwise(c - signs)
+    def signed(keys: Column, sign: int) -> Column:
+        return F.transform(keys, lambda u: F.struct(u.alias("u"), F.lit(sign).cast("long").alias("sign")))
 
+    def without(s: Column, taken: Column) -> Column:
         return F.struct(
-            F.zip_with(s["cells"]["c"], taken, count).alias("c"),
-            F.zip_with(s["cells"]["k"], taken, lambda k, out: F.aggregate(out, k, lambda a, u: a.bitwiseXOR(u))).alias("k"),
-            F.zip_with(s["cells"]["x"], taken, lambda x, out: F.aggregate(out, x, lambda a, u: a.bitwiseXOR(check_value(u)))).alias("x"))
+            F.zip_with(s["cells"]["c"], taken, lambda c, out: F.aggregate(out, c, lambda a, t: a - t["sign"])).alias("c"),
+            F.zip_with(s["cells"]["k"], taken, lambda k, out: F.aggregate(out, k, lambda a, t: a.bitwiseXOR(t["u"]))).alias("k"),
+            F.zip_with(s["cells"]["x"], taken, lambda x, out: F.aggregate(out, x, lambda a, t: a.bitwiseXOR(check_value(t["u"])))).alias("x"))
 
     def step(s: Column, _: Column) -> Column:
         # the digests of all cells that hold one leave their three cells at once
         n = F.size(s["mine"]) + F.size(s["theirs"])
-        left = let(parts(F.concat(s["mine"], s["theirs"]), bits), lambda taken: without(s, taken))
+        left = let(parts(F.concat(signed(s["mine"], 1), signed(s["theirs"], -1)), bits, lambda t: t["u"]), lambda taken: without(s, taken))
         return F.when(n == 0, s).otherwise(state(left, s["found"] + n))
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), state(cells, zero), step)

@@ -61,3 +61,18 @@ def test_paragraphs_equal_plain_python(spark, tmp_path):
         assert near[i] == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0), i
     sizes = spark.createDataFrame([(t,) for t in texts], "t string").select(F.size(fingerprint.cut_digests(F.col("t"))).alias("n")).collect()
     assert [r.n for r in sizes] == [len(paragraphs(t)) for t in texts]
+
+
+def test_peeling_copies_and_scans_nothing(spark):
+    """Bound values are not copied (as results of a transformation are), and no digest is looked for in a list."""
+    rng = random.Random(5)
+    sets = [([rng.randrange(-2**63, 2**63) for _ in range(n)], [rng.randrange(-2**63, 2**63) for _ in range(m)]) for n, m in ((0, 3), (5, 0), (20, 9), (40, 40))]
+    rows = [(i, a + [7, 8], b + [8]) for i, (a, b) in enumerate(sets)]
+    frame = spark.createDataFrame(rows, "pair int, a array<long>, b array<long>")
+    bits = F.lit(6)
+    cells = fingerprint.subtract(fingerprint.sketch(F.col("a"), bits), fingerprint.sketch(F.col("b"), bits))
+    got = frame.select("pair", fingerprint.peel(cells, bits)["found"].alias("found"))
+    assert {r.pair: r.found for r in got.collect()} == {i: len(set(a) ^ set(b)) for i, a, b in rows}
+    assert "array_contains" not in got._jdf.queryExecution().analyzed().toString()
+    bound = spark.range(1).select(fingerprint.let(F.col("id") + 2, lambda v: v * v).alias("n"))
+    assert bound.first().n == 4 and "transform(" not in bound._jdf.queryExecution().analyzed().toString()
