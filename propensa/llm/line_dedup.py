@@ -178,7 +178,7 @@ def passage_dedup(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int =
             .groupBy("_row").agg(F.collect_set("line").alias(mark)).withColumnRenamed("_row", mark_row))
 
     own = fresh_name("_lines", docs.columns)
-    both = docs.withColumn(own, F.split("text", "\n", -1)).join(gone, F.col(mark_row) == F.col(row), "left")
+    both = docs.join(gone, F.col(mark_row) == F.col(row), "left").withColumn(own, F.split("text", "\n", -1))
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(own) - 1), F.col(mark)), lambda i: F.get(own, i))
     count = lambda c: F.when(F.col(mark).isNull(), 0).otherwise(F.size(c)).cast("long")
     return both.select(

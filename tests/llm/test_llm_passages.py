@@ -1,5 +1,6 @@
 """Repeated passages of a few lines in differing contexts, against plain Python."""
 
+import hashlib
 import random
 
 import pytest
@@ -64,3 +65,36 @@ def test_passages_of_odd_rows(spark):
     assert sorted(((r.doc_id or 0, r.text) for r in got.collect()), key=str) == sorted(
         [(0, "two\nlines\nmore"), (1, ""), (1, ""), (2, None), (3, ""), (4, "")], key=str)
     assert line_dedup.passage_dedup(docs.limit(0)).count() == 0
+
+
+def brute_chunks(texts, divisor=4, min_lines=2, min_words=50):
+    """The texts without the chunks of lines that occurred before, by the rolling hash of two lines."""
+    seen, out = set(), []
+    for t in texts:
+        lines, kept, start = t.split("\n"), [], 0
+        h = [0, *[int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]]
+        long = [x.count(" ") + 1 >= min_words for x in lines] + [True]
+        for i in range(len(lines)):
+            value = (h[i + 1] % 2147483647 + h[i] % 2147483647 * 1000003) % 2147483647
+            if value % divisor == 0 or long[i] or long[i + 1]:
+                chunk = tuple(lines[start:i + 1])
+                if not (len(chunk) >= min_lines or long[start]) or chunk not in seen:
+                    kept += chunk
+                seen.add(chunk)
+                start = i + 1
+        out.append("\n".join(kept))
+    return out
+
+
+def test_stage_removes_the_operators_chunks_of_what_passages_leave(spark):
+    rng = random.Random(23)
+    passage, texts = [line(rng, 12) for _ in range(3)], []
+    for _ in range(40):  # lines that come together only when the passage between them is cut
+        a, b, c = (line(rng, 6) for _ in range(3))
+        texts += ["\n".join([a, *passage, b, c]), "\n".join([a, b])]
+    after = [t for t, _, _ in brute(texts)]
+    want = brute_chunks(after)
+    assert want != after and "" in want
+    docs = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long").repartition(5)
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.dedup_lines(spark, docs, SF_SMALL).collect()}
+    assert got == {i: (t, len(t)) for i, t in enumerate(want) if t}
