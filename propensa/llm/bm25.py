@@ -1,22 +1,24 @@
-"""Exact BM25 top-k with an inverted index and block-max pruning, per shard.
+"""Exact BM25 top-k with an inverted index and pruning by bounds, per shard.
 
 Terms are lower-cased words; a term is known by its 64-bit hash.  Document
 frequencies, the number of documents and their mean length are counted over the
 whole table, so scores do not depend on the shards.
 
-A shard is one partition of the document table.  Its inverted index, built in the
-task that reads it, holds for every term the postings (document, impact) in
-document order, and for every term and block of ``BLOCK`` documents the
-largest impact.  The queries are a table too; they are written to the shared
+A shard is one partition of the document table.  Its inverted index is built in the
+task that reads it.  The queries are a table too; they are written to the shared
 folder in files of ``QUERY_BLOCK`` queries, and every shard reads these files one
 after the other, so neither side is ever whole in memory and nothing is
-broadcast.  For a file of queries, the sum of query weight times block maximum
-bounds the score of every document of a block: a block is scored for those
-queries only whose bound reaches their threshold, which is the k-th best score
-found so far, beginning with the block with the best bound (the WAND test, for
-aligned blocks instead of single documents).  Within a block, frequent terms of
-the shard are scored as a matrix product, the others from their postings.
-Single-precision sums choose candidates, with slack for rounding; candidates get
+broadcast.
+
+A query's threshold is the k-th best score found so far.  Some shards, about the
+root of their number, are searched first; their k-th best scores are written
+beside the queries, and the other shards begin with them.  Within a shard, documents
+that share frequent words (those of one language, say) form groups.  A group's frequent
+terms are columns of a matrix, with the largest impact of each; its other terms have
+postings.  For a file of queries, the postings are summed first: the sum and the largest
+impacts of the query's frequent terms bound the score of every document.  Documents whose
+bound reaches the threshold get the frequent terms' scores, one by one where they are
+few and as a matrix product where they are many.  Single-precision sums choose candidates, with slack for rounding; candidates get
 their final scores in double precision, term by term in hash order.  The shards'
 lists, one of at most k hits per query and shard, are merged in two levels.
 
@@ -50,12 +52,19 @@ from .common import materialize, new_path
 from .warc import open_fs
 
 K1, B = 1.2, 0.75
-BLOCK = 128
 QUERY_BLOCK = 256
-#: Queries whose rare postings are summed at once.
-QUERIES_AT_ONCE = 32
-#: Terms in at least this share of a shard's documents are scored as a matrix product.
-DENSE_SHARE, DENSE_MOST = 1 / 64, 2048
+#: Queries whose postings are summed at once.
+QUERIES_AT_ONCE = 8
+#: Queries that are multiplied with a group's matrix at once.
+PRODUCTS_AT_ONCE = 128
+#: Terms in at least this share of a group's documents are columns of its matrix.
+DENSE_SHARE, DENSE_MOST = 1 / 32, 2048
+#: Groups of a shard at most, documents of a group on average at least, terms that they are made by, and rounds.
+GROUPS, GROUP_LEAST, GROUP_TERMS, GROUP_ROUNDS = 8, 256, 512, 6
+#: A query with more than one in so many documents of a group left gets the product with the whole matrix.
+WHOLE = 32
+#: Slack for sums in single precision.
+SLACK = 1 + 1e-4
 WORDS = re.compile(r"\w+")
 #: ASCII characters that are in no word become spaces.
 SPACED = bytes(c if c > 127 or chr(c).isalnum() or c == 95 else 32 for c in range(256))
@@ -125,102 +134,202 @@ def frequencies(index: DataFrame) -> DataFrame:
     return index.select("terms").mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
 
 
+def alike(doc: np.ndarray, at: np.ndarray, n: int, df: np.ndarray) -> np.ndarray:
+    """A group number for each of ``n`` documents, by k-means over the most frequent terms;
+    ``doc`` and ``at`` are the documents and terms of all postings, ``df`` the terms' frequencies."""
+    groups = min(GROUPS, n // GROUP_LEAST)
+    if groups < 2 or not len(df):
+        return np.zeros(n, dtype=np.uint8)
+    many = np.argsort(-df, kind="stable")[:GROUP_TERMS]
+    column = np.full(len(df), -1, dtype=np.int32)
+    column[many] = np.arange(len(many))
+    col = column[at]
+    ok = col >= 0
+    x = np.zeros((n, len(many)), dtype=np.float32)
+    x[doc[ok], col[ok]] = np.sqrt(np.log(1 + n / df[many]))[col[ok]]
+    x /= np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-9)
+    middle = x[np.linspace(0, n - 1, groups).astype(np.int64)]
+    for _ in range(GROUP_ROUNDS):
+        label = (x @ middle.T).argmax(axis=1)
+        for g in range(groups):
+            if (label == g).any():
+                mean = x[label == g].sum(axis=0)
+                middle[g] = mean / max(math.sqrt(mean @ mean), 1e-9)
+    return (x @ middle.T).argmax(axis=1).astype(np.uint8)
+
+
+class Group:
+    """Documents of a shard at places ``lo`` to ``hi``: a matrix of their frequent terms' impacts,
+    and by term (its number among the terms that are frequent in some group) the column, if any, and largest impact."""
+
+    def __init__(self, lo: int, dense: np.ndarray, column: np.ndarray):
+        self.lo, self.n, self.dense, self.column = lo, len(dense), dense, column
+        self.most = np.where(column >= 0, dense.max(axis=0, initial=0)[column] if dense.shape[1] else 0, 0)
+
+    def ask(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray, nq: int) -> np.ndarray:
+        """Begin with queries (``row``) of these terms and weights; the most that the matrix can add to their scores."""
+        col = self.column[term]
+        dense = np.flatnonzero(col >= 0)
+        self.q = np.zeros((nq, self.dense.shape[1]), dtype=np.float32)
+        self.q[row[dense], col[dense]] = weight[dense]
+        return np.bincount(row, weight * self.most[term], nq)
+
+    def find(self, sums: np.ndarray, rows: np.ndarray, most: np.ndarray, least: np.ndarray, k: int) -> tuple:
+        """(queries, documents' places, scores) of the documents that reach the thresholds ``least`` of the queries
+        ``rows``; the thresholds rise where enough do.  ``sums`` has the scores from postings, ``most`` what the matrix can add."""
+        lim = np.maximum(least[rows] / SLACK, 1e-30)
+        own = sums[:, self.lo:self.lo + self.n]
+        if len(rows) < len(sums):
+            own = own[rows]
+        able = own >= (lim - most[rows] * SLACK).astype(np.float32)[:, None]
+        whole = np.flatnonzero(np.count_nonzero(able, axis=1) > self.n // WHOLE)
+        able[whole] = False
+        who, docs = np.divmod(np.flatnonzero(able), self.n)
+        score = own[who, docs]
+        for lo in range(0, len(who), 4096):
+            part = slice(lo, lo + 4096)
+            score[part] += np.einsum("ij,ij->i", self.q[rows[who[part]]], self.dense[docs[part]])
+        keep = score >= lim[who]
+        found = [(rows[who[keep]], docs[keep] + self.lo, score[keep])]
+        for lo in range(0, len(whole), PRODUCTS_AT_ONCE):
+            part = whole[lo:lo + PRODUCTS_AT_ONCE]
+            scores = self.q[rows[part]] @ self.dense.T
+            scores += own[part]
+            hit = scores >= lim[part, None].astype(np.float32)
+            many = np.flatnonzero(np.count_nonzero(hit, axis=1) >= k)
+            if len(many):
+                kth = np.partition(scores[many], self.n - k, axis=1)[:, self.n - k].astype(np.float64)
+                up = rows[part[many]]
+                least[up] = np.maximum(least[up], kth / SLACK)
+                hit[many] &= scores[many] >= (kth / SLACK / SLACK).astype(np.float32)[:, None]
+            who, docs = np.divmod(np.flatnonzero(hit), self.n)
+            found.append((rows[part[who]], docs + self.lo, scores[who, docs]))
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+
 class Shard:
-    """Inverted index of some documents with block maxima."""
+    """Inverted index of some documents, by groups of documents that are alike."""
 
     def __init__(self, ids: np.ndarray, lengths: np.ndarray, terms: list[np.ndarray], tfs: list[np.ndarray], mean: float):
         self.n = len(ids)
-        doc = np.repeat(np.arange(self.n, dtype=np.int32), [len(t) for t in terms])
+        size = np.array([len(t) for t in terms], dtype=np.int64)
+        self.ids, self.doc_start = ids, np.append(0, np.cumsum(size))
         term = np.concatenate([*terms, np.empty(0, np.int64)])
-        tf = np.concatenate([*tfs, np.empty(0, np.int32)]).astype(np.float64)
         order = np.argsort(term, kind="stable")
-        self.ids = ids
-        impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[doc] / mean if mean else 1))
-        self.doc, self.impact = doc[order], impact[order]
-        self.vocab, self.start = np.unique(term[order], return_index=True)
-        self.start = np.append(self.start, len(term))
-        df = np.diff(self.start)
-        self.blocks = max(1, -(-self.n // BLOCK))
-        # terms scored by matrix product, most frequent first
-        many = np.flatnonzero(df >= max(8, self.n * DENSE_SHARE))
-        many = many[np.argsort(-df[many], kind="stable")][:DENSE_MOST]
-        self.column = np.full(len(self.vocab), -1, dtype=np.int32)
-        self.column[many] = np.arange(len(many))
-        row_term = np.repeat(np.arange(len(self.vocab)), df)
-        dense = self.column[row_term] >= 0
-        self.dense = np.zeros((self.n, len(many)), dtype=np.float32)
-        self.dense[self.doc[dense], self.column[row_term[dense]]] = self.impact[dense]
-        self.dense_max = np.zeros((self.blocks, len(many)), dtype=np.float32)
-        np.maximum.at(self.dense_max, (self.doc[dense] // BLOCK, self.column[row_term[dense]]), self.impact[dense].astype(np.float32))
-        self.doc_start = np.cumsum([0, *map(len, terms)])
+        term = term[order]
+        start = np.flatnonzero(np.append(True, term[1:] != term[:-1])[:len(term)])
+        self.vocab, df = term[start], np.diff(np.append(start, len(term)))
+        del term
+        tf = np.concatenate([*tfs, np.empty(0, np.int32)])
+        impact = np.repeat(K1 * (1 - B + B * lengths / mean if mean else np.ones(self.n)), size)
+        impact += tf
+        np.divide(tf * (K1 + 1), impact, out=impact)
+        del tf
+        doc = np.repeat(np.arange(self.n, dtype=np.int32), size)
+        # by the first bits of a hash: the place of the first term that has them
+        self.shift = 64 - max(1, len(self.vocab).bit_length())
+        self.first = np.searchsorted(self.prefix(self.vocab), np.arange(1 << (64 - self.shift))).astype(np.int32)
+        self.padded = np.append(self.vocab, np.iinfo(np.int64).max)
         # by document: its terms' places among the shard's terms, in order, and their impacts
-        self.by_doc_at, self.by_doc_impact = np.empty(len(term), dtype=np.int32), impact
-        self.by_doc_at[order] = row_term
+        self.by_doc_at, self.by_doc_impact = np.empty(len(doc), dtype=np.int32), impact
+        self.by_doc_at[order] = at = np.repeat(np.arange(len(self.vocab), dtype=np.int32), df)
         self.weights = np.zeros(len(self.vocab))
-
-    def search(self, qids: np.ndarray, qterms: list[np.ndarray], qweights: list[np.ndarray], k: int) -> Iterator[tuple]:
+        # documents by group, and for each posting its document's place in that order
+        label = alike(doc, self.by_doc_at, self.n, df)
+        self.docs = np.argsort(label, kind="stable")
+        place = np.empty(self.n, dtype=np.int32)
+        place[self.docs] = np.arange(self.n)
+        place, impact, label_of = place[doc[order]], impact[order].astype(np.float32), label[doc[order]]
+        rare, kept, lo = np.ones(len(at), dtype=bool), [], 0
+        for g, n in enumerate(np.bincount(label)):
+            own = np.flatnonzero(label_of == g)
+            df = np.bincount(at[own], minlength=len(self.vocab))
+            many = np.flatnonzero(df >= max(8, n * DENSE_SHARE))
+            many = many[np.argsort(-df[many], kind="stable")][:DENSE_MOST]
+            column = np.full(len(self.vocab), -1, dtype=np.int32)
+            column[many] = np.arange(len(many))
+            col = column[at[own]]
+            own, col = own[col >= 0], col[col >= 0]
+            rare[own] = False
+            dense = np.zeros((n, len(many)), dtype=np.float32)
+            dense[place[own] - lo, col] = impact[own]
+            kept.append((lo, dense, many))
+            lo += n
+        # numbers of the terms that are frequent in some group; the other postings by term
+        frequent = np.unique(np.concatenate([np.empty(0, np.int64), *(many for _, _, many in kept)]))
+        self.number = np.full(len(self.vocab), -1, dtype=np.int32)
+        self.number[frequent] = np.arange(len(frequent))
+        self.groups = []
+        for lo, dense, many in kept:
+            column = np.full(len(frequent), -1, dtype=np.int32)
+            column[self.number[many]] = np.arange(len(many))
+            self.groups.append(Group(lo, dense, column))
+        self.place, self.impact = place[rare], impact[rare]
+        self.start = np.append(0, np.cumsum(np.bincount(at[rare], minlength=len(self.vocab))))
+
+    def prefix(self, term: np.ndarray) -> np.ndarray:
+        return ((term.view(np.uint64) ^ np.uint64(1 << 63)) >> np.uint64(self.shift)).astype(np.int64)
+
+    def places(self, term: np.ndarray) -> np.ndarray:
+        """Places of terms among the shard's, as ``np.searchsorted`` has them."""
+        at = self.first[self.prefix(term)].astype(np.int64)
+        behind = np.flatnonzero(self.padded[at] < term)
+        for _ in range(8):
+            at[behind] += 1
+            behind = behind[self.padded[at[behind]] < term[behind]]
+        at[behind] = np.searchsorted(self.vocab, term[behind])
+        return at
+
+    def search(self, qids: np.ndarray, qterms: list[np.ndarray], qweights: list[np.ndarray], k: int, least: np.ndarray | None = None) -> Iterator[tuple]:
         """(query number, documents' numbers, scores) of each query's best k of the shard;
-        a query's terms are distinct."""
+        a query's terms are distinct.  Documents with a score below the query's in ``least`` may be left out."""
         nq = len(qids)
         row = np.repeat(np.arange(nq), [len(t) for t in qterms])
         term, weight = np.concatenate(qterms), np.concatenate(qweights)
-        at = np.searchsorted(self.vocab, term)
-        ok = (at < len(self.vocab)) & (self.vocab[np.minimum(at, max(0, len(self.vocab) - 1))] == term) if len(self.vocab) else np.zeros(len(term), bool)
+        at = self.places(term)
+        ok = (at < len(self.vocab)) & (self.padded[at] == term)
         row, at, weight = row[ok], at[ok], weight[ok]
-        col = self.column[at]
-        q = np.zeros((nq, self.dense.shape[1]), dtype=np.float32)
-        q[row[col >= 0], col[col >= 0]] = weight[col >= 0]
-        rare = col < 0
-        other = self.rare_sums(row[rare], at[rare], weight[rare], nq)
-        # the block's bound from rare terms: the best sum of any of its documents
-        bound = q @ self.dense_max.T
-        if self.n:
-            bound += np.maximum.reduceat(other, np.arange(0, self.n, BLOCK), axis=1)
-        slack = np.float32(1 + 1e-4)
-        threshold = np.zeros(nq, dtype=np.float32)
+        least = np.zeros(nq) if least is None else least.astype(np.float64)
+        number = self.number[at]
+        dense = np.flatnonzero(number >= 0)
+        most = [group.ask(row[dense], number[dense], weight[dense], nq) for group in self.groups]
+        sums = self.sums(row, at, weight, nq)
+        # queries without a threshold get it from the group that can give them most
+        first = np.where(least > 0, -1, np.argmax(most, axis=0))
         hits = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32))]
-        best = np.zeros((nq, k), dtype=np.float32)
-        for b in np.argsort(-bound.max(axis=0, initial=0), kind="stable"):
-            live = np.flatnonzero((bound[:, b] * slack >= threshold) & (bound[:, b] > 0))
-            if not len(live):
-                continue
-            lo, hi = b * BLOCK, min(self.n, (b + 1) * BLOCK)
-            s = (q if len(live) == nq else q[live]) @ self.dense[lo:hi].T
-            s += other[live, lo:hi]
-            hit_q, hit_d = np.nonzero((s >= (threshold[live] / slack)[:, None]) & (s > 0))
-            if not len(hit_q):
-                continue
-            # only queries with a hit can have a better k-th score
-            moved = np.unique(hit_q)
-            rows = live[moved]
-            merged = np.concatenate([best[rows], s[moved]], axis=1)
-            best[rows] = np.partition(merged, merged.shape[1] - k, axis=1)[:, -k:]
-            threshold[rows] = best[rows].min(axis=1) / slack
-            hits.append((live[hit_q], hit_d + lo, s[hit_q, hit_d]))
+        for turn in (True, False):
+            for g, group in enumerate(self.groups):
+                rows = np.flatnonzero((first == g) == turn)
+                if len(rows):
+                    who, places, score = group.find(sums, rows, most[g], least, k)
+                    hits.append((who, self.docs[places], score))
         who, docs, score = (np.concatenate(x) for x in zip(*hits))
-        keep = score * slack >= threshold[who]
+        order = np.lexsort((-score, who))
+        who, docs, score = who[order], docs[order], score[order]
+        ends = np.searchsorted(who, np.arange(nq + 1))
+        full = np.flatnonzero(np.diff(ends) >= k)
+        least[full] = np.maximum(least[full], score[ends[full] + k - 1] / SLACK)
+        keep = score * SLACK >= least[who]
         who, docs = who[keep], docs[keep]
-        order, cuts = np.argsort(who, kind="stable"), np.searchsorted(row, np.arange(nq + 1))
-        ends = np.searchsorted(who[order], np.arange(nq + 1))
-        for i in range(nq):
-            own = docs[order[ends[i]:ends[i + 1]]]
-            if len(own):
-                mine = slice(*cuts[i:i + 2])
-                exact = self.exact(own, at[mine], weight[mine])
-                keep = np.lexsort((self.ids[own], -exact))[:k]
-                yield i, own[keep], exact[keep]
-
-    def rare_sums(self, row: np.ndarray, at: np.ndarray, weight: np.ndarray, nq: int) -> np.ndarray:
-        """Scores from the postings of the terms ``at`` of the queries ``row`` (in order):
-        a row for each query, a column for each document."""
-        out = np.zeros((nq, self.n), dtype=np.float32)
+        ends, cuts = np.searchsorted(who, np.arange(nq + 1)), np.searchsorted(row, np.arange(nq + 1))
+        for i in np.unique(who):
+            own, mine = docs[ends[i]:ends[i + 1]], slice(*cuts[i:i + 2])
+            exact = self.exact(own, at[mine], weight[mine])
+            keep = np.lexsort((self.ids[own], -exact))[:k]
+            yield i, own[keep], exact[keep]
+
+    def sums(self, row: np.ndarray, at: np.ndarray, weight: np.ndarray, nq: int) -> np.ndarray:
+        """Scores from postings: a row for each query, a column for each document's place."""
+        out = np.empty((nq, self.n), dtype=np.float32)
         for lo in range(0, nq, QUERIES_AT_ONCE):
             hi = min(nq, lo + QUERIES_AT_ONCE)
             part = slice(*np.searchsorted(row, [lo, hi]))
             pick, size = ranges(self.start[at[part]], self.start[at[part] + 1])
-            cell = np.repeat((row[part] - lo) * self.n, size) + self.doc[pick]
-            sums = np.bincount(cell, np.repeat(weight[part], size) * self.impact[pick], (hi - lo) * self.n)
-            out[lo:hi] = sums.reshape(hi - lo, self.n)
+            cell = np.repeat((row[part] - lo) * self.n, size)
+            cell += self.place[pick]
+            sums = np.repeat(weight[part], size)
+            sums *= self.impact[pick]
+            out[lo:hi] = np.bincount(cell, sums, (hi - lo) * self.n).reshape(hi - lo, self.n)
         return out
 
     def exact(self, docs: np.ndarray, at: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -249,7 +358,8 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     (doc_id, text) for each row of ``queries`` (query_id, text)."""
     spark = docs.sparkSession
     index = materialize(term_rows(docs), "bm25-terms")
-    total = index.select("length", F.spark_partition_id().alias("shard")).agg(F.count("*").alias("n"), F.sum("length").alias("words"), F.count_distinct("shard").alias("shards")).first()
+    shard = F.spark_partition_id()
+    total = index.select("length", shard.alias("shard")).agg(F.count("*").alias("n"), F.sum("length").alias("words"), F.collect_set("shard").alias("shards")).first()
     n, mean = total.n, (total.words or 0) / total.n if total.n else 0.0
 
     asked = term_rows(queries.select(F.col("query_id").alias("doc_id"), "text")).withColumn("query", F.monotonically_increasing_id())
@@ -271,39 +381,59 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     folder = new_path(spark, "bm25-query-blocks")
     blocks = (weighted.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("term", "weight"))).alias("t"))
               .join(asked.select("query", F.col("doc_id").alias("query_id")), "query")
-              .select("query", "query_id", F.col("t.term").alias("terms"), F.col("t.weight").alias("weights")))
+              .select("query", "query_id", F.col("t.term").alias("terms"), F.col("t.weight").alias("weights"), F.lit(0.0).alias("least")))
     blocks.repartition(files, F.xxhash64("query")).write.option("compression", "zstd").parquet(folder)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = [p for p in batches if len(p)]
-        if not parts:
-            return
-        rows = pd.concat(parts, ignore_index=True)
-        shard = Shard(rows["doc_id"].fillna(-1).to_numpy(np.int64), rows["length"].to_numpy(np.float64),
-                      [np.frombuffer(t, dtype="<i8") for t in rows["terms"]], [np.frombuffer(t, dtype="<i4") for t in rows["tfs"]], mean)
-        named = np.array([None if pd.isna(i) else int(i) for i in rows["doc_id"]], dtype=object)
-        del parts, rows
-        store, base = open_fs(folder)
-        listed = sorted(f.path for f in store.get_file_info(pafs.FileSelector(base)) if f.path.endswith(".parquet"))
-        for path in listed:
-            with store.open_input_file(path) as f:
-                for batch in pq.ParquetFile(f).iter_batches(QUERY_BLOCK):
-                    if not len(batch):
-                        continue
-                    qids = batch.column(1).to_pylist()
-                    qn = batch.column(0).to_numpy()
-                    offs = batch.column(2).offsets.to_numpy()
-                    t, w = batch.column(2).values.to_numpy(), batch.column(3).values.to_numpy()
-                    qt, qw = [t[a:b] for a, b in zip(offs[:-1], offs[1:])], [w[a:b] for a, b in zip(offs[:-1], offs[1:])]
-                    out = [(qn[i], qids[i], named[ds].tolist(), ss.tolist()) for i, ds, ss in shard.search(qn, qt, qw, k)]
-                    if out:
-                        yield pd.DataFrame(out, columns=["query", "query_id", "ids", "scores"]).astype({"query_id": "Int64"})
-
-    # one list per query and shard; lists are merged in two levels, so that no task gets all lists of a query
-    lists = index.mapInPandas(run, "query long, query_id long, ids array<long>, scores array<double>")
-    lists = lists.select("query", "query_id", F.spark_partition_id().alias("shard"), F.arrays_zip("scores", "ids").alias("hits"))
-    width = max(1, math.isqrt(total.shards))
+    def searched(rows: DataFrame, folder: str) -> DataFrame:
+        """(query, query_id, shard, hits): one list per query and shard."""
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            parts = [p for p in batches if len(p)]
+            if not parts:
+                return
+            rows = pd.concat(parts, ignore_index=True)
+            ids, lengths = rows["doc_id"].fillna(-1).to_numpy(np.int64), rows["length"].to_numpy(np.float64)
+            named = np.array([None if pd.isna(i) else int(i) for i in rows["doc_id"]], dtype=object)
+            cuts = np.cumsum([len(t) // 8 for t in rows["terms"]])[:-1]
+            terms, tfs = np.frombuffer(b"".join(rows["terms"]), dtype="<i8"), np.frombuffer(b"".join(rows["tfs"]), dtype="<i4")
+            del parts, rows
+            shard = Shard(ids, lengths, np.split(terms, cuts), np.split(tfs, cuts), mean)
+            del terms, tfs
+            store, base = open_fs(folder)
+            listed = sorted(f.path for f in store.get_file_info(pafs.FileSelector(base)) if f.path.endswith(".parquet"))
+            for path in listed:
+                with store.open_input_file(path) as f:
+                    for batch in pq.ParquetFile(f).iter_batches(QUERY_BLOCK):
+                        if not len(batch):
+                            continue
+                        qids = batch.column(1).to_pylist()
+                        qn = batch.column(0).to_numpy()
+                        offs = batch.column(2).offsets.to_numpy()
+                        t, w = batch.column(2).values.to_numpy(), batch.column(3).values.to_numpy()
+                        qt, qw = [t[a:b] for a, b in zip(offs[:-1], offs[1:])], [w[a:b] for a, b in zip(offs[:-1], offs[1:])]
+                        out = [(qn[i], qids[i], named[ds].tolist(), ss.tolist()) for i, ds, ss in shard.search(qn, qt, qw, k, batch.column(4).to_numpy())]
+                        if out:
+                            yield pd.DataFrame(out, columns=["query", "query_id", "ids", "scores"]).astype({"query_id": "Int64"})
+
+        lists = rows.mapInPandas(run, "query long, query_id long, ids array<long>, scores array<double>")
+        return lists.select("query", "query_id", F.spark_partition_id().alias("shard"), F.arrays_zip("scores", "ids").alias("hits"))
+
     best = lambda c: F.slice(F.array_sort(F.flatten(F.collect_list(c)), better), 1, k)
+    # the k-th best scores of some shards are thresholds for the others
+    shards = sorted(total.shards)
+    early = shards[::math.isqrt(len(shards))] if len(shards) > 3 else []
+    if not early:
+        lists = searched(index, folder)
+    else:
+        known = searched(index.where(shard.isin(early)), folder)
+        known = materialize(known.groupBy("query", "query_id").agg(best("hits").alias("hits")), "bm25-early")
+        least = known.where(F.size("hits") >= k).select("query", F.get("hits", F.lit(k - 1))["scores"].alias("kth"))
+        blocks = spark.read.parquet(folder).join(least, "query", "left").withColumn("least", F.coalesce("kth", "least")).drop("kth")
+        thresholds = new_path(spark, "bm25-thresholds")
+        blocks.repartition(files, F.xxhash64("query")).write.option("compression", "zstd").parquet(thresholds)
+        lists = searched(index.where(~shard.isin(early)), thresholds).unionByName(known.select("query", "query_id", F.lit(-1).alias("shard"), "hits"))
+    # lists are merged in two levels, so that no task gets all lists of a query
+    width = max(1, math.isqrt(len(shards)))
     merged = lists.groupBy("query", "query_id", (F.col("shard") % width).alias("part")).agg(best("hits").alias("hits"))
     merged = merged.groupBy("query", "query_id").agg(best("hits").alias("hits"))
     return merged.select("query_id", F.posexplode("hits").alias("rank", "hit")).select(

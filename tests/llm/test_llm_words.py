@@ -38,6 +38,27 @@ def test_bm25_shard_scores_all_hits_of_a_query_at_once():
     assert np.array_equal(shard.exact(np.array(got[0][0]), at, weights[0]), got[0][1]) and not shard.weights.any()
 
 
+def test_bm25_shard_with_thresholds_scores_few_documents(monkeypatch):
+    rng = np.random.default_rng(8)
+    words = rng.integers(-2**63, 2**63, 2400)  # two languages of 1,200 words, frequent words first
+    terms = [np.unique(words[1200 * (i % 2) + (1200 * rng.random(rng.integers(5, 90)) ** 3).astype(int)]) for i in range(1500)]
+    tfs = [rng.integers(1, 4, len(t)) for t in terms]
+    lengths = np.array([c.sum() for c in tfs], dtype=float)
+    shard = bm25.Shard(np.arange(1500), lengths, terms, tfs, lengths.mean())
+    assert len(shard.groups) > 1 and all(len({d % 2 for d in shard.docs[g.lo:g.lo + g.n]}) == 1 for g in shard.groups)
+    for asked in (np.concatenate(terms), rng.integers(-2**63, 2**63, 500), np.arange(-5, 5), np.array([-2**63, 2**63 - 1])):
+        assert np.array_equal(shard.places(asked), np.searchsorted(shard.vocab, asked))
+    weights = [rng.random(len(t)) + 0.1 for t in terms[:400]]
+    want = {i: (docs.tolist(), scores.tolist()) for i, docs, scores in shard.search(np.arange(400), terms[:400], weights, 10)}
+    least = np.array([want[i][1][9] for i in range(400)])
+    scored, exact = [], shard.exact
+    monkeypatch.setattr(shard, "exact", lambda docs, at, weight: scored.extend(docs) or exact(docs, at, weight))
+    got = {i: (docs.tolist(), scores.tolist()) for i, docs, scores in shard.search(np.arange(400), terms[:400], weights, 10, least)}
+    assert got == want and len(scored) < 4400
+    scored.clear()
+    assert not list(shard.search(np.arange(400), terms[:400], weights, 10, least * 100)) and not scored
+
+
 def test_packing_of_letters_equals_the_tokenizer():
     with open(tokenizer_path("word_bpe_49k.json"), encoding="utf-8") as f:
         ids_of = packing.WordIds(f.read())
