@@ -264,7 +264,8 @@ class Shard:
             column = np.full(len(frequent), -1, dtype=np.int32)
             column[self.number[many]] = np.arange(len(many))
             self.groups.append(Group(lo, dense, column))
-        self.place, self.impact = place[rare], impact[rare]
+        # a posting: the document's place and the impact's bits, read together
+        self.postings = np.stack([place[rare], impact[rare].view(np.int32)], axis=1).view(np.int64).ravel()
         self.start = np.append(0, np.cumsum(np.bincount(at[rare], minlength=len(self.vocab))))
 
     def prefix(self, term: np.ndarray) -> np.ndarray:
@@ -321,14 +322,17 @@ class Shard:
     def sums(self, row: np.ndarray, at: np.ndarray, weight: np.ndarray, nq: int) -> np.ndarray:
         """Scores from postings: a row for each query, a column for each document's place."""
         out = np.empty((nq, self.n), dtype=np.float32)
+        some = np.flatnonzero(self.start[at + 1] > self.start[at])
+        row, at, weight = row[some], at[some], weight[some]
         for lo in range(0, nq, QUERIES_AT_ONCE):
             hi = min(nq, lo + QUERIES_AT_ONCE)
             part = slice(*np.searchsorted(row, [lo, hi]))
             pick, size = ranges(self.start[at[part]], self.start[at[part] + 1])
+            posting = self.postings.take(pick, mode="clip").view(np.int32).reshape(-1, 2)
             cell = np.repeat((row[part] - lo) * self.n, size)
-            cell += self.place[pick]
+            cell += posting[:, 0]
             sums = np.repeat(weight[part], size)
-            sums *= self.impact[pick]
+            sums *= posting.view(np.float32)[:, 1]
             out[lo:hi] = np.bincount(cell, sums, (hi - lo) * self.n).reshape(hi - lo, self.n)
         return out
 
@@ -344,7 +348,9 @@ class Shard:
 def ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The numbers from each start to before its end, one range after the other, and the ranges' sizes."""
     size = end - start
-    return np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum()), size
+    got = np.repeat(start - np.cumsum(size) + size, size)
+    got += np.arange(len(got))
+    return got, size
 
 
 def better(a: Column, b: Column) -> Column:
